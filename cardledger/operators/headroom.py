@@ -38,6 +38,7 @@ from cardledger.session import materialize
 
 HOT_ROWS = 2_000
 CHUNK_ROWS = 65_536
+SLICE_ROWS = 32
 MAX_ROUNDS = 160
 _BITS = 62
 _BIG = np.iinfo(np.int64).max
@@ -86,11 +87,26 @@ def _fold_arrays(df: DataFrame, key: str, order: list[str]) -> DataFrame:
             F.concat(acc["flags"], F.array(ok)).alias("flags"),
         )
 
-    zero = F.struct(
-        F.element_at("xs", 1)["start"].alias("room"),
-        F.array().cast("array<boolean>").alias("flags"),
+    # Flags are gathered per slice of the array and joined at the end, so that appending does not
+    # copy all earlier flags on every row.
+    def one_slice(done: Column, number: Column) -> Column:
+        opening = F.struct(
+            F.element_at(done, -1)["room"].alias("room"),
+            F.array().cast("array<boolean>").alias("flags"),
+        )
+        part = F.slice("xs", number * F.lit(SLICE_ROWS) + F.lit(1), F.lit(SLICE_ROWS))
+        return F.concat(done, F.array(F.aggregate(part, opening, step)))
+
+    none_yet = F.array(
+        F.struct(
+            F.element_at("xs", 1)["start"].alias("room"),
+            F.array().cast("array<boolean>").alias("flags"),
+        )
+    )
+    numbers = F.sequence(F.lit(0), F.floor((F.size("xs") - 1) / SLICE_ROWS).cast("int"))
+    flags = F.aggregate(
+        numbers, none_yet, one_slice, lambda done: F.flatten(F.transform(done, lambda s: s["flags"]))
     )
-    flags = F.aggregate("xs", zero, step, lambda acc: acc["flags"])
     out = grouped.select(key, F.arrays_zip(F.col("xs").alias("x"), flags.alias("ok")).alias("z"))
     out = out.select(key, F.explode("z").alias("z"))
     cols = {c: F.col(f"z.x.{c}") for c in [*order, *inner]}

@@ -1,4 +1,10 @@
-"""Dense numbering over a total order without sending everything to one task."""
+"""Dense numbering and neighbours over a total order, without sending a group to one task.
+
+Large inputs are cut into buckets of the (group, order) key.  The bucket bounds come from a hash
+sample of those keys, so a row's bucket depends on the row alone and a recomputed task gives the
+same result.  Work inside a bucket is an ordinary window; what crosses buckets is carried by one
+small row per bucket, or per bucket and group.
+"""
 
 from __future__ import annotations
 
@@ -7,29 +13,21 @@ from pyspark.sql import functions as F
 
 from cardledger.session import has_at_most
 
-#: Up to this many rows a single sorted partition is cheaper than two more passes.
+#: Up to this many rows one sorted partition is cheaper than two more passes.
 SMALL_ROWS = 200_000
 ROWS_PER_BUCKET = 1_000_000
 SAMPLES_PER_BUCKET = 50
 
 
-def run_sequence(
+def in_buckets(
     df: DataFrame,
     order: list[str],
-    name: str = "seq_no",
-    start: int = 1,
     small_rows: int = SMALL_ROWS,
     rows_per_bucket: int = ROWS_PER_BUCKET,
-) -> DataFrame:
-    """Add ``name`` = start, start+1, ... following ``order``, which must be unique and not null.
-
-    Bucket bounds come from a hash sample of the order columns, so a row's bucket depends on the
-    row alone and a recomputed task numbers the same.  Rows are numbered inside their bucket and
-    shifted by the row count of the buckets before it.
-    """
+) -> DataFrame | None:
+    """Add ``_bucket``, increasing along ``order`` (unique, not null); None for small inputs."""
     if has_at_most(df, small_rows):
-        number = F.row_number().over(Window.orderBy(*order)).cast("bigint")
-        return df.withColumn(name, number + (start - 1))
+        return None
     total = df.count()
     buckets = max(2, -(-total // rows_per_bucket))
     thin = max(1, total // (buckets * SAMPLES_PER_BUCKET))
@@ -40,24 +38,30 @@ def run_sequence(
     )
     step = max(1, len(sample) // buckets)
     bounds = sample[step::step][: buckets - 1]
-    types = df.select(*order).schema
+    if not bounds:
+        return df.withColumn("_bucket", F.lit(0))
+    fields = df.select(*order).schema
     limits = F.array(
         *[
-            F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(b, types)])
+            F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(b, fields)])
             for b in bounds
         ]
     )
-    bucket = F.size(F.filter(limits, lambda b: b <= F.struct(*order))) if bounds else F.lit(0)
-    placed = df.withColumn("_bucket", bucket)
+    return df.withColumn("_bucket", F.size(F.filter(limits, lambda b: b <= F.struct(*order))))
+
+
+def run_sequence(
+    df: DataFrame, order: list[str], name: str = "seq_no", start: int = 1, **sizes: int
+) -> DataFrame:
+    """Add ``name`` = start, start+1, ... following ``order``, which must be unique and not null."""
+    placed = in_buckets(df, order, **sizes)
+    if placed is None:
+        number = F.row_number().over(Window.orderBy(*order)).cast("bigint")
+        return df.withColumn(name, number + F.lit(start - 1))
     counts = placed.groupBy("_bucket").agg(F.count("*").alias("_n"))
     # One row per bucket: a window without partitions over a few thousand rows at most.
-    shift = counts.select(
-        "_bucket",
-        (
-            F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0))
-            - F.col("_n")
-        ).alias("_shift"),
-    )
+    running = F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0))
+    shift = counts.select("_bucket", (running - F.col("_n")).alias("_shift"))
     inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order)).cast("bigint")
     return (
         placed.withColumn("_inside", inside)
@@ -70,11 +74,8 @@ def run_sequence(
 def group_sequence(
     df: DataFrame, group: list[str], order: list[str], name: str = "row_no", **sizes: int
 ) -> DataFrame:
-    """Add ``name`` = 1, 2, ... inside each group.
-
-    Built on the run sequence, so a group with a large part of all rows is still numbered by many
-    tasks: a row's number is its place in the run minus the place of the group's first row.
-    """
+    """Add ``name`` = 1, 2, ... inside each group: the row's place in the whole run minus the
+    place of the group's first row."""
     if has_at_most(df, sizes.get("small_rows", SMALL_ROWS)):
         number = F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("bigint")
         return df.withColumn(name, number)
@@ -87,6 +88,58 @@ def group_sequence(
     )
 
 
+def last_before(
+    df: DataFrame, group: list[str], order: list[str], value: Column, name: str, **sizes: int
+) -> DataFrame:
+    """Add ``name``: the last non-null ``value`` of the rows before this one in its group."""
+    df = df.withColumn("_v", value)
+    placed = in_buckets(df, [*group, *order], **sizes)
+    earlier = (Window.unboundedPreceding, -1)
+    if placed is None:
+        w = Window.partitionBy(*group).orderBy(*order).rowsBetween(*earlier)
+        return df.withColumn(name, F.last("_v", ignorenulls=True).over(w)).drop("_v")
+    part = Window.partitionBy("_bucket", *group).orderBy(*order).rowsBetween(*earlier)
+    ends = placed.where(F.col("_v").isNotNull()).groupBy("_bucket", *group)
+    ends = ends.agg(F.max_by("_v", F.struct(*order)).alias("_end"))
+    spans = placed.select("_bucket", *group).distinct().join(ends, ["_bucket", *group], "left")
+    across = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(*earlier)
+    carry = spans.withColumn("_carry", F.last("_end", ignorenulls=True).over(across)).drop("_end")
+    return (
+        placed.withColumn("_own", F.last("_v", ignorenulls=True).over(part))
+        .join(carry, ["_bucket", *group])
+        .withColumn(name, F.coalesce("_own", "_carry"))
+        .drop("_v", "_own", "_carry", "_bucket")
+    )
+
+
+def next_in_group(
+    df: DataFrame, group: list[str], order: list[str], columns: list[str], name: str, **sizes: int
+) -> DataFrame:
+    """Add struct ``name``: ``columns`` of the following row of the same group, else NULL."""
+    df = df.withColumn("_row", F.struct(*columns))
+    placed = in_buckets(df, [*group, *order], **sizes)
+    if placed is None:
+        w = Window.partitionBy(*group).orderBy(*order)
+        return df.withColumn(name, F.lead("_row").over(w)).drop("_row")
+    part = Window.partitionBy("_bucket", *group).orderBy(*order)
+    heads = placed.groupBy("_bucket", *group).agg(F.min_by("_row", F.struct(*order)).alias("_head"))
+    across = Window.partitionBy(*group).orderBy("_bucket")
+    carry = heads.withColumn("_carry", F.lead("_head").over(across)).drop("_head")
+    return (
+        placed.withColumn("_own", F.lead("_row").over(part))
+        .join(carry, ["_bucket", *group])
+        .withColumn(name, F.coalesce("_own", "_carry"))
+        .drop("_row", "_own", "_carry", "_bucket")
+    )
+
+
+def first_of_group(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """The first row of each group (control break); combines on the map side."""
+    rest = [c for c in df.columns if c not in {*group, *order}]
+    head = df.groupBy(*group).agg(F.min(F.struct(*order, *rest)).alias("_h"))
+    return head.select(*[c if c in group else F.col(f"_h.{c}") for c in df.columns])
+
+
 def page_number(seq: Column, size: int = 20) -> Column:
     """Page of a row numbered from 1, ``size`` rows a page."""
     return F.floor((seq - 1) / size).cast("bigint") + 1
@@ -95,8 +148,3 @@ def page_number(seq: Column, size: int = 20) -> Column:
 def next_key(df: DataFrame, order: list[str], highest: int, name: str = "new_id") -> DataFrame:
     """Number new rows behind the highest key in use."""
     return run_sequence(df, order, name, start=highest + 1)
-
-
-def control_break(partition: list[str], order: list[str]) -> Column:
-    """True on the first row of each group."""
-    return F.row_number().over(Window.partitionBy(*partition).orderBy(*order)) == 1
