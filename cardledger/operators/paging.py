@@ -6,7 +6,7 @@ sorted as a whole, and the key filter reaches the scan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -14,8 +14,9 @@ def page_forward(df: DataFrame, key: str, start: object = None, size: int = 10)
     """The first ``size`` rows with key >= ``start``; ``has_next`` tells whether more follow."""
     rows = df if start is None else df.where(F.col(key) >= F.lit(start))
     ahead = rows.orderBy(key).limit(size + 1)
-    more = ahead.agg((F.count("*") > size).alias("has_next"))
-    return ahead.orderBy(key).limit(size).crossJoin(more)
+    # The window sees at most size + 1 rows.
+    more = ahead.withColumn("has_next", F.count("*").over(Window.partitionBy()) > size)
+    return more.orderBy(key).limit(size)
 
 
 def page_backward(df: DataFrame, key: str, start: object, size: int = 10) -> DataFrame:
