@@ -215,7 +215,7 @@ def check_sql(body: str, recursive: bool = False) -> str:
     ctes = [f"{n} AS ({_REF.sub(r'\1', VIEWS[n])})" for n in names]
     main = _REF.sub(r"\1", body).strip()
     if not ctes:
-        return main
+        return main.replace("WITH ", "WITH RECURSIVE ", 1) if recursive else main
     head = "WITH RECURSIVE " if recursive else "WITH "
     if main[:5].upper() == "WITH ":
         return head + ",\n".join(ctes) + ",\n" + main[5:]

@@ -59,7 +59,7 @@ def encode_packed(col: Column, digits: int, scale: int = 2) -> Column:
 def decode_binary(col: Column, nbytes: int, scale: int = 0, precision: int = 18) -> Column:
     """Big-endian two's complement bytes to bigint, or to decimal when ``scale`` is given."""
     unsigned = F.conv(F.hex(col), 16, 10).cast(T.DecimalType(20, 0))
-    top = F.lit(2 ** (8 * nbytes - 1)).cast(T.DecimalType(20, 0))
+    top = F.lit(str(2 ** (8 * nbytes - 1))).cast(T.DecimalType(20, 0))
     modulus = F.lit(str(2 ** (8 * nbytes))).cast(T.DecimalType(20, 0))
     value = F.when(unsigned >= top, unsigned - modulus).otherwise(unsigned)
     if scale:
