@@ -19,10 +19,10 @@ class Tables:
     """The projections by attribute: ``t.account`` and so on."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self.spark, self.sf_dir = configure(spark), sf_dir
+        self.spark, self.sf_dir, self.known = configure(spark), sf_dir, {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        return table(self.spark, self.sf_dir, name)
+        return table(self.spark, self.sf_dir, name, self.known)
 
 
 class Registry:

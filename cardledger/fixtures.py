@@ -199,12 +199,18 @@ def _order(name: str, seen: list[str]) -> list[str]:
     return seen
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table or a projection, as a lazy DataFrame."""
-    if name in BASE_TABLES:
-        return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    refs = {r: table(spark, sf_dir, r) for r in set(_REF.findall(VIEWS[name]))}
-    return spark.sql(VIEWS[name], **refs)
+def table(
+    spark: SparkSession, sf_dir: str, name: str, known: dict[str, DataFrame] | None = None
+) -> DataFrame:
+    """A given table or a projection, as a lazy DataFrame; ``known`` keeps those already made."""
+    known = {} if known is None else known
+    if name not in known:
+        if name in BASE_TABLES:
+            known[name] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        else:
+            refs = {r: table(spark, sf_dir, r, known) for r in set(_REF.findall(VIEWS[name]))}
+            known[name] = spark.sql(VIEWS[name], **refs)
+    return known[name]
 
 
 def check_sql(body: str, recursive: bool = False) -> str:

@@ -72,7 +72,8 @@ def bill_payment(
     stamp = F.lit(run_ts).cast("timestamp")
     # Type, category, merchant and texts of a bill payment.
     numbered = run_sequence(
-        payable.select("acct_id", "card_num", "curr_bal"), ["acct_id"], "_n", start=highest_tran_id + 1
+        payable.select("acct_id", "card_num", "curr_bal"), ["acct_id"], "_n",
+        start=highest_tran_id + 1, store=True,
     )
     payments = numbered.select(
         F.lpad(F.col("_n").cast("string"), 16, "0").alias("tran_id"),
@@ -137,7 +138,7 @@ def apply_changes(
     # An insert leaves the row there and a delete leaves it gone whether they worked or failed,
     # so the row's presence is settled by the last of them; a blocked delete settles nothing.
     settled = F.when(~F.col("_blocked") & F.col(action).isin("A", "D"), F.col(action))
-    steps = last_before(steps, [key], [seq], settled, "_settled")
+    steps = last_before(steps, [key], [seq], settled, "_settled", store=True)
     present = F.when(F.col("_settled").isNull(), F.coalesce("_stored", F.lit(False))).otherwise(
         F.col("_settled") == "A"
     )

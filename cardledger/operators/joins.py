@@ -26,18 +26,32 @@ def unknown_accounts(tx: DataFrame, xref: DataFrame, accounts: DataFrame) -> Dat
     return join_xref(tx, xref).join(accounts.select("acct_id"), "acct_id", "left_anti")
 
 
+def card_facts(xref: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Per card: account, customer, the account's columns and ``account_found``.
+
+    The masters are joined with each other first, so that the much larger transaction side is
+    looked up, and shuffled, once.
+    """
+    found = F.coalesce("account_found", F.lit(False)).alias("account_found")
+    facts = accounts.withColumn("account_found", F.lit(True))
+    return xref.join(facts, "acct_id", "left").select(
+        *xref.columns, *[c for c in accounts.columns if c != "acct_id"], found
+    )
+
+
 def with_card_account(tx: DataFrame, xref: DataFrame, accounts: DataFrame, seq: str) -> DataFrame:
     """Left-join card and account; adds ``acct_id``, ``account_found`` and ``fold_key``.
 
     ``fold_key`` is the account, or a negative number of the row's own when the card is unknown,
     so unknown cards do not meet in one null partition.
     """
-    carded = tx.join(xref.select("card_num", "acct_id", "cust_id"), "card_num", "left")
-    keyed = carded.withColumn("fold_key", F.coalesce("acct_id", -1 - F.col(seq)))
-    facts = accounts.withColumn("fold_key", F.col("acct_id")).drop("acct_id")
-    facts = facts.withColumn("account_found", F.lit(True))
-    return keyed.join(facts, "fold_key", "left").withColumn(
-        "account_found", F.coalesce("account_found", F.lit(False))
+    cards = xref.select("card_num", "acct_id", "cust_id")
+    joined = tx.join(card_facts(cards, accounts), "card_num", "left")
+    return joined.withColumns(
+        {
+            "fold_key": F.coalesce("acct_id", -1 - F.col(seq)),
+            "account_found": F.coalesce("account_found", F.lit(False)),
+        }
     )
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardledger.session import has_at_most
+from cardledger.session import materialize
 
 #: Up to this many rows one sorted partition is cheaper than two more passes.
 SMALL_ROWS = 200_000
@@ -24,11 +24,18 @@ def in_buckets(
     order: list[str],
     small_rows: int = SMALL_ROWS,
     rows_per_bucket: int = ROWS_PER_BUCKET,
-) -> DataFrame | None:
-    """Add ``_bucket``, increasing along ``order`` (unique, not null); None for small inputs."""
-    if has_at_most(df, small_rows):
-        return None
-    total = df.count()
+    store: bool = False,
+) -> tuple[DataFrame, bool]:
+    """Add ``_bucket``, increasing along ``order`` (unique, not null); not for small inputs.
+
+    The input is read up to four times, only its order columns but for the last time.  That is
+    cheap for a scan; ``store`` writes a computed input once first.  Returns the rows and whether
+    they are in buckets.
+    """
+    df = materialize(df, "ordered") if store else df
+    total = df.select(*order).count()
+    if total <= small_rows:
+        return df, False
     buckets = max(2, -(-total // rows_per_bucket))
     thin = max(1, total // (buckets * SAMPLES_PER_BUCKET))
     keyed = df.select(F.struct(*order).alias("k"))
@@ -39,7 +46,7 @@ def in_buckets(
     step = max(1, len(sample) // buckets)
     bounds = sample[step::step][: buckets - 1]
     if not bounds:
-        return df.withColumn("_bucket", F.lit(0))
+        return df.withColumn("_bucket", F.lit(0)), True
     fields = df.select(*order).schema
     limits = F.array(
         *[
@@ -47,17 +54,18 @@ def in_buckets(
             for b in bounds
         ]
     )
-    return df.withColumn("_bucket", F.size(F.filter(limits, lambda b: b <= F.struct(*order))))
+    bucket = F.size(F.filter(limits, lambda b: b <= F.struct(*order)))
+    return df.withColumn("_bucket", bucket), True
 
 
 def run_sequence(
     df: DataFrame, order: list[str], name: str = "seq_no", start: int = 1, **sizes: int
 ) -> DataFrame:
     """Add ``name`` = start, start+1, ... following ``order``, which must be unique and not null."""
-    placed = in_buckets(df, order, **sizes)
-    if placed is None:
+    placed, bucketed = in_buckets(df, order, **sizes)
+    if not bucketed:
         number = F.row_number().over(Window.orderBy(*order)).cast("bigint")
-        return df.withColumn(name, number + F.lit(start - 1))
+        return placed.withColumn(name, number + F.lit(start - 1))
     counts = placed.groupBy("_bucket").agg(F.count("*").alias("_n"))
     # One row per bucket: a window without partitions over a few thousand rows at most.
     running = F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0))
@@ -74,17 +82,21 @@ def run_sequence(
 def group_sequence(
     df: DataFrame, group: list[str], order: list[str], name: str = "row_no", **sizes: int
 ) -> DataFrame:
-    """Add ``name`` = 1, 2, ... inside each group: the row's place in the whole run minus the
-    place of the group's first row."""
-    if has_at_most(df, sizes.get("small_rows", SMALL_ROWS)):
+    """Add ``name`` = 1, 2, ... inside each group: the place among the group's rows of the same
+    bucket, plus the group's rows in the buckets before."""
+    placed, bucketed = in_buckets(df, [*group, *order], **sizes)
+    if not bucketed:
         number = F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("bigint")
-        return df.withColumn(name, number)
-    placed = run_sequence(df, [*group, *order], "_seq", **sizes)
-    first = placed.groupBy(*group).agg(F.min("_seq").alias("_first"))
+        return placed.withColumn(name, number)
+    part = Window.partitionBy("_bucket", *group).orderBy(*order)
+    counts = placed.groupBy("_bucket", *group).agg(F.count("*").alias("_n"))
+    across = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    shift = counts.withColumn("_shift", F.coalesce(F.sum("_n").over(across), F.lit(0))).drop("_n")
     return (
-        placed.join(first, group)
-        .withColumn(name, F.col("_seq") - F.col("_first") + 1)
-        .drop("_seq", "_first")
+        placed.withColumn("_own", F.row_number().over(part).cast("bigint"))
+        .join(shift, ["_bucket", *group])
+        .withColumn(name, F.col("_own") + F.col("_shift"))
+        .drop("_own", "_shift", "_bucket")
     )
 
 
@@ -92,12 +104,11 @@ def last_before(
     df: DataFrame, group: list[str], order: list[str], value: Column, name: str, **sizes: int
 ) -> DataFrame:
     """Add ``name``: the last non-null ``value`` of the rows before this one in its group."""
-    df = df.withColumn("_v", value)
-    placed = in_buckets(df, [*group, *order], **sizes)
+    placed, bucketed = in_buckets(df.withColumn("_v", value), [*group, *order], **sizes)
     earlier = (Window.unboundedPreceding, -1)
-    if placed is None:
+    if not bucketed:
         w = Window.partitionBy(*group).orderBy(*order).rowsBetween(*earlier)
-        return df.withColumn(name, F.last("_v", ignorenulls=True).over(w)).drop("_v")
+        return placed.withColumn(name, F.last("_v", ignorenulls=True).over(w)).drop("_v")
     part = Window.partitionBy("_bucket", *group).orderBy(*order).rowsBetween(*earlier)
     ends = placed.where(F.col("_v").isNotNull()).groupBy("_bucket", *group)
     ends = ends.agg(F.max_by("_v", F.struct(*order)).alias("_end"))
@@ -116,11 +127,12 @@ def next_in_group(
     df: DataFrame, group: list[str], order: list[str], columns: list[str], name: str, **sizes: int
 ) -> DataFrame:
     """Add struct ``name``: ``columns`` of the following row of the same group, else NULL."""
-    df = df.withColumn("_row", F.struct(*columns))
-    placed = in_buckets(df, [*group, *order], **sizes)
-    if placed is None:
+    placed, bucketed = in_buckets(
+        df.withColumn("_row", F.struct(*columns)), [*group, *order], **sizes
+    )
+    if not bucketed:
         w = Window.partitionBy(*group).orderBy(*order)
-        return df.withColumn(name, F.lead("_row").over(w)).drop("_row")
+        return placed.withColumn(name, F.lead("_row").over(w)).drop("_row")
     part = Window.partitionBy("_bucket", *group).orderBy(*order)
     heads = placed.groupBy("_bucket", *group).agg(F.min_by("_row", F.struct(*order)).alias("_head"))
     across = Window.partitionBy(*group).orderBy("_bucket")

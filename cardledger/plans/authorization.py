@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cardledger.functions.money import cents
 from cardledger.operators import aggregates as A
 from cardledger.operators.headroom import fold_in_order
-from cardledger.operators.joins import account_view, with_card_account
+from cardledger.operators.joins import account_view, card_facts
 
 MONEY = "decimal(12,2)"
 
@@ -18,14 +18,17 @@ def enrich(requests: DataFrame, xref: DataFrame, accounts: DataFrame, customers:
 
     ``fold_key`` is the account or, for an unknown card, a negative number of the request's own.
     """
-    facts = accounts.select("acct_id", "credit_limit", "cash_credit_limit", "curr_bal")
-    out = with_card_account(requests, xref, facts, "req_id")
-    people = customers.select(
-        F.col("cust_id").alias("_cust"), F.lit(True).alias("customer_found")
+    people = customers.select("cust_id", F.lit(True).alias("customer_found"))
+    cards = xref.select("card_num", "acct_id", "cust_id").join(people, "cust_id", "left")
+    limits = accounts.select("acct_id", "credit_limit", "cash_credit_limit", "curr_bal")
+    out = requests.join(card_facts(cards, limits), "card_num", "left")
+    return out.withColumns(
+        {
+            "fold_key": F.coalesce("acct_id", -1 - F.col("req_id")),
+            "account_found": F.coalesce("account_found", F.lit(False)),
+            "customer_found": F.coalesce("customer_found", F.lit(False)),
+        }
     )
-    out = out.withColumn("_ck", F.coalesce("cust_id", -1 - F.col("req_id")))
-    out = out.join(people, F.col("_ck") == F.col("_cust"), "left").drop("_ck", "_cust")
-    return out.withColumn("customer_found", F.coalesce("customer_found", F.lit(False)))
 
 
 def auth_reason(
@@ -98,7 +101,7 @@ def decide(
             ).alias("start"),
             (F.col("account_found") & F.col("amt").isNotNull()).alias("eligible"),
         ),
-        "fold_key", ["ts", "req_id"], key_counts=per_key.select("fold_key", "n"), **fold,
+        "fold_key", ["ts", "req_id"], source=requests, key_counts=per_key.select("fold_key", "n"), **fold,
     )
     approved, no_funds = F.col("accepted"), F.col("eligible") & ~F.col("accepted")
     card_found = F.col("acct_id").isNotNull()

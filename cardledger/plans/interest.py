@@ -14,6 +14,7 @@ from cardledger.operators.aggregates import money_sum
 from cardledger.operators.changes import apply_interest
 from cardledger.operators.joins import first_card, join_rate_with_default
 from cardledger.operators.sequence import run_sequence
+from cardledger.session import materialize
 
 
 @dataclass
@@ -58,7 +59,8 @@ def interest_calc(
     A transaction id is the run date and a running number of at least six digits over
     (account, type, category).  Every account that has a category balance starts a new cycle.
     """
-    looked_up = balances_with_lookups(balances, accounts, xref, rates)
+    # Written once: numbering, totals and the failed rows all start from it.
+    looked_up = materialize(balances_with_lookups(balances, accounts, xref, rates), "interest")
     interest = monthly_interest(looked_up)
     numbered = run_sequence(interest, ["acct_id", "type_cd", "cat_cd"], "_n")
     stamp = F.lit(run_ts).cast("timestamp")

@@ -52,7 +52,7 @@ def decide(tx: DataFrame, xref: DataFrame, accounts: DataFrame, **fold: int) ->
         .groupBy(F.col("acct_id").alias("fold_key"))
         .agg(F.sum("_n").alias("n"))
     )
-    folded = fold_in_order(rows, "fold_key", ["seq"], key_counts=key_counts, **fold)
+    folded = fold_in_order(rows, "fold_key", ["seq"], source=tx, key_counts=key_counts, **fold)
     reason = (
         F.when(F.col("acct_id").isNull(), 100)
         .when(~F.col("account_found"), 101)

@@ -25,10 +25,10 @@ def report_detail(
 
     Rows with a missing card, type or category keep their place with ``lookup_failed`` set.
     """
-    chosen = filter_date_range(tx, start, end)
-    described = with_report_dimensions(chosen, xref, types, categories)
-    numbered = run_sequence(described, ["card_num", "tran_id"])
-    return numbered.withColumn("page", page_number(F.col("seq_no"), page_size))
+    # Numbered straight from the scan: the lookups behind it neither drop nor add rows.
+    numbered = run_sequence(filter_date_range(tx, start, end), ["card_num", "tran_id"])
+    paged = numbered.withColumn("page", page_number(F.col("seq_no"), page_size))
+    return with_report_dimensions(paged, xref, types, categories)
 
 
 def transaction_report(detail: DataFrame) -> DataFrame:
@@ -81,7 +81,7 @@ def _fit(col: Column, width: int) -> Column:
     return F.rpad(F.coalesce(col, F.lit("")), width, " ")
 
 
-def detail_line(d: DataFrame) -> Column:
+def detail_line() -> Column:
     amount = F.col("amt")
     return F.rpad(
         F.concat(
@@ -119,7 +119,7 @@ def report_lines(detail: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     ]
     out = openings.unionByName(
         detail.select("page", F.col("seq_no").alias("sort_no"), F.lit(10).alias("part"),
-                      detail_line(detail).alias("line"))
+                      detail_line().alias("line"))
     )
     for sums_df, label, dots, part in totals:
         out = out.unionByName(

@@ -76,10 +76,11 @@ def _tail_lines() -> list[Column]:
 
 
 def _numbered(tx: DataFrame, xref: DataFrame) -> DataFrame:
-    mine = tx.join(xref.select("card_num"), "card_num", "left_semi")
-    return group_sequence(
-        mine.select("card_num", "tran_id", "descr", "amt"), ["card_num"], ["tran_id"], "row_no"
+    # Numbered straight from the scan; leaving out whole cards afterwards changes no number.
+    placed = group_sequence(
+        tx.select("card_num", "tran_id", "descr", "amt"), ["card_num"], ["tran_id"], "row_no"
     )
+    return placed.join(xref.select("card_num"), "card_num", "left_semi")
 
 
 def statement_lines(statement: DataFrame, tx: DataFrame) -> DataFrame:
@@ -191,7 +192,7 @@ def statement_html(
     bodies = (
         _numbered(tx, statement).select("card_num", part.alias("part_no"), "row_no", row.alias("row"))
         .groupBy("card_num", "part_no")
-        .agg(F.array_sort(F.collect_list(F.struct("row_no", "row"))).alias("rows"))
+        .agg(F.sort_array(F.collect_list(F.struct("row_no", "row"))).alias("rows"))
         .select("card_num", "part_no", F.array_join(F.transform("rows", lambda r: r["row"]), "").alias("html"))
     )
     last = (F.ceil(F.col("tran_count") / part_rows) + 1).cast("bigint")

@@ -48,12 +48,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute once and cut the lineage with a reliable checkpoint."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "step") -> DataFrame:
+    """Compute once and cut the lineage: written to the shared folder and read back.
 
-
-def has_at_most(df: DataFrame, rows: int) -> bool:
-    """True when ``df`` holds no more than ``rows`` rows; stops reading soon after."""
-    return df.limit(rows + 1).count() <= rows
+    A written table survives lost executors like a checkpoint does, and being columnar it lets
+    later passes read only the columns they need.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
