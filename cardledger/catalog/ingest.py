@@ -12,7 +12,7 @@ from cardledger.session import scratch_path
 from cardledger.sources import (
     error_log as EL, exchange, extracts, fixed_width, hierarchy, load, messages, seeds, snapshots,
 )
-from cardledger.catalog.rows import REPORT_END, REPORT_SQL, REPORT_START, report_detail
+from cardledger.catalog.rows import REPORT_END, REPORT_SQL, REPORT_START, report_detail, report_rows
 
 REGISTRY = Registry()
 add = REGISTRY.add
@@ -407,7 +407,8 @@ def _sql_total(label: str, dots: int) -> str:
     UNION ALL SELECT page, sort_no, 40, {_sql_total('Grand Total', 86)} FROM grand""",
 )
 def _(t: Tables):
-    return reports.report_lines(report_detail(t), REPORT_START, REPORT_END)
+    rows = report_rows(t)
+    return reports.report_lines(rows, report_detail(t, rows), REPORT_START, REPORT_END)
 
 
 LISTING_SQL = f"""SELECT lpad(CAST(acct_id AS VARCHAR), 11, '0') AS acct_id, type_cd,

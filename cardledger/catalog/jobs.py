@@ -10,7 +10,7 @@ from cardledger.catalog.order import INTEREST_TX, SHORT, COLS, system_transactio
 from cardledger.catalog.registry import (
     AUTH_ASOF, DECIDED_SQL, INTEREST_SQL, RUN_DATE, RUN_TS, Registry, Tables,
 )
-from cardledger.catalog.rows import REPORT_SQL, report_detail
+from cardledger.catalog.rows import REPORT_SQL, report_detail, report_rows
 from cardledger.catalog.totals import PURGE_SQL
 from cardledger.plans import authorization as AU
 from cardledger.plans import combine, interest, posting, purge, reports
@@ -75,7 +75,8 @@ def _(t: Tables):
       FROM detail""",
 )
 def _(t: Tables):
-    return reports.transaction_report(report_detail(t))
+    rows = report_rows(t)
+    return reports.transaction_report(rows, report_detail(t, rows))
 
 
 @add("category_balance_report", LISTING_SQL)

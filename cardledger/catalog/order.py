@@ -171,7 +171,8 @@ _LITERALS = " UNION ALL ".join(
         LEFT JOIN {{daily}} d ON d.type_cd = s.type_cd AND d.cat_cd = s.cat_cd GROUP BY 1, 2, 3""",
 )
 def _(t: Tables):
-    rows = seeds.union_literals(t.spark, seeds.TRAN_CATEGORIES, "type_cd string, cat_cd int, cat_desc string")
+    columns = {"type_cd": "STRING", "cat_cd": "INT", "cat_desc": "STRING"}
+    rows = seeds.union_literals(t.spark, seeds.TRAN_CATEGORIES, columns)
     uses = t.daily.groupBy("type_cd", "cat_cd").agg(F.count("*").alias("_n"))
     return rows.join(uses, ["type_cd", "cat_cd"], "left").select(
         "type_cd", "cat_cd", "cat_desc", F.coalesce("_n", F.lit(0)).alias("uses")

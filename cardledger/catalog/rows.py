@@ -30,10 +30,13 @@ WITH detail AS (
 """
 
 
-def report_detail(t: Tables):
-    return reports.report_detail(
-        t.daily, t.xref, t.tran_type, t.tran_category, REPORT_START, REPORT_END
-    )
+def report_rows(t: Tables):
+    return reports.report_rows(t.daily, REPORT_START, REPORT_END)
+
+
+def report_detail(t: Tables, rows=None):
+    rows = report_rows(t) if rows is None else rows
+    return reports.report_detail(rows, t.xref, t.tran_type, t.tran_category)
 
 
 @add(

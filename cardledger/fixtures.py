@@ -12,6 +12,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cardledger.literals import values_sql
+
 BASE_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -20,17 +22,6 @@ BASE_TABLES = (
 RATE_GROUPS = {"BUILDING": 1500, "HOUSEHOLD": 1875, "MACHINERY": 0, "DEFAULT": 2500}
 
 
-def _values(rows: list[tuple], columns: list[str], casts: list[str]) -> str:
-    """UNION ALL of literal rows, typed by cast."""
-    def lit(v):
-        return f"'{v}'" if isinstance(v, str) else str(v)
-
-    return " UNION ALL ".join(
-        "SELECT " + ", ".join(f"CAST({lit(v)} AS {t}) AS {c}" for v, c, t in zip(r, columns, casts))
-        for r in rows
-    )
-
-
 # Descriptions of transaction types and categories.
 TRAN_TYPES = [
     ("01", "Purchase"), ("02", "Payment"), ("03", "Credit"), ("04", "Authorization"),
@@ -138,11 +129,11 @@ VIEWS: dict[str, str] = {
                     THEN {_card('o_custkey', '1')} ELSE {_card('o_custkey')} END AS card_num,
                CAST(o_orderdate AS DATE) AS orig_date, CAST(o_orderdate AS DATE) AS proc_date
         FROM {{orders}}""",
-    "tran_type": _values(TRAN_TYPES[:5], ["type_cd", "type_desc"], ["STRING", "STRING"]),
-    "tran_category": _values(
+    "tran_type": values_sql(TRAN_TYPES[:5], ["type_cd", "type_desc"], ["STRING", "STRING"]),
+    "tran_category": values_sql(
         _category_fixture(), ["type_cd", "cat_cd", "cat_desc"], ["STRING", "INT", "STRING"]
     ),
-    "rate": _values(
+    "rate": values_sql(
         _rate_fixture(), ["group_id", "type_cd", "cat_cd", "rate"],
         ["STRING", "STRING", "INT", "DECIMAL(6,2)"],
     ),

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardledger.functions.text import area_code_rule
+from cardledger.literals import literal_table
 
 
 def join_xref(tx: DataFrame, xref: DataFrame) -> DataFrame:
@@ -137,7 +138,7 @@ DECLINE_REASONS = [
 
 def with_decline_reason(df: DataFrame, code: str = "resp_reason") -> DataFrame:
     """Add ``reason_text`` as ``code-description``; an unknown code gives ``9999-ERROR``."""
-    reasons = df.sparkSession.createDataFrame(DECLINE_REASONS, f"{code} string, _text string")
+    reasons = literal_table(df.sparkSession, DECLINE_REASONS, {code: "STRING", "_text": "STRING"})
     return df.join(reasons, code, "left").withColumn(
         "reason_text", F.coalesce(F.concat(F.col(code), F.lit("-"), F.col("_text")), F.lit("9999-ERROR"))
     ).drop("_text")
@@ -183,9 +184,9 @@ def with_code_lists(
     numbering-plan rule is used.
     """
     spark = df.sparkSession
-    states = spark.createDataFrame([(s, True) for s in STATES], "state string, _state boolean")
+    states = literal_table(spark, [(s, "true") for s in STATES], {"state": "STRING", "_state": "BOOLEAN"})
     if state_zip is None:
-        state_zip = spark.createDataFrame(state_zip_pairs(), "state string, zip2 string")
+        state_zip = literal_table(spark, state_zip_pairs(), {"state": "STRING", "zip2": "STRING"})
     pairs = state_zip.select("state", F.col("zip2").alias("_zip2"), F.lit(True).alias("_pair"))
     out = (
         df.withColumn("_zip2", F.substring("zip", 1, 2))

@@ -13,25 +13,34 @@ from cardledger.operators.aggregates import WIDE, money_sum
 from cardledger.operators.filters import filter_date_range
 from cardledger.operators.joins import with_report_dimensions
 from cardledger.operators.sequence import page_number, run_sequence
+from cardledger.session import materialize
 
 PAGE_SIZE = 20
 
 
-def report_detail(
-    tx: DataFrame, xref: DataFrame, types: DataFrame, categories: DataFrame,
-    start: dt.date, end: dt.date, page_size: int = PAGE_SIZE,
+def report_rows(
+    tx: DataFrame, start: dt.date, end: dt.date, page_size: int = PAGE_SIZE, store: bool = True
 ) -> DataFrame:
-    """Rows of the report in (card, transaction) order with ``seq_no`` and ``page``.
+    """Transactions of the period in (card, transaction) order with ``seq_no`` and ``page``.
 
-    Rows with a missing card, type or category keep their place with ``lookup_failed`` set.
+    Numbered straight from the scan, since the lookups that follow neither drop nor add rows.
+    With ``store`` the order is worked out once; the detail lines and each kind of total then
+    read back only their columns.
     """
-    # Numbered straight from the scan: the lookups behind it neither drop nor add rows.
     numbered = run_sequence(filter_date_range(tx, start, end), ["card_num", "tran_id"])
     paged = numbered.withColumn("page", page_number(F.col("seq_no"), page_size))
-    return with_report_dimensions(paged, xref, types, categories)
+    return materialize(paged, "report") if store else paged
+
+
+def report_detail(
+    rows: DataFrame, xref: DataFrame, types: DataFrame, categories: DataFrame
+) -> DataFrame:
+    """Report rows with account and descriptions; one with a missing card, type or category keeps
+    its place with ``lookup_failed`` set."""
+    return with_report_dimensions(rows, xref, types, categories)
 
 
-def transaction_report(detail: DataFrame) -> DataFrame:
+def transaction_report(rows: DataFrame, detail: DataFrame) -> DataFrame:
     """Detail rows and the three kinds of totals in one result.
 
     ``kind`` is detail, page, account or grand; ``sort_no`` is the place of the row a total
@@ -48,16 +57,16 @@ def transaction_report(detail: DataFrame) -> DataFrame:
         )
 
     sums = [money_sum("amt").alias("amt"), F.max("seq_no").alias("sort_no")]
-    rows = detail.select(
+    lines = detail.select(
         F.lit("detail").alias("kind"), F.col("seq_no").alias("sort_no"), "page", "card_num",
         "tran_id", "acct_id", "type_desc", "cat_desc", F.col("amt").cast(WIDE).alias("amt"),
     )
     return (
-        rows.unionByName(totals("page", detail.groupBy("page").agg(*sums), empty, F.col("page")))
+        lines.unionByName(totals("page", rows.groupBy("page").agg(*sums), empty, F.col("page")))
         .unionByName(
-            totals("account", detail.groupBy("card_num").agg(*sums), F.col("card_num"), empty)
+            totals("account", rows.groupBy("card_num").agg(*sums), F.col("card_num"), empty)
         )
-        .unionByName(totals("grand", detail.agg(*sums).where("sort_no IS NOT NULL"), empty, empty))
+        .unionByName(totals("grand", rows.agg(*sums).where("sort_no IS NOT NULL"), empty, empty))
     )
 
 
@@ -100,22 +109,24 @@ def _total_line(label: str, dots: int) -> Column:
     )
 
 
-def report_lines(detail: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
+def report_lines(
+    rows: DataFrame, detail: DataFrame, start: dt.date, end: dt.date
+) -> DataFrame:
     """Printed lines of 133 characters: (page, sort_no, part, line).
 
     Every page opens with the headings; a detail line is followed by the account total when it is
     the card's last, then by the page total when it is the page's last, then by the grand total.
     """
     heads = F.array(*[F.lit(line) for line in _headings(start, end)])
-    openings = detail.groupBy("page").agg((F.min("seq_no")).alias("sort_no")).select(
+    openings = rows.groupBy("page").agg((F.min("seq_no")).alias("sort_no")).select(
         "page", "sort_no", F.posexplode(heads).alias("part", "line")
     )
     sums = [money_sum("amt").alias("amt"), F.max("seq_no").alias("sort_no"), F.max("page").alias("page")]
     # Label, number of dots, place of the line behind its detail line.
     totals = [
-        (detail.groupBy("card_num").agg(*sums), "Account Total", 84, 20),
-        (detail.groupBy(F.col("page").alias("_p")).agg(*sums), "Page Total ", 86, 30),
-        (detail.agg(*sums).where("sort_no IS NOT NULL"), "Grand Total", 86, 40),
+        (rows.groupBy("card_num").agg(*sums), "Account Total", 84, 20),
+        (rows.groupBy(F.col("page").alias("_p")).agg(*sums), "Page Total ", 86, 30),
+        (rows.agg(*sums).where("sort_no IS NOT NULL"), "Grand Total", 86, 40),
     ]
     out = openings.unionByName(
         detail.select("page", F.col("seq_no").alias("sort_no"), F.lit(10).alias("part"),

@@ -7,16 +7,18 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from cardledger.fixtures import TRAN_CATEGORIES, TRAN_TYPES
+from cardledger.literals import literal_table
 
 
 def type_seed(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(TRAN_TYPES, "type_cd string, type_desc string")
+    return literal_table(spark, TRAN_TYPES, {"type_cd": "STRING", "type_desc": "STRING"})
 
 
 def category_seed(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(TRAN_CATEGORIES, "type_cd string, cat_cd int, cat_desc string")
+    columns = {"type_cd": "STRING", "cat_cd": "INT", "cat_desc": "STRING"}
+    return literal_table(spark, TRAN_CATEGORIES, columns)
 
 
-def union_literals(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+def union_literals(spark: SparkSession, rows: list[tuple], columns: dict[str, str]) -> DataFrame:
     """UNION ALL of single-row tables."""
-    return reduce(DataFrame.union, [spark.createDataFrame([r], schema) for r in rows])
+    return reduce(DataFrame.union, [literal_table(spark, [r], columns) for r in rows])
