@@ -10,7 +10,7 @@ from cardledger.plans import authorization as AU
 from cardledger.plans import posting, reports, statements
 from cardledger.session import scratch_path
 from cardledger.sources import (
-    error_log as EL, exchange, extracts, fixed_width, hierarchy, load, messages, seeds, snapshots,
+    error_log as EL, exchange, extracts, fixed_width, hierarchy, load, messages, records, seeds, snapshots,
 )
 from cardledger.catalog.rows import REPORT_END, REPORT_SQL, REPORT_START, report_detail, report_rows
 
@@ -98,6 +98,41 @@ def _(t: Tables):
     return exchange.import_split(t.spark.read.parquet(path))["transaction"]
 
 
+@add("import_records", f"SELECT {ACCOUNT_COLUMNS} FROM {{account}}")
+def _(t: Tables):
+    export = exchange.export_union({"account": t.account, "card": t.card}, RUN_TS)
+    raw = records.export_records(export, "account").unionByName(records.export_records(export, "card"))
+    return records.import_records(raw)["account"]
+
+
+@add(
+    "import_records_ebcdic",
+    "SELECT card_num, acct_id, CAST(cvv AS BIGINT) AS cvv, embossed_name, expiry_date, active_status FROM {card}",
+)
+def _(t: Tables):
+    export = exchange.export_union({"card": t.card}, RUN_TS)
+    raw = records.export_records(export, "card", charset="cp037")
+    return records.import_records(raw, charset="cp037")["card"]
+
+
+@add(
+    "auth_segments",
+    """SELECT acct_id, CAST(credit_limit AS DECIMAL(11,2)) AS credit_limit,
+       CAST(credit_balance AS DECIMAL(11,2)) AS credit_balance, approved_cnt, declined_cnt,
+       CAST(approved_amt AS DECIMAL(11,2)) AS approved_amt FROM {auth_summary}""",
+)
+def _(t: Tables):
+    layout = records.AUTH_SUMMARY_SEGMENT
+    have = t.auth_summary
+    full = have.select(*have.columns, *[
+        F.lit(None).alias(f.name) for f in layout.fields if f.name not in have.columns
+    ])
+    raw = full.select(records.render_records(full, layout).alias("record"))
+    return records.parse_records(raw, layout).select(
+        "acct_id", "credit_limit", "credit_balance", "approved_cnt", "declined_cnt", "approved_amt"
+    )
+
+
 @add(
     "reject_sink",
     DECIDED_SQL + """SELECT *, CASE reason WHEN 100 THEN 'INVALID CARD NUMBER FOUND'

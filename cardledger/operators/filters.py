@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 
 
 def filter_date_range(tx: DataFrame, start: dt.date, end: dt.date, column: str = "proc_date") -> DataFrame:
-    """Rows whose date lies between ``start`` and ``end``, both included."""
+    """Rows whose date lies between ``start`` and ``end``, both included.
+
+    A timestamp column is compared as it is, without a cast, so that the range reaches the scan.
+    """
+    kind = tx.schema[column].dataType.typeName()
+    if kind.startswith("timestamp"):
+        after = end + dt.timedelta(days=1)
+        first, last = F.lit(start).cast(kind), F.lit(after).cast(kind)
+        return tx.where((F.col(column) >= first) & (F.col(column) < last))
     return tx.where(F.col(column).between(F.lit(start), F.lit(end)))
 
 

@@ -1,9 +1,9 @@
 """Dense numbering and neighbours over a total order, without sending a group to one task.
 
-Large inputs are cut into buckets of the (group, order) key.  The bucket bounds come from a hash
-sample of those keys, so a row's bucket depends on the row alone and a recomputed task gives the
-same result.  Work inside a bucket is an ordinary window; what crosses buckets is carried by one
-small row per bucket, or per bucket and group.
+Large inputs are range-partitioned and sorted on the (group, order) key and written once.  A row
+then has a partition, called bucket, and a place in it; both are stored with it, so nothing depends
+on a plan being computed the same way twice.  What crosses buckets is carried by one small row per
+bucket, or per bucket and group.
 """
 
 from __future__ import annotations
@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from cardledger.session import materialize
 
-#: Up to this many rows one sorted partition is cheaper than two more passes.
+#: Up to this many rows one sorted partition is cheaper than writing and reading back.
 SMALL_ROWS = 200_000
 ROWS_PER_BUCKET = 1_000_000
-SAMPLES_PER_BUCKET = 50
+MAX_BUCKETS = 20_000
+_OFFSET_BITS = 33  # monotonically_increasing_id: partition above, place in it below
 
 
 def in_buckets(
@@ -26,36 +27,24 @@ def in_buckets(
     rows_per_bucket: int = ROWS_PER_BUCKET,
     store: bool = False,
 ) -> tuple[DataFrame, bool]:
-    """Add ``_bucket``, increasing along ``order`` (unique, not null); not for small inputs.
+    """Add ``_bucket``, increasing along ``order`` (unique, not null), and ``_place`` in it, from 0;
+    not for small inputs.  Returns the rows and whether they are in buckets.
 
-    The input is read up to four times, only its order columns but for the last time.  That is
-    cheap for a scan; ``store`` writes a computed input once first.  Returns the rows and whether
-    they are in buckets.
+    Counting reads no columns of a scan; ``store`` writes a computed input once first.
     """
-    df = materialize(df, "ordered") if store else df
-    total = df.select(*order).count()
+    df = materialize(df, "input") if store else df
+    total = df.count()
     if total <= small_rows:
         return df, False
-    buckets = max(2, -(-total // rows_per_bucket))
-    thin = max(1, total // (buckets * SAMPLES_PER_BUCKET))
-    keyed = df.select(F.struct(*order).alias("k"))
-    # About SAMPLES_PER_BUCKET sampled keys per bucket reach the driver, never rows.
-    sample = sorted(
-        r["k"] for r in keyed.where(F.pmod(F.xxhash64("k"), F.lit(thin)) == 0).collect()
-    )
-    step = max(1, len(sample) // buckets)
-    bounds = sample[step::step][: buckets - 1]
-    if not bounds:
-        return df.withColumn("_bucket", F.lit(0)), True
-    fields = df.select(*order).schema
-    limits = F.array(
-        *[
-            F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(b, fields)])
-            for b in bounds
-        ]
-    )
-    bucket = F.size(F.filter(limits, lambda b: b <= F.struct(*order)))
-    return df.withColumn("_bucket", bucket), True
+    buckets = min(MAX_BUCKETS, max(2, -(-total // rows_per_bucket)))
+    placed = df.repartitionByRange(buckets, *order).sortWithinPartitions(*order)
+    stored = materialize(placed.withColumn("_pos", F.monotonically_increasing_id()), "ordered")
+    pos = F.col("_pos")
+    return stored.select(
+        *df.columns,
+        F.shiftright(pos, _OFFSET_BITS).cast("int").alias("_bucket"),
+        pos.bitwiseAND(F.lit(2**_OFFSET_BITS - 1)).alias("_place"),
+    ), True
 
 
 def run_sequence(
@@ -67,15 +56,13 @@ def run_sequence(
         number = F.row_number().over(Window.orderBy(*order)).cast("bigint")
         return placed.withColumn(name, number + F.lit(start - 1))
     counts = placed.groupBy("_bucket").agg(F.count("*").alias("_n"))
-    # One row per bucket: a window without partitions over a few thousand rows at most.
+    # One row per bucket, at most MAX_BUCKETS: a window without partitions and a broadcast.
     running = F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0))
     shift = counts.select("_bucket", (running - F.col("_n")).alias("_shift"))
-    inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order)).cast("bigint")
     return (
-        placed.withColumn("_inside", inside)
-        .join(F.broadcast(shift), "_bucket")
-        .withColumn(name, F.col("_inside") + F.col("_shift") + F.lit(start - 1))
-        .drop("_bucket", "_inside", "_shift")
+        placed.join(F.broadcast(shift), "_bucket")
+        .withColumn(name, F.col("_place") + F.col("_shift") + F.lit(start))
+        .drop("_bucket", "_place", "_shift")
     )
 
 
@@ -96,7 +83,7 @@ def group_sequence(
         placed.withColumn("_own", F.row_number().over(part).cast("bigint"))
         .join(shift, ["_bucket", *group])
         .withColumn(name, F.col("_own") + F.col("_shift"))
-        .drop("_own", "_shift", "_bucket")
+        .drop("_own", "_shift", "_bucket", "_place")
     )
 
 
@@ -119,7 +106,7 @@ def last_before(
         placed.withColumn("_own", F.last("_v", ignorenulls=True).over(part))
         .join(carry, ["_bucket", *group])
         .withColumn(name, F.coalesce("_own", "_carry"))
-        .drop("_v", "_own", "_carry", "_bucket")
+        .drop("_v", "_own", "_carry", "_bucket", "_place")
     )
 
 
@@ -141,7 +128,7 @@ def next_in_group(
         placed.withColumn("_own", F.lead("_row").over(part))
         .join(carry, ["_bucket", *group])
         .withColumn(name, F.coalesce("_own", "_carry"))
-        .drop("_row", "_own", "_carry", "_bucket")
+        .drop("_row", "_own", "_carry", "_bucket", "_place")
     )
 
 
