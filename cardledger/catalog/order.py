@@ -23,7 +23,8 @@ COLS = ", ".join(SHORT)
     recursive=True,
 )
 def _(t: Tables):
-    return posting.decide(t.daily, t.xref, t.account).select("tran_id", "acct_id", "amt", "reason")
+    rows = t.daily.select("tran_id", "seq", "amt", "card_num", "orig_date")
+    return posting.decide(rows, t.xref, t.account).select("tran_id", "acct_id", "amt", "reason")
 
 
 @add(

@@ -20,7 +20,9 @@ add = REGISTRY.add
 
 
 def posted(t: Tables):
-    return posting.posted_rows(posting.decide(t.daily, t.xref, t.account), RUN_TS)
+    """Posted rows with the columns that the balances need."""
+    rows = t.daily.select("seq", "type_cd", "cat_cd", "amt", "card_num", "orig_date")
+    return posting.posted_rows(posting.decide(rows, t.xref, t.account), RUN_TS)
 
 
 @add(
@@ -51,7 +53,8 @@ def _(t: Tables):
     recursive=True,
 )
 def _(t: Tables):
-    return A.posting_counts(posting.decide(t.daily, t.xref, t.account))
+    rows = t.daily.select("seq", "amt", "card_num", "orig_date")
+    return A.posting_counts(posting.decide(rows, t.xref, t.account))
 
 
 @add(
