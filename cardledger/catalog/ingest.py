@@ -107,7 +107,7 @@ def _(t: Tables):
 
 @add(
     "import_records_ebcdic",
-    "SELECT card_num, acct_id, CAST(cvv AS BIGINT) AS cvv, embossed_name, expiry_date, active_status FROM {card}",
+    "SELECT card_num, acct_id, cvv, embossed_name, expiry_date, active_status FROM {card}",
 )
 def _(t: Tables):
     export = exchange.export_union({"card": t.card}, RUN_TS)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cardledger import schemas
 from cardledger.functions import decode
 from cardledger.functions.dates import real_date
 from cardledger.functions.text import blank_to_null
@@ -80,6 +81,12 @@ AUTH_DETAIL_SEGMENT = Layout("auth_detail", 200, _fields(
 ))
 
 
+_ENTITIES = {
+    "customer": schemas.CUSTOMER, "account": schemas.ACCOUNT, "transaction": schemas.TRANSACTION,
+    "xref": schemas.XREF, "card": schemas.CARD,
+}
+
+
 @F.pandas_udf(T.StringType())
 def ebcdic_text(raw: pd.Series) -> pd.Series:
     return raw.map(lambda b: None if b is None else bytes(b).decode("cp037"))
@@ -113,12 +120,24 @@ def _value(record: Column, field: Field, base: int, charset: str) -> Column:
 
 
 def parse_records(
-    records: DataFrame, layout: Layout, column: str = "record", base: int = 0, charset: str = "US-ASCII"
+    records: DataFrame,
+    layout: Layout,
+    column: str = "record",
+    base: int = 0,
+    charset: str = "US-ASCII",
+    schema: T.StructType | None = None,
 ) -> DataFrame:
-    """Binary records to typed columns; ``base`` bytes in front of the layout are skipped."""
-    return records.select(
-        *[_value(F.col(column), f, base, charset).alias(f.name) for f in layout.fields]
-    )
+    """Binary records to typed columns; ``base`` bytes in front of the layout are skipped.
+
+    Numbers get the types of ``schema`` where it names them.
+    """
+    def typed(field: Field) -> Column:
+        value = _value(F.col(column), field, base, charset)
+        if schema is not None and field.name in schema.names and field.kind not in ("text", "date"):
+            value = value.cast(schema[field.name].dataType)
+        return value.alias(field.name)
+
+    return records.select(*[typed(f) for f in layout.fields])
 
 
 def import_records(records: DataFrame, column: str = "record", charset: str = "US-ASCII") -> dict[str, DataFrame]:
@@ -127,7 +146,8 @@ def import_records(records: DataFrame, column: str = "record", charset: str = "U
     tagged = records.withColumn("_tag", tag)
     out = {
         name: parse_records(
-            tagged.where(F.col("_tag") == code), EXPORT_BODIES[name], column, EXPORT_HEADER.length, charset
+            tagged.where(F.col("_tag") == code), EXPORT_BODIES[name], column,
+            EXPORT_HEADER.length, charset, _ENTITIES[name],
         )
         for code, name in TAGS.items()
     }

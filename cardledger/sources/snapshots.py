@@ -1,8 +1,9 @@
 """Versioned snapshots of a table: write the next one, read the latest, keep the last N.
 
-A table is a folder with ``v=<n>`` subfolders and a ``_current`` file naming the latest complete
-one.  The pointer moves only after the data is written, so a job lost halfway leaves the previous
-version current.
+A table is a folder with ``v=<n>`` subfolders and an empty marker file ``_current.<n>`` per
+published version.  The marker is made after the data is written, in one step, so a job lost
+halfway leaves the previous version current.  A job with several outputs writes all of them first
+(``publish_now=False``) and publishes them at the end.
 """
 
 from __future__ import annotations
@@ -26,41 +27,41 @@ def snapshot_versions(spark: SparkSession, root: str) -> list[int]:
 
 
 def current_version(spark: SparkSession, root: str) -> int | None:
+    """The latest published version."""
     fs, jvm = _fs(spark, root)
-    path = jvm.org.apache.hadoop.fs.Path(f"{root}/_current")
+    path = jvm.org.apache.hadoop.fs.Path(root)
     if not fs.exists(path):
         return None
-    stream = fs.open(path)
-    try:
-        return int(stream.readLine())
-    finally:
-        stream.close()
+    names = [s.getPath().getName() for s in fs.listStatus(path)]
+    marked = [int(n[9:]) for n in names if n.startswith("_current.") and n[9:].isdigit()]
+    return max(marked, default=None)
 
 
-def _point_to(spark: SparkSession, root: str, version: int) -> None:
+def publish(spark: SparkSession, root: str, version: int, keep: int = 5) -> None:
+    """Make a written version current and drop versions beyond the last ``keep``."""
     fs, jvm = _fs(spark, root)
-    new = jvm.org.apache.hadoop.fs.Path(f"{root}/_current.{version}")
-    out = fs.create(new, True)
-    out.writeBytes(f"{version}\n")
-    out.close()
-    pointer = jvm.org.apache.hadoop.fs.Path(f"{root}/_current")
-    if fs.exists(pointer):
-        fs.delete(pointer, False)
-    fs.rename(new, pointer)
+    fs.create(jvm.org.apache.hadoop.fs.Path(f"{root}/_current.{version}"), True).close()
+    for old in [v for v in snapshot_versions(spark, root) if v <= version - keep]:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{root}/_current.{old}"), False)
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{root}/v={old}"), True)
 
 
-def snapshot_write(df: DataFrame, root: str, keep: int = 5, partition_by: list[str] | None = None) -> int:
-    """Write the next version, make it current, drop versions beyond the last ``keep``."""
+def snapshot_write(
+    df: DataFrame,
+    root: str,
+    keep: int = 5,
+    partition_by: list[str] | None = None,
+    publish_now: bool = True,
+) -> int:
+    """Write the next version and, unless told otherwise, publish it; returns its number."""
     spark = df.sparkSession
     version = max(snapshot_versions(spark, root), default=0) + 1
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{root}/v={version}")
-    _point_to(spark, root, version)
-    fs, jvm = _fs(spark, root)
-    for old in [v for v in snapshot_versions(spark, root) if v <= version - keep]:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{root}/v={old}"), True)
+    if publish_now:
+        publish(spark, root, version, keep)
     return version
 
 

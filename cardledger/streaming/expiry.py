@@ -9,7 +9,9 @@ that same batch instead of being dropped as late.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -53,6 +55,33 @@ def _expire(batch: DataFrame, batch_id: int, store: str, days: int) -> None:
     ).write.mode("overwrite").parquet(f"{store}/late/batch={batch_id}")
 
 
+def drop_expired_folders(spark: SparkSession, store: str, days: int = 5) -> int:
+    """Remove the day folders that an earlier batch has expired; run it between stream runs.
+
+    Only what the last but one clock had already expired is removed, since the last batch may
+    still be repeated.  Returns the number of folders removed.
+    """
+    clocks = spark.read.schema(_CLOCK).parquet(f"{store}/clock/*")
+    # One row per micro-batch.
+    last = [r["clock"] for r in clocks.orderBy(F.desc("batch")).limit(2).collect()]
+    if len(last) < 2 or last[1] is None:
+        return 0
+    limit = last[1] - dt.timedelta(days=days)
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{store}/live/batch=*/auth_date=*")
+    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    gone = 0
+    newest = clocks.agg(F.max("batch")).first()[0]
+    for status in fs.globStatus(pattern):
+        path = status.getPath()
+        day = dt.date.fromisoformat(path.getName().split("=", 1)[1])
+        batch = int(path.getParent().getName().split("=", 1)[1])
+        if day <= limit and batch < newest:
+            fs.delete(path, True)
+            gone += 1
+    return gone
+
+
 def auth_expiry_stream(details: DataFrame, store: str, checkpoint: str, days: int = 5) -> StreamingQuery:
     """Run over what is there; results are below ``store``: ``expired`` and ``late``."""
     return run_batches(details, lambda df, n: _expire(df, n, store, days), checkpoint)

@@ -150,3 +150,5 @@ def test_expiry_stream_reports_late_rows(spark, tmp_path):
         (1, 1, 1), (4, 2, 1), (6, 2, 1), (7, 2, 1), (2, 2, 1)
     }
     assert [r.event_key for r in spark.read.parquet(f"{store}/late").collect()] == ["5"]
+    # the clock before the last stood at the 7th: days up to the 2nd may go, but not of the last batch
+    assert expiry.drop_expired_folders(spark, store, days=5) == 1

@@ -109,6 +109,10 @@ def test_snapshots_keep_the_last(spark, tmp_path):
     assert snapshots.snapshot_versions(spark, root) == [5, 6, 7]
     assert snapshots.snapshot_read(spark, root).count() == 7
     assert snapshots.snapshot_read(spark, root, -1).count() == 6
+    waiting = snapshots.snapshot_write(spark.range(99), root, publish_now=False)
+    assert snapshots.snapshot_read(spark, root).count() == 7
+    snapshots.publish(spark, root, waiting, keep=3)
+    assert snapshots.snapshot_read(spark, root).count() == 99
     with pytest.raises(FileNotFoundError):
         snapshots.snapshot_read(spark, str(tmp_path / "none"))
 
