@@ -272,13 +272,12 @@ def _(t: Tables):
     )
 
 
-@add(
-    "auth_reply_sink",
-    AUTH_SQL + f"""SELECT req_id AS correlation_id, concat(rpad(card_num, 16, ' '), ',',
+REPLY_SQL = AUTH_SQL + f"""SELECT req_id AS correlation_id, concat(rpad(card_num, 16, ' '), ',',
        rpad(lpad(CAST(req_id AS VARCHAR), 15, '0'), 15, ' '), ',', strftime(ts, '%H%M%S'), ',',
-       resp_code, ',', resp_reason, ',', {edited('approved_amt', '+9(10).99')}, ',') AS value FROM decided""",
-    recursive=True,
-)
+       resp_code, ',', resp_reason, ',', {edited('approved_amt', '+9(10).99')}, ',') AS value FROM decided"""
+
+
+@add("auth_reply_sink", REPLY_SQL, recursive=True)
 def _(t: Tables):
     decided = AU.decide(t.auth_request, t.xref, t.auth_account, t.customer_master)
     return messages.auth_reply_lines(

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cardledger.catalog.ingest import REPLY_SQL
 from cardledger.catalog.registry import AUTH_SQL, Registry, Tables
 from cardledger.fixtures import VIEWS
+from cardledger.functions.money import edit_amount
 from cardledger.plans import authorization as AU
 from cardledger.session import scratch_path
+from cardledger.sources import messages
 from cardledger.streaming import authorization as SA
 from cardledger.streaming import expiry, inquiry, run
 
@@ -110,6 +113,33 @@ def _(t: Tables):
     )
 
 
+def plain_lines(t: Tables):
+    """One request message per request, amounts in the message's own form."""
+    text = F.concat_ws(
+        ",", F.date_format("ts", "yyMMdd"), F.date_format("ts", "HHmmss"), "card_num", "auth_type",
+        F.lit("0127,0100,POS,000000"), edit_amount(F.col("amt"), "+9(10).99"),
+        F.lit("5411,840,05,MERCHANT,SHOP,TOWN,TX,75001"), F.lpad(F.col("req_id").cast("string"), 15, "0"),
+    )
+    return t.auth_request.select("req_id", text.alias("value"))
+
+
+@add("auth_reply_stream", REPLY_SQL, recursive=True)
+def _(t: Tables):
+    inbox, outbox = scratch_path(t.spark, "inbox"), scratch_path(t.spark, "outbox")
+    lines = plain_lines(t)
+    lines.write.parquet(inbox)
+    asked = messages.requests_from_messages(
+        messages.auth_request_source(run.read_files(t.spark, inbox, lines.schema))
+    )
+    decided = SA.auth_decide_stream(asked, t.xref, t.auth_account, t.customer_master)
+
+    def reply(df, batch_id: int) -> None:
+        messages.auth_reply_lines(df).write.mode("overwrite").parquet(f"{outbox}/batch={batch_id}")
+
+    run.run_batches(decided, reply, scratch_path(t.spark, "reply-checkpoint"), "update")
+    return t.spark.read.parquet(outbox).drop("batch")
+
+
 @add("bounded_run", "SELECT req_id, ts, card_num, auth_type, amt FROM {auth_request}")
 def _(t: Tables):
     return finish(t, request_stream(t), "bounded")

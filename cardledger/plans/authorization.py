@@ -137,6 +137,27 @@ def summaries(stored: DataFrame, accounts: DataFrame) -> DataFrame:
     )
 
 
+def update_summaries(stored: DataFrame, new_details: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Stored summaries plus the details of a further run; limits are refreshed from the account."""
+    new = summaries(new_details, accounts)
+    added = ["credit_balance", "approved_cnt", "declined_cnt", "approved_amt", "declined_amt"]
+    limits = ["credit_limit", "cash_limit"]
+    fresh = new.select(
+        "acct_id", F.lit(True).alias("_new"), *[F.col(c).alias(f"_{c}") for c in [*limits, *added]]
+    )
+    merged = stored.join(fresh, "acct_id", "full")
+    return merged.select(
+        "acct_id",
+        *[F.when(F.col("_new"), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) for c in limits],
+        F.lit(0).cast(MONEY).alias("cash_balance"),
+        *[
+            (F.coalesce(c, F.lit(0)) + F.coalesce(f"_{c}", F.lit(0)))
+            .cast(new.schema[c].dataType).alias(c)
+            for c in added
+        ],
+    )
+
+
 def auth_account_view(
     requests: DataFrame, xref: DataFrame, accounts: DataFrame, customers: DataFrame, summary: DataFrame
 ) -> DataFrame:

@@ -14,6 +14,7 @@ from cardledger.operators.changes import apply_posting, upsert_category_balance
 from cardledger.operators.headroom import fold_in_order
 from cardledger.operators.joins import with_card_account
 from cardledger.session import materialize
+from cardledger.sources.snapshots import publish, snapshot_write
 
 # Reject reasons.
 REASONS = {
@@ -109,3 +110,21 @@ def post_daily(
         category_balances=upsert_category_balance(category_balances, A.category_balance(ledger)),
         accounts=apply_posting(accounts, A.cycle_amounts(ledger)),
     )
+
+
+OUTPUTS = {
+    "ledger": lambda job: job.ledger, "rejects": lambda job: job.rejects,
+    "category_balances": lambda job: job.category_balances, "accounts": lambda job: job.accounts,
+}
+
+
+def write_posting(job: Posting, root: str, keep: int = 5) -> dict[str, int]:
+    """Write the outputs as the next snapshots below ``root``; none is current before all are there."""
+    spark = job.decisions.sparkSession
+    versions = {
+        name: snapshot_write(pick(job), f"{root}/{name}", keep, publish_now=False)
+        for name, pick in OUTPUTS.items()
+    }
+    for name, version in versions.items():
+        publish(spark, f"{root}/{name}", version, keep)
+    return versions

@@ -22,6 +22,15 @@ def auth_request_source(lines: DataFrame, column: str = "value") -> DataFrame:
     return parsed.withColumn("amt", numval(F.col("transaction_amt"), 12, 2)).drop("transaction_amt")
 
 
+def requests_from_messages(parsed: DataFrame) -> DataFrame:
+    """Parsed messages (with ``req_id``) as requests: time of the message, its time as id code."""
+    stamp = F.try_to_timestamp(F.concat("auth_date", "auth_time"), F.lit("yyMMddHHmmss"))
+    return parsed.select(
+        "req_id", stamp.alias("ts"), "card_num", "auth_type", "amt", "transaction_id",
+        F.col("auth_time").alias("auth_id_code"),
+    )
+
+
 def auth_reply_lines(decided: DataFrame) -> DataFrame:
     """Reply line per decided request: card, transaction, id code, response, reason, amount."""
     reply = F.concat(

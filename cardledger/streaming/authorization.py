@@ -26,6 +26,7 @@ _OUT = T.StructType(
         T.StructField("auth_type", T.StringType()), T.StructField("acct_id", T.LongType()),
         T.StructField("account_found", T.BooleanType()),
         T.StructField("customer_found", T.BooleanType()),
+        T.StructField("transaction_id", T.StringType()), T.StructField("auth_id_code", T.StringType()),
         T.StructField("amt_c", T.LongType()), T.StructField("limit_c", T.LongType()),
         T.StructField("cash_limit_c", T.LongType()), T.StructField("approved", T.BooleanType()),
         *[T.StructField(f"s_{f.name}", T.LongType()) for f in _STATE],
@@ -64,7 +65,7 @@ class DecideRequests(StatefulProcessor):
             after.append([int(v) for v in s])
         if acct >= 0:
             self._summary.update(tuple(int(v) for v in s))
-        out = pdf[[f.name for f in _OUT.fields[:11]]].copy()
+        out = pdf[[f.name for f in _OUT.fields if f.name in pdf.columns]].copy()
         out["approved"] = flags
         for i, f in enumerate(_STATE):
             out[f"s_{f.name}"] = [row[i] for row in after]
@@ -82,12 +83,19 @@ def auth_enrich_stream(requests: DataFrame, xref: DataFrame, accounts: DataFrame
 def auth_decide_stream(
     requests: DataFrame, xref: DataFrame, accounts: DataFrame, customers: DataFrame
 ) -> DataFrame:
-    """Stream of decisions; the summary after each decision travels along as ``s_*`` columns."""
+    """Stream of decisions; the summary after each decision travels along as ``s_*`` columns.
+
+    ``transaction_id`` and ``auth_id_code`` of the requests, if there, go through to the replies.
+    """
     configure_state(requests.sparkSession)
     zero = F.lit(0).cast("bigint")
+    given = {
+        c: (F.col(c) if c in requests.columns else F.lit(None).cast("string")).alias(c)
+        for c in ("transaction_id", "auth_id_code")
+    }
     rows = enrich(requests, xref, accounts, customers).select(
         "fold_key", "req_id", "ts", "card_num", "auth_type", "acct_id", "account_found",
-        "customer_found", F.coalesce(cents(F.col("amt")), zero).alias("amt_c"),
+        "customer_found", *given.values(), F.coalesce(cents(F.col("amt")), zero).alias("amt_c"),
         F.coalesce(cents(F.col("credit_limit")), zero).alias("limit_c"),
         F.coalesce(cents(F.col("cash_credit_limit")), zero).alias("cash_limit_c"),
         F.coalesce(cents(F.col("curr_bal")), zero).alias("balance_c"),
@@ -98,7 +106,8 @@ def auth_decide_stream(
     card_found = F.col("acct_id").isNotNull()
     money = {f.name: from_cents(F.col(f"s_{f.name}")) for f in _STATE if not f.name.endswith("_cnt")}
     return decided.select(
-        "req_id", "ts", "card_num", "auth_type", "acct_id", from_cents(F.col("amt_c")).alias("amt"),
+        "req_id", "ts", "card_num", "auth_type", "acct_id", "transaction_id", "auth_id_code",
+        from_cents(F.col("amt_c")).alias("amt"),
         F.when(F.col("approved"), "00").otherwise("05").alias("resp_code"),
         auth_reason(
             F.col("approved"), card_found, F.col("account_found"), F.col("customer_found"),

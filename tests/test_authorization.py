@@ -63,6 +63,10 @@ def test_second_run_goes_on_from_the_summaries(spark, masters):
     stored = AU.summaries(AU.details(AU.decide(first, *masters)), acct)
     got = AU.decide(later, *masters, summaries=stored).collect()
     assert {r.req_id: r.resp_reason for r in got} == {k: v for k, v in EXPECTED.items() if 5 <= k <= 9}
+    second = AU.details(AU.decide(later, *masters, summaries=stored))
+    merged = AU.update_summaries(stored, second, acct)
+    whole = AU.summaries(AU.details(AU.decide(requests(spark, ROWS), *masters)), acct)
+    assert sorted(map(tuple, merged.select(whole.columns).collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
 
 
 def test_unknown_card_stores_nothing(spark, masters):

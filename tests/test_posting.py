@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cardledger.operators import aggregates as A
 from cardledger.plans import combine, interest, posting
+from cardledger.sources import snapshots
 
 TS = dt.datetime(2001, 9, 1, 12, 0)
 DAY = dt.date(2001, 8, 1)
@@ -64,7 +65,7 @@ def test_payment_uses_up_room_like_a_purchase(spark, masters):
     assert reasons(spark, masters, rows) == {1: 0, 2: 102, 3: 0, 4: 102}
 
 
-def test_job_balances(spark, masters):
+def test_job_balances(spark, masters, tmp_path):
     acct, cards = masters
     tx = daily(spark, [(i, f"c{1 + i % 4}", str(i % 7 * 3 - 4), DAY) for i in range(1, 200)])
     old = spark.createDataFrame(
@@ -80,6 +81,9 @@ def test_job_balances(spark, masters):
     assert job.accounts.agg(F.sum("curr_bal")).first()[0] == posted
     assert A.return_code(job.counts) == 4
     assert {r.proc_ts for r in job.ledger.select("proc_ts").distinct().collect()} == {TS}
+    assert set(posting.write_posting(job, str(tmp_path / "out")).values()) == {1}
+    kept = snapshots.snapshot_read(spark, str(tmp_path / "out" / "ledger"))
+    assert kept.count() == counts[0]
 
 
 def test_interest_edges(spark):
