@@ -81,6 +81,14 @@ def with_report_dimensions(
     return out.withColumn("lookup_failed", failed).drop("_card")
 
 
+def require_lookups(df: DataFrame) -> DataFrame:
+    """Raise when a row has ``lookup_failed`` set (strict runs), naming a few of them."""
+    bad = df.where(F.col("lookup_failed").isNotNull()).limit(5).collect()
+    if bad:
+        raise LookupError("; ".join(f"{r['lookup_failed']} missing: {r.asDict()}" for r in bad))
+    return df
+
+
 def join_rate_with_default(balances: DataFrame, rates: DataFrame, default: str = "DEFAULT") -> DataFrame:
     """Rate of (group, type, category), else of the default group."""
     own = rates.select("group_id", "type_cd", "cat_cd", F.col("rate").alias("_own"))

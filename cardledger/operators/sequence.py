@@ -27,7 +27,7 @@ def in_buckets(
     rows_per_bucket: int = ROWS_PER_BUCKET,
     store: bool = False,
 ) -> tuple[DataFrame, bool]:
-    """Add ``_bucket``, increasing along ``order`` (unique, not null), and ``_place`` in it, from 0;
+    """Add ``__bucket``, increasing along ``order`` (unique, not null), and ``__place`` in it, from 0;
     not for small inputs.  Returns the rows and whether they are in buckets.
 
     Counting reads no columns of a scan; ``store`` writes a computed input once first.
@@ -38,12 +38,12 @@ def in_buckets(
         return df, False
     buckets = min(MAX_BUCKETS, max(2, -(-total // rows_per_bucket)))
     placed = df.repartitionByRange(buckets, *order).sortWithinPartitions(*order)
-    stored = materialize(placed.withColumn("_pos", F.monotonically_increasing_id()), "ordered")
-    pos = F.col("_pos")
+    stored = materialize(placed.withColumn("__pos", F.monotonically_increasing_id()), "ordered")
+    pos = F.col("__pos")
     return stored.select(
         *df.columns,
-        F.shiftright(pos, _OFFSET_BITS).cast("int").alias("_bucket"),
-        pos.bitwiseAND(F.lit(2**_OFFSET_BITS - 1)).alias("_place"),
+        F.shiftright(pos, _OFFSET_BITS).cast("int").alias("__bucket"),
+        pos.bitwiseAND(F.lit(2**_OFFSET_BITS - 1)).alias("__place"),
     ), True
 
 
@@ -55,14 +55,14 @@ def run_sequence(
     if not bucketed:
         number = F.row_number().over(Window.orderBy(*order)).cast("bigint")
         return placed.withColumn(name, number + F.lit(start - 1))
-    counts = placed.groupBy("_bucket").agg(F.count("*").alias("_n"))
+    counts = placed.groupBy("__bucket").agg(F.count("*").alias("__n"))
     # One row per bucket, at most MAX_BUCKETS: a window without partitions and a broadcast.
-    running = F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0))
-    shift = counts.select("_bucket", (running - F.col("_n")).alias("_shift"))
+    running = F.sum("__n").over(Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, 0))
+    shift = counts.select("__bucket", (running - F.col("__n")).alias("__shift"))
     return (
-        placed.join(F.broadcast(shift), "_bucket")
-        .withColumn(name, F.col("_place") + F.col("_shift") + F.lit(start))
-        .drop("_bucket", "_place", "_shift")
+        placed.join(F.broadcast(shift), "__bucket")
+        .withColumn(name, F.col("__place") + F.col("__shift") + F.lit(start))
+        .drop("__bucket", "__place", "__shift")
     )
 
 
@@ -75,15 +75,15 @@ def group_sequence(
     if not bucketed:
         number = F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("bigint")
         return placed.withColumn(name, number)
-    part = Window.partitionBy("_bucket", *group).orderBy(*order)
-    counts = placed.groupBy("_bucket", *group).agg(F.count("*").alias("_n"))
-    across = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    shift = counts.withColumn("_shift", F.coalesce(F.sum("_n").over(across), F.lit(0))).drop("_n")
+    part = Window.partitionBy("__bucket", *group).orderBy(*order)
+    counts = placed.groupBy("__bucket", *group).agg(F.count("*").alias("__n"))
+    across = Window.partitionBy(*group).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    shift = counts.withColumn("__shift", F.coalesce(F.sum("__n").over(across), F.lit(0))).drop("__n")
     return (
-        placed.withColumn("_own", F.row_number().over(part).cast("bigint"))
-        .join(shift, ["_bucket", *group])
-        .withColumn(name, F.col("_own") + F.col("_shift"))
-        .drop("_own", "_shift", "_bucket", "_place")
+        placed.withColumn("__own", F.row_number().over(part).cast("bigint"))
+        .join(shift, ["__bucket", *group])
+        .withColumn(name, F.col("__own") + F.col("__shift"))
+        .drop("__own", "__shift", "__bucket", "__place")
     )
 
 
@@ -91,22 +91,22 @@ def last_before(
     df: DataFrame, group: list[str], order: list[str], value: Column, name: str, **sizes: int
 ) -> DataFrame:
     """Add ``name``: the last non-null ``value`` of the rows before this one in its group."""
-    placed, bucketed = in_buckets(df.withColumn("_v", value), [*group, *order], **sizes)
+    placed, bucketed = in_buckets(df.withColumn("__v", value), [*group, *order], **sizes)
     earlier = (Window.unboundedPreceding, -1)
     if not bucketed:
         w = Window.partitionBy(*group).orderBy(*order).rowsBetween(*earlier)
-        return placed.withColumn(name, F.last("_v", ignorenulls=True).over(w)).drop("_v")
-    part = Window.partitionBy("_bucket", *group).orderBy(*order).rowsBetween(*earlier)
-    ends = placed.where(F.col("_v").isNotNull()).groupBy("_bucket", *group)
-    ends = ends.agg(F.max_by("_v", F.struct(*order)).alias("_end"))
-    spans = placed.select("_bucket", *group).distinct().join(ends, ["_bucket", *group], "left")
-    across = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(*earlier)
-    carry = spans.withColumn("_carry", F.last("_end", ignorenulls=True).over(across)).drop("_end")
+        return placed.withColumn(name, F.last("__v", ignorenulls=True).over(w)).drop("__v")
+    part = Window.partitionBy("__bucket", *group).orderBy(*order).rowsBetween(*earlier)
+    ends = placed.where(F.col("__v").isNotNull()).groupBy("__bucket", *group)
+    ends = ends.agg(F.max_by("__v", F.struct(*order)).alias("__end"))
+    spans = placed.select("__bucket", *group).distinct().join(ends, ["__bucket", *group], "left")
+    across = Window.partitionBy(*group).orderBy("__bucket").rowsBetween(*earlier)
+    carry = spans.withColumn("__carry", F.last("__end", ignorenulls=True).over(across)).drop("__end")
     return (
-        placed.withColumn("_own", F.last("_v", ignorenulls=True).over(part))
-        .join(carry, ["_bucket", *group])
-        .withColumn(name, F.coalesce("_own", "_carry"))
-        .drop("_v", "_own", "_carry", "_bucket", "_place")
+        placed.withColumn("__own", F.last("__v", ignorenulls=True).over(part))
+        .join(carry, ["__bucket", *group])
+        .withColumn(name, F.coalesce("__own", "__carry"))
+        .drop("__v", "__own", "__carry", "__bucket", "__place")
     )
 
 
@@ -115,28 +115,28 @@ def next_in_group(
 ) -> DataFrame:
     """Add struct ``name``: ``columns`` of the following row of the same group, else NULL."""
     placed, bucketed = in_buckets(
-        df.withColumn("_row", F.struct(*columns)), [*group, *order], **sizes
+        df.withColumn("__row", F.struct(*columns)), [*group, *order], **sizes
     )
     if not bucketed:
         w = Window.partitionBy(*group).orderBy(*order)
-        return placed.withColumn(name, F.lead("_row").over(w)).drop("_row")
-    part = Window.partitionBy("_bucket", *group).orderBy(*order)
-    heads = placed.groupBy("_bucket", *group).agg(F.min_by("_row", F.struct(*order)).alias("_head"))
-    across = Window.partitionBy(*group).orderBy("_bucket")
-    carry = heads.withColumn("_carry", F.lead("_head").over(across)).drop("_head")
+        return placed.withColumn(name, F.lead("__row").over(w)).drop("__row")
+    part = Window.partitionBy("__bucket", *group).orderBy(*order)
+    heads = placed.groupBy("__bucket", *group).agg(F.min_by("__row", F.struct(*order)).alias("__head"))
+    across = Window.partitionBy(*group).orderBy("__bucket")
+    carry = heads.withColumn("__carry", F.lead("__head").over(across)).drop("__head")
     return (
-        placed.withColumn("_own", F.lead("_row").over(part))
-        .join(carry, ["_bucket", *group])
-        .withColumn(name, F.coalesce("_own", "_carry"))
-        .drop("_row", "_own", "_carry", "_bucket", "_place")
+        placed.withColumn("__own", F.lead("__row").over(part))
+        .join(carry, ["__bucket", *group])
+        .withColumn(name, F.coalesce("__own", "__carry"))
+        .drop("__row", "__own", "__carry", "__bucket", "__place")
     )
 
 
 def first_of_group(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     """The first row of each group (control break); combines on the map side."""
     rest = [c for c in df.columns if c not in {*group, *order}]
-    head = df.groupBy(*group).agg(F.min(F.struct(*order, *rest)).alias("_h"))
-    return head.select(*[c if c in group else F.col(f"_h.{c}") for c in df.columns])
+    head = df.groupBy(*group).agg(F.min(F.struct(*order, *rest)).alias("__h"))
+    return head.select(*[c if c in group else F.col(f"__h.{c}") for c in df.columns])
 
 
 def page_number(seq: Column, size: int = 20) -> Column:

@@ -12,7 +12,7 @@ from cardledger.functions.money import trunc_cents
 from cardledger.functions.text import pad_key
 from cardledger.operators.aggregates import money_sum
 from cardledger.operators.changes import apply_interest
-from cardledger.operators.joins import first_card, join_rate_with_default
+from cardledger.operators.joins import first_card, join_rate_with_default, require_lookups
 from cardledger.operators.sequence import run_sequence
 from cardledger.session import materialize
 
@@ -53,14 +53,19 @@ def interest_calc(
     rates: DataFrame,
     run_date: dt.date,
     run_ts: dt.datetime,
+    strict: bool = False,
 ) -> Interest:
     """One interest transaction per category balance and the accounts after it.
 
     A transaction id is the run date and a running number of at least six digits over
     (account, type, category).  Every account that has a category balance starts a new cycle.
+    Balances whose account, card or rate is missing are set aside in ``failed``, or raise when
+    ``strict``.
     """
     # Written once: numbering, totals and the failed rows all start from it.
     looked_up = materialize(balances_with_lookups(balances, accounts, xref, rates), "interest")
+    if strict:
+        require_lookups(looked_up)
     interest = monthly_interest(looked_up)
     numbered = run_sequence(interest, ["acct_id", "type_cd", "cat_cd"], "_n")
     stamp = F.lit(run_ts).cast("timestamp")

@@ -11,7 +11,7 @@ from cardledger.functions.money import edit_amount
 from cardledger.functions.text import pad_key
 from cardledger.operators.aggregates import WIDE, money_sum
 from cardledger.operators.filters import filter_date_range
-from cardledger.operators.joins import with_report_dimensions
+from cardledger.operators.joins import require_lookups, with_report_dimensions
 from cardledger.operators.sequence import page_number, run_sequence
 from cardledger.session import materialize
 
@@ -33,11 +33,12 @@ def report_rows(
 
 
 def report_detail(
-    rows: DataFrame, xref: DataFrame, types: DataFrame, categories: DataFrame
+    rows: DataFrame, xref: DataFrame, types: DataFrame, categories: DataFrame, strict: bool = False
 ) -> DataFrame:
     """Report rows with account and descriptions; one with a missing card, type or category keeps
-    its place with ``lookup_failed`` set."""
-    return with_report_dimensions(rows, xref, types, categories)
+    its place with ``lookup_failed`` set, or raises when ``strict``."""
+    detail = with_report_dimensions(rows, xref, types, categories)
+    return require_lookups(detail) if strict else detail
 
 
 def transaction_report(rows: DataFrame, detail: DataFrame) -> DataFrame:

@@ -33,13 +33,13 @@ def export_union(
         df = tables[name]
         parts.append(
             df.select(
-                F.lit(tag).alias("rec_type"), F.lit(place).alias("_place"),
-                F.lpad(F.col(key).cast("string"), 20, "0").alias("_key"),
+                F.lit(tag).alias("rec_type"), F.lit(place).alias("tag_no"),
+                F.lpad(F.col(key).cast("string"), 20, "0").alias("record_key"),
                 F.struct(*df.columns).alias(name),
             )
         )
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    numbered = run_sequence(union, ["_place", "_key"], "seq_num")
+    numbered = run_sequence(union, ["tag_no", "record_key"], "seq_num")
     bodies = [name for _, name, _ in RECORDS if name in tables]
     return numbered.select(
         "rec_type", ts26(F.lit(run_ts).cast("timestamp")).alias("run_ts"), "seq_num",

@@ -107,6 +107,8 @@ def test_interest_edges(spark):
     after = {r.acct_id: (r.curr_bal, r.cyc_credit) for r in job.accounts.collect()}
     assert after == {1: (D("-1.25"), D("0")), 2: (D("2.08"), D("0")), 3: (D("0"), D("9")), 5: (D("0"), D("9"))}
     assert {(r.acct_id, r.lookup_failed) for r in job.failed.collect()} == {(5, "card"), (2, "rate")}
+    with pytest.raises(LookupError):
+        interest.interest_calc(balances, acct, cards, rates, DAY, TS, strict=True)
 
 
 def test_combine_refuses_repeated_ids(spark):
@@ -115,3 +117,30 @@ def test_combine_refuses_repeated_ids(spark):
     rows, repeated = combine.combine_transactions(ledger, system)
     assert sorted(map(tuple, rows.collect())) == [("1", 10), ("2", 20), ("3", 29)]
     assert {r.tran_id for r in repeated.collect()} == {"2", "3"}
+
+
+def test_report_totals(spark):
+    from cardledger.plans import reports
+
+    tx = spark.createDataFrame(
+        [(f"t{i:02d}", "01", 1, "S", D("1.50"), "c1" if i < 15 else "c2", dt.date(2001, 1, 1 + i)) for i in range(25)],
+        "tran_id string, type_cd string, cat_cd int, source string, amt decimal(12,2), card_num string, proc_date date",
+    )
+    cards = xref(spark, [("c1", 1, 1), ("c2", 2, 2)])
+    types = spark.createDataFrame([("01", "Purchase")], "type_cd string, type_desc string")
+    cats = spark.createDataFrame([("01", 1, "Sale")], "type_cd string, cat_cd int, cat_desc string")
+    # first and last row out of range
+    rows = reports.report_rows(tx, dt.date(2001, 1, 2), dt.date(2001, 1, 24), page_size=10)
+    detail = reports.report_detail(rows, cards, types, cats, strict=True)
+    out = reports.transaction_report(rows, detail).collect()
+    by = {k: [(r.page, r.card_num, r.amt) for r in out if r.kind == k] for k in ("page", "account", "grand")}
+    assert sorted(by["page"]) == [(1, None, D("15.00")), (2, None, D("15.00")), (3, None, D("4.50"))]
+    assert sorted(by["account"]) == [(None, "c1", D("21.00")), (None, "c2", D("13.50"))]
+    assert by["grand"] == [(None, None, D("34.50"))] and len(out) == 23 + 3 + 2 + 1
+    lines = reports.report_lines(rows, detail, dt.date(2001, 1, 2), dt.date(2001, 1, 24))
+    printed = [r.line for r in lines.orderBy("sort_no", "part").collect()]
+    assert {len(x) for x in printed} == {133} and printed[-1].startswith("Grand Total....")
+    assert sum(x.startswith("DALYREPT") for x in printed) == 3
+    none = types.where("type_cd = 'zz'")
+    with pytest.raises(LookupError):
+        reports.report_detail(rows, cards, none, cats, strict=True)

@@ -56,3 +56,10 @@ def test_pages_of_twenty(spark):
     df = spark.range(45).select((F.col("id") + 1).alias("s"))
     got = dict(df.groupBy(S.page_number(F.col("s"), 20).alias("p")).count().collect())
     assert got == {1: 20, 2: 20, 3: 5}
+
+
+def test_column_names_of_the_caller_do_not_clash(spark):
+    df = frame(spark).select("g", "i", F.lit(1).alias("_place"), F.lit(2).alias("_bucket"), F.lit(3).alias("_n"))
+    got = S.run_sequence(df, ["g", "i"], **BIG)
+    assert got.columns == [*df.columns, "seq_no"]
+    assert [r.seq_no for r in got.orderBy("g", "i").collect()] == list(range(1, 3001))
