@@ -27,7 +27,7 @@ opening headroom and all chunks are folded independently.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -51,7 +51,7 @@ def fold_in_order(
     key: str,
     order: list[str],
     source: DataFrame | None = None,
-    key_counts: DataFrame | None = None,
+    key_counts: Callable[[], DataFrame] | None = None,
     hot_rows: int = HOT_ROWS,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
@@ -62,12 +62,12 @@ def fold_in_order(
 
     Whether there are hot keys is settled by counting: first the rows of ``source`` (the scan
     that ``df`` has a row each of, if given), which is a matter of file footers, and only when
-    they exceed ``hot_rows`` the rows per key (``key_counts`` with ``n``, if the caller has a
-    cheap form of it).
+    they exceed ``hot_rows`` the rows per key (``key_counts`` gives them as ``n``, if the caller
+    has a cheap form of it).
     """
     if (df if source is None else source).count() <= hot_rows:
         return _fold_sorted(df, key, order)
-    counts = df.groupBy(key).agg(F.count("*").alias("n")) if key_counts is None else key_counts
+    counts = df.groupBy(key).agg(F.count("*").alias("n")) if key_counts is None else key_counts()
     hot = counts.where(F.col("n") > hot_rows).select(key, "n")
     if hot.isEmpty():
         return _fold_sorted(df, key, order)

@@ -101,7 +101,7 @@ def decide(
             ).alias("start"),
             (F.col("account_found") & F.col("amt").isNotNull()).alias("eligible"),
         ),
-        "fold_key", ["ts", "req_id"], source=requests, key_counts=per_key.select("fold_key", "n"), **fold,
+        "fold_key", ["ts", "req_id"], source=requests, key_counts=lambda: per_key.select("fold_key", "n"), **fold,
     )
     approved, no_funds = F.col("accepted"), F.col("eligible") & ~F.col("accepted")
     card_found = F.col("acct_id").isNotNull()

@@ -46,13 +46,16 @@ def decide(tx: DataFrame, xref: DataFrame, accounts: DataFrame, **fold: int) ->
         ).alias("start"),
         F.coalesce(live, F.lit(False)).alias("eligible"),
     )
-    # Rows per card first, so that a hot card is one row in the join with the cross reference.
-    per_card = tx.groupBy("card_num").agg(F.count("*").alias("_n"))
-    key_counts = (
-        per_card.join(xref.select("card_num", "acct_id"), "card_num")
-        .groupBy(F.col("acct_id").alias("fold_key"))
-        .agg(F.sum("_n").alias("n"))
-    )
+
+    def key_counts() -> DataFrame:
+        # Rows per card first, so that a hot card is one row in the join with the cross reference.
+        per_card = tx.groupBy("card_num").agg(F.count("*").alias("_n"))
+        return (
+            per_card.join(xref.select("card_num", "acct_id"), "card_num")
+            .groupBy(F.col("acct_id").alias("fold_key"))
+            .agg(F.sum("_n").alias("n"))
+        )
+
     folded = fold_in_order(rows, "fold_key", ["seq"], source=tx, key_counts=key_counts, **fold)
     reason = (
         F.when(F.col("acct_id").isNull(), 100)
