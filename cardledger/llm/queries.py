@@ -5,9 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cardledger.llm.common import table
+from cardledger.llm.decontaminate import WINDOW, decontaminate
 from cardledger.llm.exact import exact_dedup
+from cardledger.llm.licenses import PHRASES, STRIDE, TEMPLATES, THRESHOLD, license_scan, needed
+from cardledger.llm.lines import line_dedup
 from cardledger.llm.sharding import vector_shards
 from cardledger.llm.simhash import simhash_components
 
@@ -25,6 +29,85 @@ def _query(name: str, check: str | None = None):
     return wrap
 
 
+def _words_sql(text: str) -> str:
+    lower = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"regexp_extract_all({lower}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+def _license_sql() -> str:
+    def row(label: str, text: str, exact: bool) -> str:
+        tokens = sorted(set(text.split()))
+        phrase = f"[{', '.join(repr(w) for w in text.split())}]" if exact else "NULL"
+        return f"('{label}', {phrase}, {tokens}, {needed(len(tokens), THRESHOLD)})"
+
+    known = [row(a, b, True) for a, b in PHRASES] + [row(a, b, False) for a, b in TEMPLATES]
+    return f"""
+WITH t AS (SELECT * FROM (VALUES {", ".join(known)}) AS v(label, phrase, tokens, need)),
+d AS (SELECT doc_id, {_words_sql("text")} AS w FROM documents),
+p AS (SELECT doc_id, unnest(range(len(w))) AS s, w FROM d),
+base AS (
+  SELECT doc_id, s, label, phrase FROM p JOIN t ON phrase IS NOT NULL AND w[s + 1 : s + len(phrase)] = phrase),
+b AS (SELECT doc_id, list_distinct(w[s + 1 : s + {2 * STRIDE}]) AS held FROM p WHERE s % {STRIDE} = 0),
+met AS (
+  SELECT doc_id, label, len(list_intersect(held, tokens)) AS n, len(tokens) AS size
+  FROM b JOIN t ON len(list_intersect(held, tokens)) >= need),
+places AS (
+  SELECT doc_id, count(*) AS n_base, min(s) AS first_word, max(s) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM base GROUP BY doc_id),
+found AS (
+  SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(n / size) AS score
+  FROM met GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base,
+       first_word, last_word, coalesce(base_labels, '') AS base_labels,
+       coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM d LEFT JOIN places USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
+LINES_SQL = r"""
+WITH l AS (
+  SELECT doc_id, generate_subscripts(ls, 1) - 1 AS i, unnest(ls) AS line, len(ls) AS n
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
+h AS (
+  SELECT *, i < n - 1 AND left(md5(concat(
+           lag(md5(line), 2, '') OVER w, lag(md5(line), 1, '') OVER w, md5(line))), 1)
+           IN ('0', '1', '2', '3') AS ends
+  FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+k AS (
+  SELECT *, coalesce(sum(CAST(ends AS INT)) OVER (
+           PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k FROM h),
+c AS (
+  SELECT doc_id, k, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS chunk FROM k GROUP BY doc_id, k),
+m AS (SELECT *, n > 1 AND row_number() OVER (PARTITION BY chunk, n > 1 ORDER BY doc_id, k) > 1 AS gone FROM c)
+SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_lines, count(*) AS n_chunks,
+       CAST(sum(CAST(gone AS INT)) AS BIGINT) AS n_removed,
+       CAST(sum(CASE WHEN gone THEN n ELSE 0 END) AS BIGINT) AS n_removed_lines,
+       sha256(coalesce(string_agg(chunk, chr(10) ORDER BY k) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
+LEAKS_SQL = rf"""
+WITH i AS (SELECT item_id, {_words_sql("text")} AS w FROM benchmark),
+v AS (
+  SELECT DISTINCT item_id, m, array_to_string(w[s + 1 : s + m], ' ') AS span
+  FROM (SELECT item_id, w, m, unnest(range(len(w) - m + 1)) AS s
+        FROM (SELECT *, least(len(w), {WINDOW}) AS m FROM i WHERE len(w) > 0))),
+d AS (SELECT doc_id, {_words_sql("text")} AS w FROM documents),
+hit AS (
+  SELECT doc_id, s, m, item_id
+  FROM (SELECT doc_id, w, m, unnest(range(len(w) - m + 1)) AS s
+        FROM d, (SELECT DISTINCT m FROM v) WHERE len(w) >= m) JOIN v USING (m)
+  WHERE array_to_string(w[s + 1 : s + m], ' ') = span),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + m)) AS p FROM hit) GROUP BY 1),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
 EXACT_SQL = r"""
 WITH n AS (
   SELECT doc_id, length(coalesce(text, '')) AS points,
@@ -37,6 +120,24 @@ FROM n WINDOW w AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id)
 """
 
 
+@_query("op1_license_scan", _license_sql())
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
+@_query("op5_line_dedup", LINES_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup(table(spark, sf_dir, "documents"))
+    return out.withColumn("kept_sha256", F.sha2("text", 256)).drop("text")
+
+
+@_query("op8_decontamination", LEAKS_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    listed = F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256")
+    return out.select("doc_id", "n_words", "n_hit", "n_items", listed, "contaminated")
+
+
 @_query("op7_exact_dedup", EXACT_SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
