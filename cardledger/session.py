@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,8 +20,28 @@ SESSION_CONF = {
 }
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers, wherever the driver was started.  Once a context."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="cardledger-package-")  # the driver serves the file from here
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = f"{folder}/{package.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    sc.addPyFile(archive)
+    _shipped.add(sc.applicationId)
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime options the jobs rely on to an existing session."""
+    ship_package(spark)
     for key, value in SESSION_CONF.items():
         spark.conf.set(key, value)
     return spark
