@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from cardledger.llm.common import table
 from cardledger.llm.decontaminate import WINDOW, decontaminate
 from cardledger.llm.exact import exact_dedup
+from cardledger.llm.language import identify
 from cardledger.llm.licenses import PHRASES, STRIDE, TEMPLATES, THRESHOLD, license_scan, needed
 from cardledger.llm.lines import line_dedup
+from cardledger.llm.quality import quality
 from cardledger.llm.sharding import vector_shards
 from cardledger.llm.simhash import simhash_components
 
@@ -125,6 +127,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+@_query("op3_language_id")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 @_query("op5_line_dedup", LINES_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup(table(spark, sf_dir, "documents"))
@@ -138,6 +145,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_hit", "n_items", listed, "contaminated")
 
 
+@_query("op6_quality")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @_query("op7_exact_dedup", EXACT_SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
