@@ -13,6 +13,7 @@ from cardledger.llm.exact import exact_dedup
 from cardledger.llm.language import identify
 from cardledger.llm.licenses import PHRASES, STRIDE, TEMPLATES, THRESHOLD, license_scan, needed
 from cardledger.llm.lines import line_dedup
+from cardledger.llm.pieces import piece_tokens
 from cardledger.llm.quality import quality
 from cardledger.llm.sharding import vector_shards
 from cardledger.llm.simhash import simhash_components
@@ -132,6 +133,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+@_query("op4_sentencepiece")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_tokens(table(spark, sf_dir, "documents"))
+
+
 @_query("op5_line_dedup", LINES_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup(table(spark, sf_dir, "documents"))
