@@ -17,6 +17,7 @@ from cardledger.llm.pieces import piece_tokens
 from cardledger.llm.quality import quality
 from cardledger.llm.sharding import vector_shards
 from cardledger.llm.simhash import simhash_components
+from cardledger.llm.suffixes import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -128,6 +129,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+@_query("op2_suffix_array_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @_query("op3_language_id")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
