@@ -194,9 +194,9 @@ def exact_dedup(docs: DataFrame, gone: str | None = None) -> DataFrame:
     ``docs`` needs ``doc_id`` and ``text``; other columns are not read.  ``gone`` names a boolean
     column of withdrawn rows: they are deleted from the index and get no ``keep_id``.  Returns one
     row per input row: ``doc_id``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.  The row
-    with the most code points stays, then the smallest ``doc_id``; a null id comes last and is
-    never its own keeper.  A null text counts as empty, and empty texts are equal.  Rows that
-    repeat the same id and text count as copies, and each of them is marked as kept.
+    with the most code points stays, then the smallest ``doc_id``; a null id comes last.
+    A null text counts as empty, and empty texts are equal.  Rows that repeat the id that stays
+    count as copies, and each of them is marked as kept.
     """
     flag = F.coalesce(F.col(gone), F.lit(False)) if gone else F.lit(False)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", flag.alias("gone"))
@@ -214,5 +214,5 @@ def exact_dedup(docs: DataFrame, gone: str | None = None) -> DataFrame:
             _digests, "doc_id bigint, text_sha256 string"
         )
         found = found.unionByName(out, allowMissingColumns=True)
-    kept = F.coalesce(F.col("doc_id") == F.col("keep_id"), F.lit(False))
+    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & F.col("group_size").isNotNull()
     return found.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256")
