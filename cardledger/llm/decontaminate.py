@@ -52,6 +52,16 @@ def _span(ws: Column, start: Column, length: int) -> Column:
     return F.struct(start.alias("start"), F.lit(length).alias("length"), text.alias("span"))
 
 
+def _spans(ws: Column, starts: Column, length: int) -> Column:
+    return F.transform(starts, lambda s: _span(ws, s, length))
+
+
+def _short_starts(ws: Column, grams: Column, length: int) -> Column:
+    """Where a gram of a short item's length is among the met fingerprints."""
+    there = F.filter(_all_starts(ws, length), lambda i: F.array_contains("met", F.get(grams, i)))
+    return F.when(F.size(ws) >= length, there).otherwise(F.array().cast("array<int>"))
+
+
 def _all_starts(ws: Column, length: int) -> Column:
     return F.sequence(F.lit(0), F.size(ws) - length)
 
@@ -92,7 +102,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     short = [r[0] for r in items.where(n < window).select(n).distinct().collect()]  # below window
     whole = items.where(n >= window)
     spans = whole.select(
-        "item_id", F.explode(F.transform(_all_starts(F.col("ws"), window), lambda s: _span(F.col("ws"), s, window)))
+        "item_id", F.explode(_spans(F.col("ws"), _all_starts(F.col("ws"), window), window))
     )
     prints = whole.select(F.explode(_winnowed(F.col("gs"), run)).alias("print"))
     for m in short:
@@ -124,14 +134,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     back = back.withColumn(
         "starts", F.when(F.size(ws) >= window, F.array_distinct(around)).otherwise(F.array().cast("array<int>"))
     )
-    tried = [F.transform("starts", lambda s: _span(ws, s, window))]
-    for m in short:
-        grams = _grams(hs, m, m)
-        there = F.filter(_all_starts(ws, m), lambda i, g=grams: F.array_contains("met", F.get(g, i)))
-        none = F.array().cast("array<int>")
-        tried.append(
-            F.transform(F.when(F.size(ws) >= m, there).otherwise(none), lambda s, m=m: _span(ws, s, m))
-        )
+    tried = [_spans(ws, F.col("starts"), window)]
+    tried += [_spans(ws, _short_starts(ws, _grams(hs, m, m), m), m) for m in short]
     tried = back.select("doc_id", "mark", F.explode(F.concat(*tried)).alias("x"))
     tried = tried.select("doc_id", "mark", "x.*").join(spans, "span")
     hits = tried.groupBy("doc_id", "mark").agg(
