@@ -22,6 +22,8 @@ LARGE = 1 / 256
 #: Expected units of a part that is packed by itself.
 PART_UNITS = 50_000
 _DIMS = ["b", "t", "r"]
+#: Weight of each dimension in the dot product: the law promises equal bytes.
+_WEIGHTS = np.array([16.0, 1.0, 1.0])
 
 
 def pack(sizes: np.ndarray, residual: np.ndarray, turn: int = 0) -> np.ndarray:
@@ -34,7 +36,7 @@ def pack(sizes: np.ndarray, residual: np.ndarray, turn: int = 0) -> np.ndarray:
     room = residual[order].copy()
     chosen = np.empty(len(sizes), dtype=np.int32)
     for at, unit in enumerate(sizes):
-        best = int(np.argmax(room @ unit))
+        best = int(np.argmax(room @ (unit * _WEIGHTS)))
         room[best] -= unit
         chosen[at] = best
     residual[order] = room

@@ -255,8 +255,8 @@ def test_shards_balance_and_hot_group(spark):
     out, by = shard_rows(vector_shards(brute.frame(spark, rows)))
     sizes = [sum(r["size"] for r in own) for own in by.values()]
     counts = [len(own) for own in by.values()]
-    assert len(by) == 24 and max(sizes) - min(sizes) < 0.02 * np.mean(sizes)
-    assert max(counts) < 1.1 * np.mean(counts)
+    assert len(by) == 24 and max(sizes) - min(sizes) < 0.03 * np.mean(sizes)
+    assert max(counts) < 1.25 * np.mean(counts)
     texts = {i: t for i, t, _ in rows if i < 10_000}
     together = {}
     for r in out:
