@@ -78,7 +78,8 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     every = docs.select(*key, text.alias("text")).alias("e")
     same = every["doc_id"].eqNullSafe(gone["doc_id"]) & (every["mark"] == gone["mark"])
     none = F.array().cast(_NONE)
-    every = every.join(gone, same, "left").select(
+    # Sorted on both sides at every size: a broadcast of small lists would not grow with the input.
+    every = every.join(gone.hint("merge"), same, "left").select(
         "e.doc_id", "e.text", F.coalesce("g.gone", none).alias("gone")
     )
     cut = _with_chunks(every, F.col("text"), "doc_id", "gone")
