@@ -93,7 +93,25 @@ def _(t: Tables):
     entries = validate.validate_transaction_batch(t.spark.sql(TRANSACTION_ENTRY, daily=t.daily))
     good = entries.where(F.size("errors") == 0).withColumn("amt", F.col("amt").cast("decimal(12,2)"))
     ledger = t.daily.select("tran_id", "descr", "amt")
-    return changes.add_transactions(ledger, good, ["seq"], A.max_key(t.daily).first()[0])
+    return changes.add_transactions(ledger, good, ["seq"], A.max_key(t.daily).first()[0])[0]
+
+
+@add(
+    "add_transactions_taken",
+    f"""WITH u AS ({TRANSACTION_ENTRY}),
+    good AS (SELECT * FROM u WHERE NOT (acct_id = '' AND card_num = '') AND acct_id <> '12A' AND trim(descr) <> ''
+             AND amt = '+00000012.50' AND cat_cd <> 'x' AND orig_date = '2023-02-28' AND proc_date = '2023-02-28'),
+    placed AS (
+      SELECT lpad(CAST((SELECT max(seq) FROM {{daily}}) - 10 + row_number() OVER (ORDER BY seq) AS VARCHAR), 16, '0') AS tran_id,
+             descr, CAST(12.50 AS DECIMAL(12,2)) AS amt FROM good)
+    SELECT * FROM placed WHERE tran_id IN (SELECT tran_id FROM {{daily}})""",
+)
+def _(t: Tables):
+    # Ten more rows have come into the ledger since the highest id was read.
+    entries = validate.validate_transaction_batch(t.spark.sql(TRANSACTION_ENTRY, daily=t.daily))
+    good = entries.where(F.size("errors") == 0).withColumn("amt", F.col("amt").cast("decimal(12,2)"))
+    ledger = t.daily.select("tran_id", "descr", "amt")
+    return changes.add_transactions(ledger, good, ["seq"], A.max_key(t.daily).first()[0] - 10)[1]
 
 
 # Up to six changes per key in event order, on a table of every other user.

@@ -33,15 +33,30 @@ def _(t: Tables):
 
 @add(
     "load_replace",
-    """SELECT l_orderkey, l_linenumber, CAST(l_extendedprice AS DECIMAL(12,2)) AS price FROM (
-         SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n FROM {lineitem})
-       WHERE n = 1""",
+    """SELECT l_orderkey, l_linenumber, min(CAST(l_extendedprice AS DECIMAL(12,2))) AS price
+       FROM {lineitem} GROUP BY 1, 2""",
 )
 def _(t: Tables):
+    return _priced_lines(t)[0]
+
+
+@add(
+    "load_refused",
+    """SELECT l_orderkey, l_linenumber, price FROM (
+         SELECT l_orderkey, l_linenumber, CAST(l_extendedprice AS DECIMAL(12,2)) AS price,
+                row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                                   ORDER BY CAST(l_extendedprice AS DECIMAL(12,2))) AS n FROM {lineitem})
+       WHERE n > 1""",
+)
+def _(t: Tables):
+    return _priced_lines(t)[1]
+
+
+def _priced_lines(t: Tables):
     rows = t.lineitem.select(
         "l_orderkey", "l_linenumber", F.col("l_extendedprice").cast("decimal(12,2)").alias("price")
     )
-    return load.load_replace(rows, ["l_orderkey", "l_linenumber"])[0]
+    return load.load_replace(rows, ["l_orderkey", "l_linenumber"])
 
 
 @add("snapshot_write", "SELECT card_num, cust_id, acct_id FROM {xref}")
@@ -180,14 +195,14 @@ def _(t: Tables):
 
 @add(
     "reftable_unload",
-    """SELECT rpad(concat(rpad(n_name, 2, ' '), lpad(CAST(n_nationkey AS VARCHAR), 4, '0'),
-            rpad(r_name, 50, ' ')), 60, '0') AS line
+    """SELECT rpad(concat(lpad(CAST(r_regionkey AS VARCHAR), 2, '0'), lpad(CAST(n_nationkey AS VARCHAR), 4, '0'),
+            rpad(concat(r_name, ': ', n_name), 50, ' ')), 60, '0') AS line
        FROM {nation} JOIN {region} ON n_regionkey = r_regionkey""",
 )
 def _(t: Tables):
     named = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        F.substring("n_name", 1, 2).alias("type_cd"), F.col("n_nationkey").alias("cat_cd"),
-        F.col("r_name").alias("cat_desc"),
+        F.lpad(F.col("r_regionkey").cast("string"), 2, "0").alias("type_cd"), F.col("n_nationkey").alias("cat_cd"),
+        F.concat("r_name", F.lit(": "), "n_name").alias("cat_desc"),
     )
     return fixed_width.reftable_unload(named, S.TRAN_CATEGORY_FILE, ["type_cd", "cat_cd"])
 
@@ -250,7 +265,7 @@ def request_lines(t: Tables):
         "req_id",
         F.concat_ws(
             ",", F.date_format("ts", "yyMMdd"), F.date_format("ts", "HHmmss"), "card_num",
-            F.rpad("auth_type", 4, " "), F.lit("0127"), F.lit("0100"), F.lit("POS"), F.lit("000000"),
+            "auth_type", F.lit("0127"), F.lit("0100"), F.lit("POS"), F.lit("000000"),
             amount, F.lit("5411"), F.lit("840"), F.lit("05"), F.lit("MERCHANT"), F.lit("SHOP"),
             F.lit("TOWN"), F.lit("TX"), F.lit("75001"), id_text,
         ).alias("value"),
@@ -260,7 +275,7 @@ def request_lines(t: Tables):
 @add(
     "auth_request_source",
     """SELECT req_id, strftime(ts, '%y%m%d') AS auth_date, strftime(ts, '%H%M%S') AS auth_time, card_num,
-       rtrim(substr(auth_type, 1, 4)) AS auth_type, '5411' AS merchant_category_code,
+       auth_type, '5411' AS merchant_category_code,
        '05' AS pos_entry_mode, 'TX' AS merchant_state, lpad(CAST(req_id AS VARCHAR), 15, '0') AS transaction_id,
        CAST(CASE WHEN req_id % 3 <> 0 AND req_id % 7 = 0 THEN -amt ELSE amt END AS DECIMAL(12,2)) AS amt
        FROM {auth_request}""",

@@ -121,12 +121,17 @@ def edited(expr: str, mask: str) -> str:
     """Check-SQL text of an amount under a print mask."""
     plain = f"CAST(CAST(abs({expr}) AS DECIMAL(18,2)) AS VARCHAR)"
     tail = f"CASE WHEN {expr} < 0 THEN '-' ELSE ' ' END"
+
+    def wide(text: str, width: int, fill: str) -> str:
+        # Filled up to the width by counting, so that a longer amount is not cut.
+        return f"concat(repeat('{fill}', greatest(0, {width} - length({text}))), {text})"
+
     if mask == "9(9).99-":
-        return f"concat(lpad({plain}, 12, '0'), {tail})"
+        return f"concat({wide(plain, 12, '0')}, {tail})"
     if mask == "Z(9).99-":
-        return f"concat(lpad(CASE WHEN abs({expr}) < 1 THEN substr({plain}, 2) ELSE {plain} END, 12, ' '), {tail})"
+        return f"concat({wide(f'CASE WHEN abs({expr}) < 1 THEN substr({plain}, 2) ELSE {plain} END', 12, ' ')}, {tail})"
     if mask == "+9(10).99":
-        return f"concat(CASE WHEN {expr} < 0 THEN '-' ELSE '+' END, lpad({plain}, 13, '0'))"
+        return f"concat(CASE WHEN {expr} < 0 THEN '-' ELSE '+' END, {wide(plain, 13, '0')})"
     plus = "+" if mask[0] == "+" else " "
     grouped = f"format('{{:,}}', CAST(floor(abs({expr})) AS BIGINT))"
     body = (
@@ -134,5 +139,5 @@ def edited(expr: str, mask: str) -> str:
     )
     return (
         f"CASE WHEN {expr} = 0 THEN repeat(' ', 15) ELSE "
-        f"concat(CASE WHEN {expr} < 0 THEN '-' ELSE '{plus}' END, lpad({body}, 14, ' ')) END"
+        f"concat(CASE WHEN {expr} < 0 THEN '-' ELSE '{plus}' END, {wide(body, 14, ' ')}) END"
     )

@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cardledger.functions.text import fits
+
 # Sign-and-digit characters of the last byte, +0..+9 then -0..-9.
 OVERPUNCH = "{ABCDEFGHI}JKLMNOPQR"
 OVERPUNCH_DIGITS = "01234567890123456789"
@@ -25,10 +27,15 @@ def decode_zoned(col: Column, scale: int = 2, precision: int = 18) -> Column:
     )
 
 
+def _digits(col: Column, length: int, scale: int) -> Column:
+    """Absolute value without its point, with leading zeros; an error if it has more digits."""
+    unscaled = (F.abs(col).cast(T.DecimalType(38, scale)) * F.lit(10**scale)).cast(T.DecimalType(38, 0))
+    return F.lpad(fits(unscaled.cast("string"), length, "number"), length, "0")
+
+
 def encode_zoned(col: Column, length: int, scale: int = 2) -> Column:
-    """Decimal to signed zoned text of ``length`` characters."""
-    unscaled = (F.abs(col) * F.lit(10**scale)).cast("bigint")
-    digits = F.lpad(unscaled.cast("string"), length, "0")
+    """Decimal to signed zoned text of ``length`` characters; an error if it has more digits."""
+    digits = _digits(col, length, scale)
     last = F.right(digits, F.lit(1))
     signed = F.when(col < 0, F.translate(last, "0123456789", OVERPUNCH[10:])).otherwise(
         F.translate(last, "0123456789", OVERPUNCH[:10])
@@ -48,12 +55,12 @@ def decode_packed(col: Column, scale: int = 2, precision: int = 18) -> Column:
 
 
 def encode_packed(col: Column, digits: int, scale: int = 2) -> Column:
-    """Decimal to packed bytes holding ``digits`` digits (made odd by a leading zero)."""
-    width = digits if digits % 2 else digits + 1
-    unscaled = (F.abs(col) * F.lit(10**scale)).cast("bigint").cast("string")
-    return F.unhex(
-        F.concat(F.lpad(unscaled, width, "0"), F.when(col < 0, F.lit("D")).otherwise(F.lit("C")))
-    )
+    """Decimal to packed bytes holding ``digits`` digits (made odd by a leading zero); an error if
+    it has more."""
+    text = _digits(col, digits, scale)
+    if digits % 2 == 0:
+        text = F.concat(F.lit("0"), text)
+    return F.unhex(F.concat(text, F.when(col < 0, F.lit("D")).otherwise(F.lit("C"))))
 
 
 def decode_binary(col: Column, nbytes: int, scale: int = 0, precision: int = 18) -> Column:
@@ -68,6 +75,12 @@ def decode_binary(col: Column, nbytes: int, scale: int = 0, precision: int = 18)
 
 
 def encode_binary(col: Column, nbytes: int, scale: int = 0) -> Column:
-    """Number to big-endian two's complement bytes."""
+    """Number to big-endian two's complement bytes; an error if it needs more of them."""
     unscaled = (col * F.lit(10**scale)).cast("bigint")
+    if nbytes < 8:
+        top = 2 ** (8 * nbytes - 1)
+        message = F.concat(F.lit(f"number does not fit {nbytes} bytes: "), unscaled.cast("string"))
+        unscaled = F.when(unscaled.between(-top, top - 1), unscaled).when(
+            unscaled.isNotNull(), F.raise_error(message).cast("bigint")
+        )
     return F.unhex(F.right(F.lpad(F.hex(unscaled), 16, "0"), F.lit(2 * nbytes)))

@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cardledger.functions.text import pad_left
+
 
 def cents(col: Column) -> Column:
     """Decimal amount with two places to whole cents."""
@@ -52,21 +54,24 @@ def _grouped(col: Column) -> Column:
 
 
 def edit_amount(col: Column, mask: str) -> Column:
-    """Print an amount under one of the masks the reports use."""
+    """Print an amount under one of the masks the reports use.
+
+    An amount with more digits than its mask is printed whole and makes the field wider.
+    """
     if mask in ("-ZZZ,ZZZ,ZZZ.ZZ", "+ZZZ,ZZZ,ZZZ.ZZ"):
         plus = "+" if mask[0] == "+" else " "
         sign = F.when(col < 0, F.lit("-")).otherwise(F.lit(plus))
         return F.when(col == 0, F.lit(" " * 15)).otherwise(
-            F.concat(sign, F.lpad(_grouped(col), 14, " "))
+            F.concat(sign, pad_left(_grouped(col), 14))
         )
     tail = F.when(col < 0, F.lit("-")).otherwise(F.lit(" "))
-    plain = F.abs(col).cast(T.DecimalType(12, 2)).cast("string")
+    plain = F.abs(col).cast(T.DecimalType(38, 2)).cast("string")
     if mask == "9(9).99-":
-        return F.concat(F.lpad(plain, 12, "0"), tail)
+        return F.concat(pad_left(plain, 12, "0"), tail)
     if mask == "Z(9).99-":
         cut = F.when(F.abs(col) < 1, F.substring(plain, 2, 3)).otherwise(plain)
-        return F.concat(F.lpad(cut, 12, " "), tail)
+        return F.concat(pad_left(cut, 12), tail)
     if mask == "+9(10).99":
         sign = F.when(col < 0, F.lit("-")).otherwise(F.lit("+"))
-        return F.concat(sign, F.lpad(plain, 13, "0"))
+        return F.concat(sign, pad_left(plain, 13, "0"))
     raise ValueError(f"unknown mask {mask!r}")

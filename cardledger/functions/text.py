@@ -108,5 +108,22 @@ def fraud_text(flag: Column, report_date: Column) -> Column:
     ).otherwise("-")
 
 
+def pad_left(col: Column, length: int, fill: str = " ") -> Column:
+    """Filled up on the left to ``length``; a longer text stays whole."""
+    return F.when(F.length(col) > length, col).otherwise(F.lpad(col, length, fill))
+
+
+def pad_right(col: Column, length: int, fill: str = " ") -> Column:
+    """Filled up on the right to ``length``; a longer text stays whole."""
+    return F.when(F.length(col) > length, col).otherwise(F.rpad(col, length, fill))
+
+
 def pad_key(col: Column, length: int) -> Column:
-    return F.lpad(col.cast("string"), length, "0")
+    """Number as text with leading zeros; a longer one stays whole, so no two keys become one."""
+    return pad_left(col.cast("string"), length, "0")
+
+
+def fits(col: Column, length: int, what: str) -> Column:
+    """The text, or an error if it is longer than its field."""
+    message = F.concat(F.lit(f"{what} does not fit {length} characters: "), col)
+    return F.when(F.length(col) > length, F.raise_error(message).cast("string")).otherwise(col)

@@ -10,7 +10,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardledger.functions.text import blank_to_null
+from cardledger.functions.text import blank_to_null, pad_key
 from cardledger.operators.joins import first_card
 from cardledger.operators.sequence import last_before, run_sequence
 
@@ -76,7 +76,7 @@ def bill_payment(
         start=highest_tran_id + 1, store=True,
     )
     payments = numbered.select(
-        F.lpad(F.col("_n").cast("string"), 16, "0").alias("tran_id"),
+        pad_key(F.col("_n"), 16).alias("tran_id"),
         F.lit("02").alias("type_cd"), F.lit(2).alias("cat_cd"), F.lit("POS TERM").alias("source"),
         F.lit("BILL PAYMENT - ONLINE").alias("descr"), F.col("curr_bal").alias("amt"),
         F.lit(999999999).cast("bigint").alias("merchant_id"),
@@ -103,11 +103,13 @@ def split_new_keys(
 
 def add_transactions(
     ledger: DataFrame, entries: DataFrame, order: list[str], highest_tran_id: int
-) -> DataFrame:
-    """Append entries (already validated) under the next transaction ids, in entry order."""
+) -> tuple[DataFrame, DataFrame]:
+    """The ledger with entries (already validated) under the next transaction ids, in entry order,
+    and the entries whose id is already taken, as it is when ``highest_tran_id`` is out of date."""
     numbered = run_sequence(entries, order, "_n", start=highest_tran_id + 1)
-    rows = numbered.withColumn("tran_id", F.lpad(F.col("_n").cast("string"), 16, "0"))
-    return ledger.unionByName(rows.select(*ledger.columns))
+    rows = numbered.withColumn("tran_id", pad_key(F.col("_n"), 16))
+    new, taken = split_new_keys(rows.select(*ledger.columns), ledger, ["tran_id"])
+    return ledger.unionByName(new), taken
 
 
 def apply_changes(

@@ -62,9 +62,17 @@ def report_period(
     raise ValueError(f"unknown report kind {kind!r}")
 
 
+def expired(details: DataFrame, asof: dt.date, days: int) -> Column:
+    """Whether an authorization is at least ``days`` days old.  The time is compared as it is stored,
+    so the bound reaches the scan."""
+    first_kept = dt.datetime.combine(asof - dt.timedelta(days=days - 1), dt.time())
+    kind = details.schema["auth_ts"].dataType
+    return F.col("auth_ts") < F.lit(first_kept).cast(kind)
+
+
 def filter_expired(details: DataFrame, asof: dt.date, days: int = 5) -> DataFrame:
     """Authorizations at least ``days`` days old."""
-    return details.where(F.datediff(F.lit(asof), F.to_date("auth_ts")) >= days)
+    return details.where(expired(details, asof, days))
 
 
 def filter_payable(accounts: DataFrame) -> DataFrame:

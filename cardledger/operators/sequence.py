@@ -1,6 +1,6 @@
 """Dense numbering and neighbours over a total order, without sending a group to one task.
 
-Large inputs are range-partitioned and sorted on the (group, order) key and written once.  A row
+Inputs are range-partitioned and sorted on the (group, order) key and written once.  A row
 then has a partition, called bucket, and a place in it; both are stored with it, so nothing depends
 on a plan being computed the same way twice.  What crosses buckets is carried by one small row per
 bucket, or per bucket and group.
@@ -13,30 +13,19 @@ from pyspark.sql import functions as F
 
 from cardledger.session import materialize
 
-#: Up to this many rows one sorted partition is cheaper than writing and reading back.
-SMALL_ROWS = 200_000
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 20_000
 _OFFSET_BITS = 33  # monotonically_increasing_id: partition above, place in it below
 
 
 def in_buckets(
-    df: DataFrame,
-    order: list[str],
-    small_rows: int = SMALL_ROWS,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-    store: bool = False,
-) -> tuple[DataFrame, bool]:
-    """Add ``__bucket``, increasing along ``order`` (unique, not null), and ``__place`` in it, from 0;
-    not for small inputs.  Returns the rows and whether they are in buckets.
+    df: DataFrame, order: list[str], rows_per_bucket: int = ROWS_PER_BUCKET, store: bool = False
+) -> DataFrame:
+    """Add ``__bucket``, increasing along ``order`` (unique, not null), and ``__place`` in it, from 0.
 
     Counting reads no columns of a scan; ``store`` writes a computed input once first.
     """
     df = materialize(df, "input") if store else df
-    total = df.count()
-    if total <= small_rows:
-        return df, False
-    buckets = min(MAX_BUCKETS, max(2, -(-total // rows_per_bucket)))
+    buckets = max(2, -(-df.count() // rows_per_bucket))
     placed = df.repartitionByRange(buckets, *order).sortWithinPartitions(*order)
     stored = materialize(placed.withColumn("__pos", F.monotonically_increasing_id()), "ordered")
     pos = F.col("__pos")
@@ -44,23 +33,20 @@ def in_buckets(
         *df.columns,
         F.shiftright(pos, _OFFSET_BITS).cast("int").alias("__bucket"),
         pos.bitwiseAND(F.lit(2**_OFFSET_BITS - 1)).alias("__place"),
-    ), True
+    )
 
 
 def run_sequence(
     df: DataFrame, order: list[str], name: str = "seq_no", start: int = 1, **sizes: int
 ) -> DataFrame:
     """Add ``name`` = start, start+1, ... following ``order``, which must be unique and not null."""
-    placed, bucketed = in_buckets(df, order, **sizes)
-    if not bucketed:
-        number = F.row_number().over(Window.orderBy(*order)).cast("bigint")
-        return placed.withColumn(name, number + F.lit(start - 1))
+    placed = in_buckets(df, order, **sizes)
     counts = placed.groupBy("__bucket").agg(F.count("*").alias("__n"))
-    # One row per bucket, at most MAX_BUCKETS: a window without partitions and a broadcast.
+    # One row per bucket of a million rows: a window without partitions.
     running = F.sum("__n").over(Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, 0))
     shift = counts.select("__bucket", (running - F.col("__n")).alias("__shift"))
     return (
-        placed.join(F.broadcast(shift), "__bucket")
+        placed.join(shift, "__bucket")
         .withColumn(name, F.col("__place") + F.col("__shift") + F.lit(start))
         .drop("__bucket", "__place", "__shift")
     )
@@ -71,19 +57,16 @@ def group_sequence(
 ) -> DataFrame:
     """Add ``name`` = 1, 2, ... inside each group: the place among the group's rows of the same
     bucket, plus the group's rows in the buckets before."""
-    placed, bucketed = in_buckets(df, [*group, *order], **sizes)
-    if not bucketed:
-        number = F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("bigint")
-        return placed.withColumn(name, number)
-    part = Window.partitionBy("__bucket", *group).orderBy(*order)
-    counts = placed.groupBy("__bucket", *group).agg(F.count("*").alias("__n"))
+    placed = in_buckets(df, [*group, *order], **sizes)
+    # A bucket is sorted, so a group's rows in it stand in a row from the group's first place on.
+    counts = placed.groupBy("__bucket", *group).agg(F.count("*").alias("__n"), F.min("__place").alias("__at"))
     across = Window.partitionBy(*group).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    shift = counts.withColumn("__shift", F.coalesce(F.sum("__n").over(across), F.lit(0))).drop("__n")
+    before = F.coalesce(F.sum("__n").over(across), F.lit(0))
+    shift = counts.withColumn("__shift", before - F.col("__at") + 1).drop("__n", "__at")
     return (
-        placed.withColumn("__own", F.row_number().over(part).cast("bigint"))
-        .join(shift, ["__bucket", *group])
-        .withColumn(name, F.col("__own") + F.col("__shift"))
-        .drop("__own", "__shift", "__bucket", "__place")
+        placed.join(shift, ["__bucket", *group])
+        .withColumn(name, F.col("__place") + F.col("__shift"))
+        .drop("__shift", "__bucket", "__place")
     )
 
 
@@ -91,11 +74,8 @@ def last_before(
     df: DataFrame, group: list[str], order: list[str], value: Column, name: str, **sizes: int
 ) -> DataFrame:
     """Add ``name``: the last non-null ``value`` of the rows before this one in its group."""
-    placed, bucketed = in_buckets(df.withColumn("__v", value), [*group, *order], **sizes)
+    placed = in_buckets(df.withColumn("__v", value), [*group, *order], **sizes)
     earlier = (Window.unboundedPreceding, -1)
-    if not bucketed:
-        w = Window.partitionBy(*group).orderBy(*order).rowsBetween(*earlier)
-        return placed.withColumn(name, F.last("__v", ignorenulls=True).over(w)).drop("__v")
     part = Window.partitionBy("__bucket", *group).orderBy(*order).rowsBetween(*earlier)
     ends = placed.where(F.col("__v").isNotNull()).groupBy("__bucket", *group)
     ends = ends.agg(F.max_by("__v", F.struct(*order)).alias("__end"))
@@ -114,12 +94,7 @@ def next_in_group(
     df: DataFrame, group: list[str], order: list[str], columns: list[str], name: str, **sizes: int
 ) -> DataFrame:
     """Add struct ``name``: ``columns`` of the following row of the same group, else NULL."""
-    placed, bucketed = in_buckets(
-        df.withColumn("__row", F.struct(*columns)), [*group, *order], **sizes
-    )
-    if not bucketed:
-        w = Window.partitionBy(*group).orderBy(*order)
-        return placed.withColumn(name, F.lead("__row").over(w)).drop("__row")
+    placed = in_buckets(df.withColumn("__row", F.struct(*columns)), [*group, *order], **sizes)
     part = Window.partitionBy("__bucket", *group).orderBy(*order)
     heads = placed.groupBy("__bucket", *group).agg(F.min_by("__row", F.struct(*order)).alias("__head"))
     across = Window.partitionBy(*group).orderBy("__bucket")

@@ -5,10 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardledger.operators.aggregates import auth_summary
+from cardledger.operators.filters import expired
 
 
 @dataclass
@@ -18,10 +19,6 @@ class Purge:
     counts: DataFrame
 
 
-def expired(asof: dt.date, days: int) -> Column:
-    return F.datediff(F.lit(asof), F.to_date("auth_ts")) >= days
-
-
 def purge_summaries(
     summaries: DataFrame, details: DataFrame, asof: dt.date, days: int, release_credit: bool = False
 ) -> DataFrame:
@@ -30,7 +27,7 @@ def purge_summaries(
     A summary with no approved and no declined authorization left is deleted.  The credit balance
     stays as it is unless ``release_credit``.
     """
-    gone = auth_summary(details.where(expired(asof, days)))
+    gone = auth_summary(details.where(expired(details, asof, days)))
     gone = gone.select("acct_id", *[F.col(c).alias(f"_{c}") for c in gone.columns if c != "acct_id"])
     changed = ["approved_cnt", "declined_cnt", "approved_amt", "declined_amt"]
     changed += ["credit_balance"] if release_credit else []
@@ -56,10 +53,10 @@ def purge_auth(
     """
     judged = purge_summaries(summaries, details, asof, days, release_credit)
     kept = judged.where(~F.col("deleted")).drop("deleted")
-    left = details.where(~expired(asof, days)).join(kept.select("acct_id"), "acct_id", "left_semi")
+    left = details.where(~expired(details, asof, days)).join(kept.select("acct_id"), "acct_id", "left_semi")
     counts = (
         judged.select("deleted", F.lit("s").alias("_t"))
-        .unionByName(details.select(expired(asof, days).alias("deleted"), F.lit("d").alias("_t")))
+        .unionByName(details.select(expired(details, asof, days).alias("deleted"), F.lit("d").alias("_t")))
         .agg(
             F.count_if(F.col("_t") == "s").alias("summaries_read"),
             F.count_if((F.col("_t") == "s") & F.col("deleted")).alias("summaries_deleted"),

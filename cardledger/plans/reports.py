@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardledger.functions.money import edit_amount
-from cardledger.functions.text import pad_key
+from cardledger.functions.text import pad_key, pad_right
 from cardledger.operators.aggregates import WIDE, money_sum
 from cardledger.operators.filters import filter_date_range
 from cardledger.operators.joins import require_lookups, with_report_dimensions
@@ -93,20 +93,20 @@ def _fit(col: Column, width: int) -> Column:
 
 def detail_line() -> Column:
     amount = F.col("amt")
-    return F.rpad(
+    return pad_right(
         F.concat(
             _fit(F.col("tran_id"), 16), F.lit(" "), _fit(pad_key(F.col("acct_id"), 11), 11), F.lit(" "),
             _fit(F.col("type_cd"), 2), F.lit("-"), _fit(F.col("type_desc"), 15), F.lit(" "),
             pad_key(F.col("cat_cd"), 4), F.lit("-"), _fit(F.col("cat_desc"), 29), F.lit(" "),
             _fit(F.col("source"), 10), F.lit("    "), edit_amount(amount, "-ZZZ,ZZZ,ZZZ.ZZ"),
         ),
-        133, " ",
+        133,
     )
 
 
 def _total_line(label: str, dots: int) -> Column:
-    return F.rpad(
-        F.concat(F.lit(label + "." * dots), edit_amount(F.col("amt"), "+ZZZ,ZZZ,ZZZ.ZZ")), 133, " "
+    return pad_right(
+        F.concat(F.lit(label + "." * dots), edit_amount(F.col("amt"), "+ZZZ,ZZZ,ZZZ.ZZ")), 133
     )
 
 

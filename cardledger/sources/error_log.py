@@ -35,8 +35,7 @@ def error_log(
         F.lit(subsystem).alias("subsystem"),
         F.coalesce(code_1.cast("string") if code_1 is not None else blank, blank).alias("code_1"),
         F.coalesce(code_2.cast("string") if code_2 is not None else blank, blank).alias("code_2"),
-        F.substring(text, 1, 50).alias("message"),
-        F.substring(F.col(event_key).cast("string"), 1, 20).alias("event_key"),
+        text.alias("message"), F.col(event_key).cast("string").alias("event_key"),
     )
 
 

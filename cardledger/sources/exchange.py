@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardledger.functions.dates import ts26
+from cardledger.functions.text import pad_key
 from cardledger.operators.sequence import run_sequence
 
 # Record tags in file order, with the table and its key.
@@ -34,7 +35,7 @@ def export_union(
         parts.append(
             df.select(
                 F.lit(tag).alias("rec_type"), F.lit(place).alias("tag_no"),
-                F.lpad(F.col(key).cast("string"), 20, "0").alias("record_key"),
+                pad_key(F.col(key), 20).alias("record_key"),
                 F.struct(*df.columns).alias(name),
             )
         )
@@ -66,7 +67,7 @@ def import_errors(export: DataFrame) -> DataFrame:
         "run_ts", "rec_type", "seq_num", message.alias("message"),
         F.concat_ws(
             "|", "run_ts", F.coalesce("rec_type", F.lit(" ")),
-            F.lpad(F.col("seq_num").cast("string"), 7, "0"), F.rpad(message, 50, " "),
+            pad_key(F.col("seq_num"), 7), F.rpad(message, 50, " "),
         ).alias("line"),
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from cardledger.functions import decode
 from cardledger.functions.dates import parse_ts26, real_date, ts26
-from cardledger.functions.text import blank_to_null
+from cardledger.functions.text import blank_to_null, fits
 from cardledger.schemas import Field, Layout
 
 
@@ -66,14 +66,17 @@ def _printed(field: Field) -> Column:
     if field.kind == "zoned":
         return decode.encode_zoned(F.coalesce(col, F.lit(0)), field.length, field.scale)
     if field.kind in ("integer", "digits"):
-        return F.lpad(F.coalesce(col, F.lit(0)).cast("string"), field.length, "0")
+        text = fits(F.coalesce(col, F.lit(0)).cast("string"), field.length, field.name)
+        return F.lpad(text, field.length, "0")
     if field.kind == "timestamp":
         return F.rpad(F.coalesce(ts26(col), F.lit("")), field.length, " ")
-    return F.rpad(F.coalesce(col.cast("string"), F.lit("")), field.length, " ")
+    text = fits(F.coalesce(col.cast("string"), F.lit("")), field.length, field.name)
+    return F.rpad(text, field.length, " ")
 
 
 def render_lines(df: DataFrame, layout: Layout, filler: str = " ") -> DataFrame:
-    """Typed columns to lines of the layout's length; gaps and the rest are ``filler``."""
+    """Typed columns to lines of the layout's length; gaps and the rest are ``filler``.  A value
+    longer than its field is an error."""
     parts: list[Column] = []
     at = 1
     for field in layout.fields:

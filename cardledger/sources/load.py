@@ -2,17 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def load_replace(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows with a unique key, and all rows of the keys that occur more than once.
+    """One row per key, and the refused rows: all others of the keys that occur more than once.
 
-    The key counts combine on the map side; only repeated keys take part in the joins.
+    The smallest row by column order stays, so the outcome does not depend on file order.  Rows are
+    counted and keys reduced on the map side first, so a very common key or row does no harm.
     """
-    repeated = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > 1).select(*keys)
-    return df.join(repeated, keys, "left_anti"), df.join(repeated, keys, "left_semi")
+    rest = [c for c in df.columns if c not in keys]
+    row = F.struct(*rest) if rest else F.struct(F.lit(0))
+    counted = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
+    kept = df.groupBy(*keys).agg(F.min(row).alias("_kept"))
+    good = kept.select(*[F.col(f"_kept.`{c}`").alias(c) if c in rest else F.col(c) for c in df.columns])
+    both = counted.alias("r").join(kept.alias("k"), _same_keys(keys))
+    stays = row_of("r", rest).eqNullSafe(F.col("k._kept")) if rest else F.lit(True)
+    times = F.col("_n") - stays.cast("int")
+    refused = both.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), times.cast("int"))))
+    return good, refused.select(*[F.col(f"r.`{c}`").alias(c) for c in df.columns])
+
+
+def row_of(side: str, columns: list[str]) -> Column:
+    return F.struct(*[F.col(f"{side}.`{c}`").alias(c) for c in columns])
+
+
+def _same_keys(keys: list[str]) -> Column:
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(f"r.`{key}`").eqNullSafe(F.col(f"k.`{key}`"))
+    return same
 
 
 def replace_table(df: DataFrame, keys: list[str], path: str) -> int:

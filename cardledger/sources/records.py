@@ -7,7 +7,6 @@ into text.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +14,7 @@ from pyspark.sql import types as T
 from cardledger import schemas
 from cardledger.functions import decode
 from cardledger.functions.dates import real_date
-from cardledger.functions.text import blank_to_null
+from cardledger.functions.text import blank_to_null, fits
 from cardledger.schemas import Field, Layout
 from cardledger.sources.exchange import TAGS
 
@@ -87,14 +86,18 @@ _ENTITIES = {
 }
 
 
-@F.pandas_udf(T.StringType())
-def ebcdic_text(raw: pd.Series) -> pd.Series:
-    return raw.map(lambda b: None if b is None else bytes(b).decode("cp037"))
+# The code page maps each byte to one character, so a byte read as Latin-1 only needs translating;
+# zero is itself in both.
+_LATIN = bytes(range(1, 256)).decode("latin-1")
+_EBCDIC = bytes(range(1, 256)).decode("cp037")
 
 
-@F.pandas_udf(T.BinaryType())
-def ebcdic_bytes(text: pd.Series) -> pd.Series:
-    return text.map(lambda s: None if s is None else s.encode("cp037"))
+def ebcdic_text(raw: Column) -> Column:
+    return F.translate(F.decode(raw, "ISO-8859-1"), _LATIN, _EBCDIC)
+
+
+def ebcdic_bytes(text: Column) -> Column:
+    return F.encode(F.translate(text, _EBCDIC, _LATIN), "ISO-8859-1")
 
 
 def _text(raw: Column, charset: str) -> Column:
@@ -165,9 +168,11 @@ def _bytes(field: Field, charset: str) -> Column:
     if field.kind == "zoned":
         text = decode.encode_zoned(F.coalesce(col, F.lit(0)), field.length, field.scale)
     elif field.kind == "integer":
-        text = F.lpad(F.coalesce(col, F.lit(0)).cast("string"), field.length, "0")
+        text = fits(F.coalesce(col, F.lit(0)).cast("string"), field.length, field.name)
+        text = F.lpad(text, field.length, "0")
     else:
-        text = F.rpad(F.coalesce(col.cast("string"), F.lit("")), field.length, " ")
+        text = fits(F.coalesce(col.cast("string"), F.lit("")), field.length, field.name)
+        text = F.rpad(text, field.length, " ")
     return ebcdic_bytes(text) if charset == "cp037" else F.encode(text, "US-ASCII")
 
 

@@ -60,11 +60,28 @@ def test_transactions_are_shuffled_once_for_the_lookups(spark):
 
 def test_large_sequences_have_no_single_partition_over_rows(spark):
     df = fixtures.table(spark, SF_DIR, "daily").select("card_num", "tran_id")
-    text = plan(sequence.run_sequence(df, ["card_num", "tran_id"], small_rows=10, rows_per_bucket=200))
+    text = plan(sequence.run_sequence(df, ["card_num", "tran_id"], rows_per_bucket=200))
     # the only single-partition step is the running sum over one row per bucket
     assert text.count("SinglePartition") == 1
 
 
+def test_default_sequences_run_in_buckets(spark):
+    out = entry.queries()["latest_auth_first"](spark, SF_DIR)
+    assert "__bucket" in plan(out) and "SinglePartition" not in plan(out)
+    df = fixtures.table(spark, SF_DIR, "daily").select("card_num", "tran_id")
+    assert plan(sequence.run_sequence(df, ["card_num", "tran_id"])).count("SinglePartition") == 1
+
+
+def test_purge_bound_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "details")
+    fixtures.table(spark, SF_DIR, "auth_detail").write.parquet(path)
+    details = spark.read.parquet(path)
+    out = filters.filter_expired(details, dt.date(2024, 1, 20))
+    assert "LessThan(auth_ts" in plan(out)
+    day = F.datediff(F.lit(dt.date(2024, 1, 20)), F.to_date("auth_ts"))
+    assert out.count() == details.where(day >= 5).count() > 0
+
+
 def test_posting_reads_only_what_it_needs(spark):
     out = entry.queries()["post_sequential"](spark, SF_DIR)
     text = plan(out)

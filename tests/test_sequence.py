@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cardledger.operators import sequence as S
 
-BIG = {"small_rows": 10, "rows_per_bucket": 300}
+BIG = {"rows_per_bucket": 300}
 
 
 def frame(spark, n=3000):

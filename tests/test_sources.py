@@ -10,7 +10,7 @@ from cardledger import schemas as S
 from cardledger.functions import dates, decode, money, text
 from cardledger.operators import changes, filters, joins, paging, validate
 from cardledger.plans import statements
-from cardledger.sources import exchange, fixed_width, hierarchy, load, messages, snapshots
+from cardledger.sources import exchange, fixed_width, hierarchy, load, messages, records, snapshots
 
 
 def values(spark, items, fn, kind="string"):
@@ -119,8 +119,36 @@ def test_snapshots_keep_the_last(spark, tmp_path):
 
 def test_load_refuses_repeated_keys(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
-    assert load.replace_table(df, ["k"], str(tmp_path / "m")) == 2
-    assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "m")).collect()] == [(2, "c")]
+    assert load.replace_table(df, ["k"], str(tmp_path / "m")) == 1
+    assert sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "m")).collect()) == [(1, "a"), (2, "c")]
+
+
+def test_load_keeps_one_of_equal_and_null_rows(spark):
+    rows = [(1, "b"), (1, None), (1, None), (None, "x"), (None, "y"), (3, "z"), (3, "z")]
+    kept, refused = load.load_replace(spark.createDataFrame(rows, "k int, v string"), ["k"])
+    assert sorted(map(str, kept.collect())) == sorted(["Row(k=1, v=None)", "Row(k=None, v='x')", "Row(k=3, v='z')"])
+    assert sorted(map(str, refused.collect())) == sorted(["Row(k=1, v=None)", "Row(k=1, v='b')", "Row(k=None, v='y')", "Row(k=3, v='z')"])
+
+
+def test_nothing_is_cut(spark):
+    wide = [D("1718449733.99"), D("-123456789012.34")]
+    assert values(spark, wide, lambda c: money.edit_amount(c, "+ZZZ,ZZZ,ZZZ.ZZ"), "decimal(18,2)") == ["+1,718,449,733.99", "-123,456,789,012.34"]
+    assert values(spark, wide, lambda c: money.edit_amount(c, "9(9).99-"), "decimal(18,2)") == ["1718449733.99 ", "123456789012.34-"]
+    assert values(spark, wide, lambda c: money.edit_amount(c, "Z(9).99-"), "decimal(18,2)") == ["1718449733.99 ", "123456789012.34-"]
+    assert values(spark, wide, lambda c: money.edit_amount(c, "+9(10).99"), "decimal(18,2)") == ["+1718449733.99", "-123456789012.34"]
+    assert values(spark, [123456789], lambda c: text.pad_key(c, 7), "bigint") == ["123456789"]
+    for encode in (
+        lambda c: decode.encode_packed(c, 11), lambda c: decode.encode_zoned(c, 11), lambda c: decode.encode_binary(c, 4, 2),
+    ):
+        with pytest.raises(Exception, match="does not fit"):
+            values(spark, wide[1:], encode, "decimal(18,2)")
+
+
+def test_code_page_both_ways(spark):
+    raw = bytes(range(256))
+    row = spark.createDataFrame([(raw,)], "b binary").select(records.ebcdic_text(F.col("b")).alias("t"))
+    assert row.first().t == raw.decode("cp037")
+    assert bytes(row.select(records.ebcdic_bytes(F.col("t"))).first()[0]) == raw
 
 
 def test_exchange_round_trip_and_unknown_tag(spark):
