@@ -119,7 +119,8 @@ def _(t: Tables):
     """SELECT cust_id, state <> 'ZZ' AS state_ok,
        (state = 'TX' AND zip = '75001') OR (state = 'CA' AND zip = '90210')
          OR (state = 'NY' AND substr(zip, 1, 2) = '10') AS state_zip_ok,
-       phone_1 IN ('(212)555-0100', '(212)000-0100') AS area_1_ok, true AS area_2_ok
+       phone_1 IN ('(212)555-0100', '(212)000-0100') AS area_1_ok,
+       phone_2 NOT IN ('(221)555-0199', '(800)555-0199') AS area_2_ok
        FROM {customer_master}""",
 )
 def _(t: Tables):

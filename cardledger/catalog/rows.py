@@ -154,7 +154,7 @@ _ZIP_OK = (
       CASE WHEN zip = '1000A' THEN 'zip' END,
       CASE WHEN NOT regexp_full_match(addr_line_3, '[A-Za-z ]+') THEN 'city' END,
       CASE WHEN NOT {_GOOD_AREA} THEN 'phone_1' END,
-      CASE WHEN phone_2 = '(415)555-0000' THEN 'phone_2' END,
+      CASE WHEN phone_2 <> '(415)555-0199' THEN 'phone_2' END,
       CASE WHEN eft_account_id = '0000000000' THEN 'eft_account_id' END,
       CASE WHEN primary_holder = 'X' THEN 'primary_holder' END,
       CASE WHEN state <> 'ZZ' AND zip <> '1000A' AND NOT {_ZIP_OK} THEN 'state_zip' END) AS errors

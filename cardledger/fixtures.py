@@ -104,7 +104,8 @@ VIEWS: dict[str, str] = {
                CASE c.c_custkey % 6 WHEN 0 THEN '' WHEN 1 THEN '(212)555-0100'
                     WHEN 2 THEN '(000)555-0100' WHEN 3 THEN '(212)000-0100'
                     WHEN 4 THEN '(911)555-0100' ELSE '2125550100' END AS phone_1,
-               CASE WHEN c.c_custkey % 3 = 0 THEN '(415)555-0000' ELSE '(415)555-0199' END AS phone_2,
+               CASE WHEN c.c_custkey % 3 = 0 THEN '(415)555-0000' WHEN c.c_custkey % 9 = 4 THEN '(221)555-0199'
+                    WHEN c.c_custkey % 9 = 7 THEN '(800)555-0199' ELSE '(415)555-0199' END AS phone_2,
                CASE c.c_custkey % 7 WHEN 0 THEN '666123456' WHEN 1 THEN '000123456'
                     WHEN 2 THEN '900123456' WHEN 3 THEN '123004567' WHEN 4 THEN '123450000'
                     ELSE lpad(CAST(100000001 + c.c_custkey * 7919 % 600000000 AS STRING), 9, '0')

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from cardledger.codes import area_codes
+
 
 def blank_to_null(col: Column) -> Column:
     return F.nullif(F.rtrim(col), F.lit(""))
@@ -59,9 +61,9 @@ def phone_part(col: Column, part: int) -> Column:
 def us_phone(col: Column, area_known: Column | None = None) -> Column:
     """Blank, or a well-formed number whose three parts are not zero.
 
-    ``area_known`` says whether the area code is in the code list (see ``area_code_rule``).
+    ``area_known`` says whether the area code is assigned; without it the library's list decides.
     """
-    known = area_code_rule(phone_part(col, 1)) if area_known is None else area_known
+    known = phone_part(col, 1).isin(area_codes()) if area_known is None else area_known
     good = (
         (phone_part(col, 1) != "")
         & (phone_part(col, 1) != "000")
@@ -72,14 +74,6 @@ def us_phone(col: Column, area_known: Column | None = None) -> Column:
     return F.coalesce(F.trim(col) == "", F.lit(True)) | F.coalesce(good, F.lit(False))
 
 
-def area_code_rule(area: Column) -> Column:
-    """Numbering-plan shape of a geographic area code: first digit 2-9, second 0-8, not N11.
-
-    Used when no list of assigned codes is supplied.
-    """
-    return area.rlike("^[2-9][0-8][0-9]$") & ~area.rlike("^.11$")
-
-
 def us_ssn(col: Column) -> Column:
     """Nine digits; part one not 000, 666 or 900-999, parts two and three not zero."""
     return F.coalesce(

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardledger.functions.text import area_code_rule
+from cardledger.codes import AREA_CODES, STATE_ZIP, read_codes
 from cardledger.literals import literal_table
 
 
@@ -158,43 +158,20 @@ STATES = (
     "NY NC ND OH OK OR PA RI SC SD TN TX UT VT VA WA WV WI WY DC AS GU MP PR VI"
 ).split()
 
-# Per state, the first two zip digits in use, as ranges.
-STATE_ZIP_RANGES = {
-    "AA": "34", "AE": "90-98", "AK": "99", "AL": "35-36", "AP": "96", "AR": "71-72", "AS": "96",
-    "AZ": "85-86", "CA": "90-96", "CO": "80-81", "CT": "60-69", "DC": "20 56 88", "DE": "19",
-    "FL": "32-34", "FM": "96", "GA": "30-31 39", "GU": "96", "HI": "96", "IA": "50-52",
-    "ID": "83", "IL": "60-62", "IN": "46-47", "KS": "66-67", "KY": "40-42", "LA": "70-71",
-    "MA": "10-27 55", "MD": "20-21", "ME": "39-49", "MH": "96", "MI": "48-49", "MN": "55-56",
-    "MO": "63-65 72", "MP": "96", "MS": "38-39", "MT": "59", "NC": "27-28", "ND": "58",
-    "NE": "68-69", "NH": "30-38", "NJ": "70-89", "NM": "87-88", "NV": "88-89",
-    "NY": "50 54 63 10-14", "OH": "43-45", "OK": "73-74", "OR": "97", "PA": "15-19",
-    "PR": "60-79 90-98", "PW": "96", "RI": "28-29", "SC": "29", "SD": "57", "TN": "37-38",
-    "TX": "73 75-79 88", "UT": "84", "VA": "20 22-24", "VI": "80 82-85", "VT": "50-54 56-59",
-    "WA": "98-99", "WI": "53-54", "WV": "24-26", "WY": "82-83",
-}
-
-
-def state_zip_pairs() -> list[tuple[str, str]]:
-    pairs = []
-    for state, ranges in STATE_ZIP_RANGES.items():
-        for part in ranges.split():
-            lo, _, hi = part.partition("-")
-            pairs += [(state, f"{z:02d}") for z in range(int(lo), int(hi or lo) + 1)]
-    return pairs
-
-
 def with_code_lists(
     df: DataFrame, area_codes: DataFrame | None = None, state_zip: DataFrame | None = None
 ) -> DataFrame:
     """Flag membership in the code lists: ``state_ok``, ``state_zip_ok``, ``area_1_ok``, ``area_2_ok``.
 
-    ``area_codes`` (``area_code``) is the list of assigned telephone area codes; without it the
-    numbering-plan rule is used.
+    ``area_codes`` (``area_code``) and ``state_zip`` (``state``, ``zip2``) replace the lists that
+    come with the library.
     """
     spark = df.sparkSession
     states = literal_table(spark, [(s, "true") for s in STATES], {"state": "STRING", "_state": "BOOLEAN"})
     if state_zip is None:
-        state_zip = literal_table(spark, state_zip_pairs(), {"state": "STRING", "zip2": "STRING"})
+        state_zip = literal_table(spark, read_codes(STATE_ZIP), {"state": "STRING", "zip2": "STRING"})
+    if area_codes is None:
+        area_codes = literal_table(spark, read_codes(AREA_CODES), {"area_code": "STRING"})
     pairs = state_zip.select("state", F.col("zip2").alias("_zip2"), F.lit(True).alias("_pair"))
     out = (
         df.withColumn("_zip2", F.substring("zip", 1, 2))
@@ -203,14 +180,9 @@ def with_code_lists(
     )
     for i in (1, 2):
         area = F.regexp_extract(F.rtrim(f"phone_{i}"), r"^\(([0-9]{3})\)", 1)
-        if area_codes is None:
-            out = out.withColumn(f"area_{i}_ok", area_code_rule(area))
-        else:
-            listed = area_codes.select(
-                F.col("area_code").alias("_area"), F.lit(True).alias(f"area_{i}_ok")
-            ).distinct()
-            out = out.withColumn("_area", area).join(listed, "_area", "left").drop("_area")
-            out = out.withColumn(f"area_{i}_ok", F.coalesce(f"area_{i}_ok", F.lit(False)))
+        listed = area_codes.select(F.col("area_code").alias("_area"), F.lit(True).alias(f"area_{i}_ok")).distinct()
+        out = out.withColumn("_area", area).join(listed, "_area", "left").drop("_area")
+        out = out.withColumn(f"area_{i}_ok", F.coalesce(f"area_{i}_ok", F.lit(False)))
     return out.select(
         *df.columns,
         F.coalesce("_state", F.lit(False)).alias("state_ok"),

@@ -6,7 +6,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from cardledger import schemas as S
+from cardledger import codes, schemas as S
 from cardledger.functions import dates, decode, money, text
 from cardledger.operators import changes, filters, joins, paging, validate
 from cardledger.plans import statements
@@ -72,14 +72,16 @@ def test_people_rules(spark):
 
 
 def test_code_tables():
-    assert len(joins.STATES) == 56 and len(joins.state_zip_pairs()) == 240
-    assert len(set(joins.state_zip_pairs())) == 240
+    pairs, areas = codes.read_codes(codes.STATE_ZIP), codes.area_codes()
+    assert len(joins.STATES) == 56 and len(set(pairs)) == len(pairs) == 240
+    assert len(set(areas)) == len(areas) == 410
+    assert {"201", "989"} <= set(areas) and not {"200", "221", "222", "800", "911"} & set(areas)
 
 
 def test_area_codes_can_be_given(spark):
     people = spark.createDataFrame([("TX", "75001", "(212)555-0100", "(999)555-0100")], "state string, zip string, phone_1 string, phone_2 string")
-    codes = spark.createDataFrame([("999",)], "area_code string")
-    row = joins.with_code_lists(people, codes).first()
+    given = spark.createDataFrame([("999",)], "area_code string")
+    row = joins.with_code_lists(people, given).first()
     assert (row.state_ok, row.state_zip_ok, row.area_1_ok, row.area_2_ok) == (True, True, False, True)
 
 
