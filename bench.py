@@ -17,6 +17,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from cardledger import catalog  # noqa: E402
+from cardledger.session import job_folder  # noqa: E402
 
 HEADLINE = ["post_daily", "interest_calc", "transaction_report", "statements", "auth_sequential"]
 
@@ -39,7 +40,8 @@ def main() -> None:
     for name in chosen:
         for timed in (False, True):
             begin = time.perf_counter()
-            queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            with job_folder(spark):
+                queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             if timed:
                 seconds[name] = round(time.perf_counter() - begin, 3)
     found = re.search(r"sf([0-9.]+)", sf_dir)

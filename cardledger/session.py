@@ -7,6 +7,8 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,9 +69,26 @@ def shared_dir(spark: SparkSession) -> str:
     return folder or current
 
 
+_jobs: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, or below the folder of the running job."""
+    return f"{_jobs[-1] if _jobs else shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def job_folder(spark: SparkSession) -> Iterator[str]:
+    """Stored steps made inside live in one folder, which goes when the block ends.  Write the job's
+    outputs inside the block: they are read from those steps."""
+    folder = f"{shared_dir(spark).rstrip('/')}/job-{uuid.uuid4().hex}"
+    _jobs.append(folder)
+    try:
+        yield folder
+    finally:
+        _jobs.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str = "step") -> DataFrame:
