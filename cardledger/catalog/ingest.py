@@ -62,7 +62,7 @@ def _priced_lines(t: Tables):
 @add("snapshot_write", "SELECT card_num, cust_id, acct_id FROM {xref}")
 def _(t: Tables):
     root = scratch_path(t.spark, "xref-snapshots")
-    snapshots.snapshot_write(t.xref.limit(0), root, keep=2)
+    snapshots.snapshot_write(t.xref.withColumn("acct_id", F.lit(0).cast("bigint")), root, keep=2)
     snapshots.snapshot_write(t.xref, root, keep=2)
     return snapshots.snapshot_read(t.spark, root)
 

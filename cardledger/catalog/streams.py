@@ -18,9 +18,21 @@ REGISTRY = Registry()
 add = REGISTRY.add
 
 
+#: Periods that the events arrive in, a micro-batch each.
+ARRIVALS = 4
+
+
 def event_stream(t: Tables):
-    # A glob, since the table may be one file or a folder of files.
-    return run.read_files(t.spark, f"{t.sf_dir.rstrip('/')}/event[s].parquet", t.events.schema)
+    """The events as files that came one after the other, each the events of one period."""
+    inbox = scratch_path(t.spark, "events")
+    second = F.col("ts").cast("timestamp").cast("double")
+    first, last = t.events.agg(F.min(second), F.max(second)).first()
+    first, last = first or 0.0, last or 0.0  # no events, no time
+    at = (second - F.lit(first)) / F.lit(max(last - first, 1e-6))
+    period = F.least(F.floor(at * ARRIVALS), F.lit(ARRIVALS - 1))
+    for n in range(ARRIVALS):
+        t.events.where(period == n).coalesce(1).write.mode("append").parquet(inbox)
+    return run.read_files(t.spark, inbox, t.events.schema, files_per_batch=1)
 
 
 def request_stream(t: Tables):
@@ -33,15 +45,11 @@ def finish(t: Tables, df, name: str, mode: str = "append"):
     return t.spark.read.parquet(path)
 
 
-def decisions(t: Tables):
+def decision_store(t: Tables) -> str:
     stream = SA.auth_decide_stream(request_stream(t), t.xref, t.auth_account, t.customer_master)
-    path, checkpoint = scratch_path(t.spark, "decisions"), scratch_path(t.spark, "decisions-checkpoint")
-
-    def write(df, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    run.run_batches(stream, write, checkpoint, "update")
-    return t.spark.read.parquet(path)
+    store = scratch_path(t.spark, "decisions")
+    SA.auth_store_stream(stream, store, scratch_path(t.spark, "decisions-checkpoint"))
+    return store
 
 
 @add(
@@ -65,7 +73,8 @@ def _(t: Tables):
     recursive=True,
 )
 def _(t: Tables):
-    return decisions(t).select("req_id", "acct_id", "amt", "resp_code", "resp_reason", "approved_amt")
+    stored = t.spark.read.parquet(f"{decision_store(t)}/decisions")
+    return stored.select("req_id", "acct_id", "amt", "resp_code", "resp_reason", "approved_amt")
 
 
 @add(
@@ -96,7 +105,7 @@ def _(t: Tables):
     recursive=True,
 )
 def _(t: Tables):
-    return SA.latest_summaries(decisions(t)).select(
+    return SA.stored_summaries(t.spark, decision_store(t)).select(
         "acct_id", "credit_limit", "credit_balance", "approved_cnt", "declined_cnt", "approved_amt", "declined_amt"
     )
 
@@ -108,7 +117,7 @@ def _(t: Tables):
     recursive=True,
 )
 def _(t: Tables):
-    return SA.auth_detail_stream(decisions(t)).select(
+    return t.spark.read.parquet(f"{decision_store(t)}/details").select(
         "acct_id", "auth_ts", "req_id", "card_num", "resp_code", "tran_amt", "approved_amt", "match_status"
     )
 
@@ -129,7 +138,7 @@ def _(t: Tables):
     lines = plain_lines(t)
     lines.write.parquet(inbox)
     asked = messages.requests_from_messages(
-        messages.auth_request_source(run.read_files(t.spark, inbox, lines.schema))
+        messages.auth_request_source(run.read_files(t.spark, inbox, lines.schema, files_per_batch=8))
     )
     decided = SA.auth_decide_stream(asked, t.xref, t.auth_account, t.customer_master)
 

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from cardledger.functions.money import cents, from_cents
+from cardledger.operators.headroom import walk_key
 from cardledger.plans.authorization import auth_reason, enrich
-from cardledger.streaming.run import configure_state
+from cardledger.streaming.run import configure_state, run_batches
 
 _STATE = T.StructType(
     [T.StructField(n, T.LongType()) for n in
@@ -45,30 +47,35 @@ class DecideRequests(StatefulProcessor):
         self._summary = handle.getValueState("summary", _STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["ts", "req_id"], ignore_index=True)
+        pdf = pd.concat(rows, ignore_index=True).sort_values(["ts", "req_id"], ignore_index=True)
         acct = int(key[0])
         stored = self._summary.get() if acct >= 0 and self._summary.exists() else None
         seen = stored is not None
-        s = list(stored) if seen else [0, 0, 0, 0, 0]
-        flags, after = [], []
-        for amt, limit, balance, found in zip(
-            pdf["amt_c"], pdf["limit_c"], pdf["balance_c"], pdf["account_found"]
-        ):
-            room = limit - (s[0] if seen else balance)
-            ok = bool(found) and amt <= room
-            if ok:
-                s = [s[0] + amt, s[1] + 1, s[2], s[3] + amt, s[4]]
-            else:
-                s = [s[0], s[1], s[2] + 1, s[3], s[4] + amt]
-            seen = True
-            flags.append(ok)
-            after.append([int(v) for v in s])
+        balance, approved_cnt, declined_cnt, approved_amt, declined_amt = stored if seen else (0,) * 5
+        amt, limit = pdf["amt_c"].to_numpy(), pdf["limit_c"].to_numpy()
+        # The headroom is what the limit leaves of the balance; limits are put on the amounts' side.
+        gate, found = amt - limit, pdf["account_found"].to_numpy(dtype=bool)
+        flags = np.zeros(len(pdf), dtype=bool)
+        begin = 0
+        if not seen:  # the first request is held against the account's own balance
+            flags[0] = found[0] and gate[0] <= -pdf["balance_c"].iloc[0]
+            balance, begin = int(flags[0] * amt[0]), 1
+        if begin < len(pdf):
+            rest = slice(begin, None)
+            flags[rest], _ = walk_key(-balance, gate[rest], amt[rest], found[rest])
+        taken, left = np.where(flags, amt, 0).cumsum(), np.where(flags, 0, amt).cumsum()
+        opening = stored[0] if seen else 0
+        after = {
+            "credit_balance": opening + taken, "approved_cnt": approved_cnt + flags.cumsum(),
+            "declined_cnt": declined_cnt + (~flags).cumsum(), "approved_amt": approved_amt + taken,
+            "declined_amt": declined_amt + left,
+        }
         if acct >= 0:
-            self._summary.update(tuple(int(v) for v in s))
+            self._summary.update(tuple(int(after[f.name][-1]) for f in _STATE))
         out = pdf[[f.name for f in _OUT.fields if f.name in pdf.columns]].copy()
         out["approved"] = flags
-        for i, f in enumerate(_STATE):
-            out[f"s_{f.name}"] = [row[i] for row in after]
+        for f in _STATE:
+            out[f"s_{f.name}"] = after[f.name]
         yield out
 
     def close(self) -> None:
@@ -140,3 +147,34 @@ def auth_detail_stream(decisions: DataFrame) -> DataFrame:
         "resp_reason", F.col("amt").alias("tran_amt"), "approved_amt",
         F.when(F.col("resp_code") == "00", "P").otherwise("D").alias("match_status"),
     )
+
+
+def auth_store_stream(decided: DataFrame, store: str, checkpoint: str) -> StreamingQuery:
+    """Run the decisions into a store, batch by batch: ``decisions``, ``details`` and ``summaries``.
+
+    A batch writes its decisions and details into folders of its own and the summaries of all
+    accounts, the changed ones replaced, into the next version; so its cost follows the batch and
+    the number of accounts, not the history, and a repeated batch writes the same again.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        path = f"{store}/decisions/batch={batch_id}"
+        batch.write.mode("overwrite").parquet(path)
+        written = spark.read.schema(batch.schema).parquet(path)
+        auth_detail_stream(written).write.mode("overwrite").parquet(f"{store}/details/batch={batch_id}")
+        changed = latest_summaries(written)
+        if batch_id > 0:
+            before = spark.read.schema(changed.schema).parquet(f"{store}/summaries/{batch_id - 1}")
+            changed = before.join(changed.select("acct_id"), "acct_id", "left_anti").unionByName(changed)
+        changed.write.mode("overwrite").parquet(f"{store}/summaries/{batch_id}")
+
+    return run_batches(decided, write, checkpoint, "update")
+
+
+def stored_summaries(spark: SparkSession, store: str) -> DataFrame:
+    """The summaries of the last batch."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{store}/summaries/*")
+    fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    last = max(int(status.getPath().getName()) for status in fs.globStatus(pattern))
+    return spark.read.parquet(f"{store}/summaries/{last}")

@@ -30,31 +30,47 @@ def _expire(batch: DataFrame, batch_id: int, store: str, days: int) -> None:
     if batch_id > 0:
         row = spark.read.schema(_CLOCK).parquet(f"{store}/clock/{batch_id - 1}").first()
         earlier = row["clock"] if row else None
-    live = spark.read.option("basePath", f"{store}/live").parquet(f"{store}/live")
-    newest = live.where(F.col("batch") == batch_id).agg(F.max("auth_date")).first()[0]
+    own = spark.read.parquet(f"{store}/live/batch={batch_id}")
+    newest = own.agg(F.max("auth_date")).first()[0]
     clock = max([d for d in (earlier, newest) if d is not None], default=None)
     spark.createDataFrame([(batch_id, clock)], _CLOCK).coalesce(1).write.mode("overwrite").parquet(
         f"{store}/clock/{batch_id}"
     )
     if clock is None:
         return
-    due = F.col("auth_date") <= F.date_sub(F.lit(clock), days)
-    mine = F.col("batch") == batch_id
-    known = F.col("batch") < batch_id
     settled = F.lit(False) if earlier is None else F.col("auth_date") <= F.date_sub(F.lit(earlier), days)
-    expiring = live.where(due & (mine | (known & ~settled)))
+    expiring = own.where(F.col("auth_date") <= F.date_sub(F.lit(clock), days))
+    due = _due_folders(spark, store, batch_id, earlier, clock, days)
+    if due:
+        older = spark.read.option("basePath", f"{store}/live").parquet(*due).drop("batch")
+        expiring = expiring.unionByName(older.select(expiring.columns))
     ok = F.col("resp_code") == "00"
     expiring.groupBy("acct_id", "auth_date").agg(
         F.count_if(ok).alias("approved_cnt"), F.count_if(~ok).alias("declined_cnt"),
         money_sum("approved_amt").alias("approved_amt"),
         money_sum(F.when(~ok, F.col("tran_amt"))).alias("declined_amt"),
     ).write.mode("overwrite").parquet(f"{store}/expired/batch={batch_id}")
-    late = live.where(mine & settled)
+    late = own.where(settled)
     error_log(
         late, "EXP1", "W", "authorization older than the purge date", "req_id", F.col("auth_ts")
     ).write.mode("overwrite").parquet(f"{store}/late/batch={batch_id}")
 
 
+def _due_folders(
+    spark: SparkSession, store: str, batch_id: int, earlier: dt.date | None, clock: dt.date, days: int
+) -> list[str]:
+    """Day folders of earlier batches that expire between the two clocks, by their paths."""
+    first = clock if earlier is None else earlier
+    wanted = [clock - dt.timedelta(days=days + n) for n in range((clock - first).days)]
+    if not wanted or batch_id == 0:
+        return []
+    names = ",".join(day.isoformat() for day in wanted)
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{store}/live/batch=*/auth_date={{{names}}}")
+    fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [status.getPath() for status in fs.globStatus(pattern)]
+    return [p.toString() for p in found if int(p.getParent().getName().split("=", 1)[1]) < batch_id]
+
+
 def drop_expired_folders(spark: SparkSession, store: str, days: int = 5) -> int:
     """Remove the day folders that an earlier batch has expired; run it between stream runs.
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -17,21 +19,22 @@ STATE_CONF = {
 
 
 def configure_state(spark: SparkSession) -> None:
+    """Set the state options; an option that only a new session can take is named in a warning."""
     for key, value in STATE_CONF.items():
+        if spark.conf.get(key, None) == value:
+            continue
         try:
             spark.conf.set(key, value)
-        except Exception:  # a static option: set it when the session is built
-            pass
+        except AnalysisException:
+            warnings.warn(f"{key} stays as it is; set it to {value} when building the session", stacklevel=2)
 
 
 def read_files(
-    spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None
+    spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int
 ) -> DataFrame:
-    """Parquet files as a stream, ``files_per_batch`` at a time."""
-    reader = spark.readStream.schema(schema)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    """Parquet files as a stream, ``files_per_batch`` at a time: what a micro-batch holds is bounded
+    by it, also when a backlog waits."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
 def run_to_files(
