@@ -22,16 +22,17 @@ add = REGISTRY.add
 @add(
     "upsert_category_balance",
     DECIDED_SQL + """, delta AS (
-      SELECT acct_id, type_cd, cat_cd, sum(amt) AS d FROM decided WHERE reason = 0 AND type_cd <> '05' GROUP BY 1, 2, 3),
-    old AS (SELECT * FROM {category_balance} WHERE cat_cd <> 3)
+      SELECT acct_id, type_cd, cat_cd + 1 AS cat_cd, sum(amt) AS d FROM decided WHERE reason = 0 GROUP BY 1, 2, 3),
+    old AS (SELECT * FROM {category_balance})
     SELECT coalesce(o.acct_id, n.acct_id) AS acct_id, coalesce(o.type_cd, n.type_cd) AS type_cd,
       coalesce(o.cat_cd, n.cat_cd) AS cat_cd, CAST(coalesce(o.balance, 0) + coalesce(n.d, 0) AS DECIMAL(12,2)) AS balance
     FROM old o FULL JOIN delta n ON o.acct_id = n.acct_id AND o.type_cd = n.type_cd AND o.cat_cd = n.cat_cd""",
     recursive=True,
 )
 def _(t: Tables):
-    delta = A.category_balance(posted(t).where("type_cd <> '05'"))
-    return changes.upsert_category_balance(t.category_balance.where("cat_cd <> 3"), delta)
+    # Posted one category further on, so that some keys are stored and some are new.
+    delta = A.category_balance(posted(t)).withColumn("cat_cd", F.col("cat_cd") + 1)
+    return changes.upsert_category_balance(t.category_balance, delta)
 
 
 @add(
@@ -114,14 +115,14 @@ def _(t: Tables):
     return changes.add_transactions(ledger, good, ["seq"], A.max_key(t.daily).first()[0] - 10)[1]
 
 
-# Up to six changes per key in event order, on a table of every other user.
+# Changes per key in event order, on a table that has every other key.
 CHANGES = """
 SELECT user_id AS user_key, event_id AS seq,
   CASE event_type WHEN 'click' THEN 'U' WHEN 'view' THEN 'U' WHEN 'signup' THEN 'A' WHEN 'purchase' THEN 'D'
        ELSE CASE WHEN event_id % 2 = 0 THEN '*' ELSE 'Z' END END AS action,
   concat('v', CAST(event_id AS STRING)) AS val
 FROM {events}"""
-CHANGED_TABLE = "SELECT c_custkey AS user_key, c_name AS val FROM {customer} WHERE c_custkey % 2 = 0"
+CHANGED_TABLE = "SELECT 2 * c_custkey AS user_key, c_name AS val FROM {customer}"
 
 CHANGES_SQL = f"""
 WITH ch AS ({CHANGES}), base AS ({CHANGED_TABLE}),
@@ -183,13 +184,13 @@ def _(t: Tables):
 @add(
     "update_or_insert",
     """SELECT coalesce(n.k, o.k) AS acct_id, CASE WHEN n.k IS NOT NULL THEN n.bal ELSE o.bal END AS bal
-       FROM (SELECT c_custkey AS k, CAST(c_acctbal AS DECIMAL(12,2)) AS bal FROM {customer} WHERE c_custkey % 3 <> 0) o
+       FROM (SELECT 2 * c_custkey AS k, CAST(c_acctbal AS DECIMAL(12,2)) AS bal FROM {customer}) o
        FULL JOIN (SELECT o_custkey AS k, CAST(max(o_totalprice) AS DECIMAL(12,2)) AS bal FROM {orders} GROUP BY 1) n
        ON n.k = o.k""",
 )
 def _(t: Tables):
-    old = t.customer.where("c_custkey % 3 <> 0").select(
-        F.col("c_custkey").alias("acct_id"), F.col("c_acctbal").cast("decimal(12,2)").alias("bal")
+    old = t.customer.select(
+        (2 * F.col("c_custkey")).alias("acct_id"), F.col("c_acctbal").cast("decimal(12,2)").alias("bal")
     )
     new = t.orders.groupBy(F.col("o_custkey").alias("acct_id")).agg(
         F.max("o_totalprice").cast("decimal(12,2)").alias("bal")
@@ -199,13 +200,13 @@ def _(t: Tables):
 
 @add(
     "optimistic_update",
-    """SELECT acct_id, CASE WHEN acct_id % 3 = 0 THEN 'X' ELSE active_status END AS active_status, curr_bal,
+    """SELECT acct_id, CASE WHEN acct_id % 3 <> 1 THEN 'X' ELSE active_status END AS active_status, curr_bal,
          acct_id % 3 = 1 AS conflict FROM {account}""",
 )
 def _(t: Tables):
     cols = ["active_status", "curr_bal"]
     stale = F.when(F.col("acct_id") % 3 == 1, F.col("curr_bal") + 1).otherwise(F.col("curr_bal"))
-    updates = t.account.where("acct_id % 3 < 2").select(
+    updates = t.account.select(
         "acct_id",
         F.struct("active_status", stale.cast("decimal(12,2)").alias("curr_bal")).alias("before"),
         F.struct(F.lit("X").alias("active_status"), "curr_bal").alias("after"),
@@ -225,12 +226,12 @@ FRAUD_COLUMNS = ["card_num", "auth_ts", "req_id", "acct_id", "tran_amt", "fraud_
       SELECT card_num, auth_ts, req_id, acct_id, tran_amt, event.hit,
         CASE WHEN hit THEN CASE WHEN fraud_flag = 'F' THEN 'R' ELSE 'F' END ELSE fraud_flag END AS fraud_flag,
         CASE WHEN hit THEN DATE '2024-02-09' ELSE fraud_date END AS fraud_date
-      FROM (SELECT *, req_id % 22 IN (0, 3) AS hit FROM {auth_detail}) event)
+      FROM (SELECT *, resp_code <> '00' AS hit FROM {auth_detail}) event)
     SELECT card_num, auth_ts, req_id, acct_id, tran_amt, fraud_flag, fraud_date FROM state
-    WHERE hit OR req_id % 11 = 0""",
+    WHERE hit OR fraud_flag IS NOT NULL""",
 )
 def _(t: Tables):
     details = t.auth_detail
-    fraud = details.where("req_id % 11 = 0").select(*FRAUD_COLUMNS)
-    marks = details.where("req_id % 22 IN (0, 3)").select("card_num", "auth_ts", "req_id")
+    fraud = details.where("fraud_flag IS NOT NULL").select(*FRAUD_COLUMNS)
+    marks = details.where("resp_code <> '00'").select("card_num", "auth_ts", "req_id")
     return changes.mark_fraud(details, fraud, marks, FRAUD_DATE)[1]

@@ -238,13 +238,12 @@ def _(t: Tables):
 @add(
     "hier_load",
     """SELECT l_orderkey AS acct_id, l_linenumber AS line_no, min(CAST(l_extendedprice AS DECIMAL(12,2))) AS price,
-              l_orderkey % 3 = 0 AS orphan
+              l_orderkey NOT IN (SELECT o_orderkey + o_orderkey // 2 FROM {orders}) AS orphan
        FROM {lineitem} GROUP BY 1, 2, 4""",
 )
 def _(t: Tables):
-    roots = t.orders.where("o_orderkey % 3 <> 0").select(
-        F.col("o_orderkey").alias("acct_id"), "o_orderdate"
-    )
+    # Keys spread out, so that every third line has no root.
+    roots = t.orders.selectExpr("o_orderkey + o_orderkey div 2 AS acct_id", "o_orderdate")
     lines = t.lineitem.select(
         F.col("l_orderkey").alias("acct_id"), F.col("l_linenumber").alias("line_no"),
         F.col("l_extendedprice").cast("decimal(12,2)").alias("price"),
