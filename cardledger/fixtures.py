@@ -59,13 +59,22 @@ def _rate_fixture() -> list[tuple]:
     return rows
 
 
-def _card(custkey: str, last: str = "0") -> str:
-    return f"concat('4', lpad(CAST({custkey} AS STRING), 14, '0'), '{last}')"
+def _card(custkey: str, last: str = "0", first: str = "'4'") -> str:
+    return f"concat({first}, lpad(CAST({custkey} AS STRING), 14, '0'), '{last}')"
+
+
+# Every twentieth customer has cards that no transaction names, and every twentieth an account under
+# another number, so that cards and accounts of some transactions are unknown.
+_FIRST = "CASE WHEN c_custkey % 20 = 0 THEN '5' ELSE '4' END"
+
+
+def _account(custkey: str) -> str:
+    return f"CASE WHEN {custkey} % 20 = 1 THEN 900000000 + {custkey} ELSE {custkey} END"
 
 
 VIEWS: dict[str, str] = {
-    "account": """
-        SELECT c_custkey AS acct_id,
+    "account": f"""
+        SELECT {_account("c_custkey")} AS acct_id,
                CASE WHEN c_custkey % 10 = 0 THEN 'N' ELSE 'Y' END AS active_status,
                CAST(c_acctbal AS DECIMAL(12,2)) AS curr_bal,
                CAST(500000 + 100000 * (c_custkey % 10) AS DECIMAL(12,2)) AS credit_limit,
@@ -77,13 +86,13 @@ VIEWS: dict[str, str] = {
                CAST(0 AS DECIMAL(12,2)) AS cyc_debit,
                lpad(CAST(c_custkey % 100000 AS STRING), 5, '0') AS zip,
                c_mktsegment AS group_id
-        FROM {customer} WHERE c_custkey % 20 <> 1""",
+        FROM {{customer}}""",
     "xref": f"""
-        SELECT {_card('c_custkey')} AS card_num, c_custkey AS cust_id, c_custkey AS acct_id
-        FROM {{customer}} WHERE c_custkey % 20 <> 0
+        SELECT {_card('c_custkey', '0', _FIRST)} AS card_num, c_custkey AS cust_id, c_custkey AS acct_id
+        FROM {{customer}}
         UNION ALL
-        SELECT {_card('c_custkey', '1')} AS card_num, c_custkey AS cust_id, c_custkey AS acct_id
-        FROM {{customer}} WHERE c_custkey % 20 <> 0 AND c_custkey % 7 = 0""",
+        SELECT {_card('c_custkey', '1', _FIRST)} AS card_num, c_custkey AS cust_id, c_custkey AS acct_id
+        FROM {{customer}} WHERE c_custkey % 7 = 0""",
     "card": """
         SELECT card_num, acct_id, CAST(acct_id % 1000 AS INT) AS cvv,
                concat('Holder ', CAST(cust_id AS STRING)) AS embossed_name,
@@ -138,12 +147,12 @@ VIEWS: dict[str, str] = {
         _rate_fixture(), ["group_id", "type_cd", "cat_cd", "rate"],
         ["STRING", "STRING", "INT", "DECIMAL(6,2)"],
     ),
-    "category_balance": """
-        SELECT o_custkey AS acct_id, concat('0', substr(o_orderpriority, 1, 1)) AS type_cd,
+    "category_balance": f"""
+        SELECT {_account("o_custkey")} AS acct_id, concat('0', substr(o_orderpriority, 1, 1)) AS type_cd,
                CAST(CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'F' THEN 2 ELSE 3 END AS INT) AS cat_cd,
                CAST(sum(CASE WHEN o_orderkey % 4 = 0 THEN -CAST(o_totalprice AS DECIMAL(12,2))
                         ELSE CAST(o_totalprice AS DECIMAL(12,2)) END) AS DECIMAL(12,2)) AS balance
-        FROM {orders} WHERE o_custkey % 20 <> 1 GROUP BY 1, 2, 3""",
+        FROM {{orders}} GROUP BY 1, 2, 3""",
     "auth_account": """
         SELECT acct_id, curr_bal, CAST(500 + 100 * (acct_id % 10) AS DECIMAL(12,2)) AS credit_limit,
                cash_credit_limit
