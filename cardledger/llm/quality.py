@@ -128,7 +128,7 @@ def quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFra
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     marks = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), "quality")
     marks = marks.where(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
-    drawn, counts = sample_by(rows.join(marks, "doc_id"), "quality", sample, SAMPLE_CHARS)
+    drawn, counts = sample_by(marks, "quality", sample, SAMPLE_CHARS, rows)
     model = fit(drawn, counts)
     if model.compressors is None:
         found = rows.select("doc_id", F.lit(float(model.share)).alias("score"))

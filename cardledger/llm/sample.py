@@ -13,19 +13,27 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def sample_by(rows: DataFrame, label: str, per_label: int, max_chars: int) -> tuple[list, dict]:
+def sample_by(
+    rows: DataFrame, label: str, per_label: int, max_chars: int, texts: DataFrame | None = None
+) -> tuple[list, dict]:
     """About ``per_label`` rows (label, text) of each label, and the label's count of rows.
 
-    Rows come from those with a text of at most ``max_chars`` characters, by a hash of the id, so
-    the driver gets a bounded expected number whatever the table's size.
+    Rows are drawn by a hash of the id, so the driver gets a bounded expected number whatever the
+    table's size; of those drawn, texts of more than ``max_chars`` characters are left out.  With
+    ``texts`` (``doc_id``, ``text``) only the drawn ids are sent to meet the texts.
     """
-    known = rows.where(F.col(label).isNotNull() & F.col("text").isNotNull())
-    known = known.where(F.char_length("text") <= max_chars)
+    known = rows.where(F.col(label).isNotNull())
+    if texts is None:
+        known = known.where(F.char_length("text") <= max_chars)
     counts = {r[0]: r[1] for r in known.groupBy(label).count().collect()}
     if not counts:
         return [], {}
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, int(2**_BITS * min(1.0, per_label / n)))])
     drawn = F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(2**_BITS)) < F.element_at(share, F.col(label))
-    found = known.where(drawn).select("doc_id", label, "text").collect()
+    found = known.where(drawn)
+    if texts is not None:
+        short = texts.where(F.char_length("text") <= max_chars)
+        found = short.join(F.broadcast(found.select("doc_id", label)), "doc_id")
+    found = found.select("doc_id", label, "text").collect()
     found.sort(key=lambda r: (str(r[1]), r[0] or 0, r[2]))
     return [(r[1], r[2]) for r in found], counts
