@@ -17,7 +17,8 @@ bytes, so sorting is cut off there.
 4. Marks go back to the blocks, and the bytes under marked strings are cut out.
 
 A bucket and a block are what a task holds; their sizes do not depend on the amount of text, since the
-number of buckets follows ``spark.sql.shuffle.partitions``.
+number of buckets follows ``spark.sql.shuffle.partitions``.  A text longer than a block makes a block
+of its own.
 """
 
 from __future__ import annotations
