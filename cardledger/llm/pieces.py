@@ -3,7 +3,7 @@
 The model's protobuf is read here; the normaliser, the metaspace marker, the pieces with their
 scores (unigram) or the merges that their scores imply (BPE) and the byte fallback are built anew as
 a ``Tokenizer``, which encodes batches on several threads.  Every text is also encoded by the
-reference library and decoded again, and both outcomes are columns of the result.
+sentencepiece library and decoded again, and both outcomes are columns of the result.
 """
 
 from __future__ import annotations
@@ -132,11 +132,18 @@ class PieceTokenizer:
             steps.append(normalizers.Prepend(MARK if model.escape_spaces else " "))
         if model.escape_spaces:
             steps.append(normalizers.Replace(" ", MARK))
-        self.normalizer = normalizers.Sequence(steps)
+        # Spaces to marks alone, the common case, is a replacement of characters.
+        plain = not model.charsmap and not model.trim_spaces and model.escape_spaces
+        self.normalizer = None if plain else normalizers.Sequence(steps)
         back = [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
         self.core.decoder = decoders.Sequence(back + [decoders.Strip(" ", 1, 0)] * model.dummy_prefix)
         self.apart = model.words_apart()
 
+    def _normal(self, text: str) -> str:
+        if self.normalizer is not None:
+            return self.normalizer.normalize_str(text)
+        return MARK * self.model.dummy_prefix + text.replace(" ", MARK)
+
     def _cut(self, text: str) -> list[str]:
         """A normalised text in stretches that no piece reaches across."""
         out, begin = [], 0
@@ -153,7 +160,7 @@ class PieceTokenizer:
         parts, owners = [], []
         for i, text in enumerate(texts):
             if text:
-                cut = self._cut(self.normalizer.normalize_str(text))
+                cut = self._cut(self._normal(text))
                 parts += cut
                 owners += [i] * len(cut)
         out: list[list[int]] = [[] for _ in texts]
@@ -165,7 +172,7 @@ class PieceTokenizer:
                 end += 1
             encoded = self.core.encode_batch_fast(parts[begin:end], add_special_tokens=False)
             for owner, one in zip(owners[begin:end], encoded, strict=True):
-                out[owner] += one.ids
+                out[owner] = out[owner] + one.ids if out[owner] else one.ids
             begin = end
         return out
 
@@ -196,7 +203,7 @@ def _encoder(data: bytes, threads: int) -> Callable[[Iterable[pa.RecordBatch]],
                         pa.array(np.diff(ends), pa.int64()),
                         pa.array(np.diff(spelled[ends]), pa.int64()),
                         pa.array([a == b for a, b in zip(rebuilt.decode(ids), texts, strict=True)]),
-                        pa.array([peer.encode(t) == x for t, x in zip(texts, ids, strict=True)]),
+                        pa.array([a == b for a, b in zip(peer.encode(texts, num_threads=1), ids, strict=True)]),
                         pa.array([hashlib.sha256(x.astype("<i4").tobytes()).hexdigest() for x in arrays], pa.string()),
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32())),
                     ],
@@ -207,11 +214,11 @@ def _encoder(data: bytes, threads: int) -> Callable[[Iterable[pa.RecordBatch]],
 
 
 def piece_tokens(docs: DataFrame, model_path: str = MODEL, threads: int = THREADS) -> DataFrame:
-    """Piece ids of every text, checked against the reference library and by decoding.
+    """Piece ids of every text, checked against the sentencepiece library and by decoding.
 
     ``docs`` needs ``doc_id`` and ``text``; other columns are not read.  The model file is read on
     the driver and sent along.  Returns one row per input row: ``doc_id``, ``n_tokens``,
-    ``n_byte_tokens``, ``round_trip`` (decoding gives the text back), ``parity`` (the reference
+    ``n_byte_tokens``, ``round_trip`` (decoding gives the text back), ``parity`` (the sentencepiece
     library gives the same ids), ``ids_sha256`` (of the ids as little-endian 32-bit integers),
     ``token_ids``.  A null or empty text has no ids and passes both checks.  Repeated rows get equal
     results.  Models that change texts (other normalisers, trimmed spaces) show ``round_trip`` false
