@@ -37,6 +37,51 @@ def _(t: Tables):
     return job.accounts.select("acct_id", "curr_bal", "cyc_credit", "cyc_debit")
 
 
+def posting_job(t: Tables) -> posting.Posting:
+    """The job as it runs in production: decided once, stored, and read by every output."""
+    return posting.post_daily(t.daily, t.xref, t.account, t.category_balance, RUN_TS)
+
+
+@add(
+    "post_daily_ledger",
+    DECIDED_SQL + "SELECT tran_id, acct_id, type_cd, cat_cd, amt, card_num FROM decided WHERE reason = 0",
+    recursive=True,
+)
+def _(t: Tables):
+    return posting_job(t).ledger.select("tran_id", "acct_id", "type_cd", "cat_cd", "amt", "card_num")
+
+
+@add(
+    "post_daily_rejects",
+    DECIDED_SQL + """SELECT tran_id, card_num, amt, reason, CASE reason WHEN 100 THEN 'INVALID CARD NUMBER FOUND'
+         WHEN 101 THEN 'ACCOUNT RECORD NOT FOUND' WHEN 102 THEN 'OVERLIMIT TRANSACTION'
+         ELSE 'TRANSACTION RECEIVED AFTER ACCT EXPIRATION' END AS reason_text
+       FROM decided WHERE reason <> 0""",
+    recursive=True,
+)
+def _(t: Tables):
+    return posting_job(t).rejects.select("tran_id", "card_num", "amt", "reason", "reason_text")
+
+
+@add("post_daily_counts", DECIDED_SQL + "SELECT reason, count(*) AS rows FROM decided GROUP BY 1", recursive=True)
+def _(t: Tables):
+    return posting_job(t).counts
+
+
+@add(
+    "post_daily_balances",
+    DECIDED_SQL + """, delta AS (
+      SELECT acct_id, type_cd, cat_cd, sum(amt) AS d FROM decided WHERE reason = 0 GROUP BY 1, 2, 3)
+    SELECT coalesce(o.acct_id, n.acct_id) AS acct_id, coalesce(o.type_cd, n.type_cd) AS type_cd,
+      coalesce(o.cat_cd, n.cat_cd) AS cat_cd, CAST(coalesce(o.balance, 0) + coalesce(n.d, 0) AS DECIMAL(12,2)) AS balance
+    FROM {category_balance} o
+    FULL JOIN delta n ON o.acct_id = n.acct_id AND o.type_cd = n.type_cd AND o.cat_cd = n.cat_cd""",
+    recursive=True,
+)
+def _(t: Tables):
+    return posting_job(t).category_balances.select("acct_id", "type_cd", "cat_cd", "balance")
+
+
 @add(
     "interest_calc",
     INTEREST_SQL + f"""SELECT x.*, 'System' AS source,
