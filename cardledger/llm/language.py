@@ -31,7 +31,7 @@ LEXICON = 300
 TABLE = 1 << 16
 UNKNOWN = "und"
 #: Words labelled together, and words whose scores a task remembers.
-_CHUNK, _CACHE = 200_000, 400_000
+_CHUNK, _CACHE = 100_000, 200_000
 _TOKENS = re.compile(r"[^\W\d_]+|\n")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
