@@ -113,6 +113,21 @@ def _(t: Tables):
     return exchange.import_split(t.spark.read.parquet(path))["transaction"]
 
 
+@add(
+    "import_split_errors",
+    EXPORT_SQL + """SELECT rec_type, seq_num, 'Unknown record type encountered' AS message,
+       concat('2001-09-01-12.30.15.000000|Z|', repeat('0', greatest(0, 7 - length(CAST(seq_num AS VARCHAR)))), seq_num,
+              '|', rpad('Unknown record type encountered', 50, ' ')) AS line
+     FROM (SELECT CASE rec_type WHEN 'A' THEN 'Z' ELSE rec_type END AS rec_type,
+                  row_number() OVER (ORDER BY place, k) AS seq_num FROM parts) WHERE rec_type = 'Z'""",
+)
+def _(t: Tables):
+    # Account records come with a tag that no table has.
+    tag = F.when(F.col("rec_type") == "A", "Z").otherwise(F.col("rec_type"))
+    export = exchange.export_union(exchange_tables(t), RUN_TS).withColumn("rec_type", tag)
+    return exchange.import_split(export)["errors"].select("rec_type", "seq_num", "message", "line")
+
+
 @add("import_records", f"SELECT {ACCOUNT_COLUMNS} FROM {{account}}")
 def _(t: Tables):
     export = exchange.export_union({"account": t.account, "card": t.card}, RUN_TS)
