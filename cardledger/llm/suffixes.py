@@ -11,7 +11,11 @@ bytes, so sorting is cut off there.
 2. Suffix buckets.  A suffix none of whose sampled positions has a shared rank is alone and is not
    sorted at all.  The others go to buckets by the least 16-byte hash inside their first ``LENGTH``
    bytes: equal suffixes meet, and neighbours mostly share a bucket, so they travel as one stretch of
-   text instead of one record each.  Equal stretches of a block go as one.
+   text instead of one record each.  Equal stretches of a block go as one.  At the edges of a passage
+   that many documents share, every document has a stretch of its own under the same hash.  Hashes with
+   more than ``HOT`` stretches (estimated from a part of the blocks; only the way of the suffixes depends
+   on it) are split: of their suffixes, those whose name of all ``LENGTH`` bytes occurs once are alone,
+   and each other goes by that name, so no hash ties a bucket to the number of documents.
 3. A task takes one bucket at a time: its suffixes are sorted by name in order of their place, ties
    are compared byte by byte, and all but the first of equal ones are marked.
 4. Marks go back to the blocks, and the bytes under marked strings are cut out.
@@ -44,6 +48,10 @@ SAMPLED = LENGTH - PERIOD + 1
 GRAM = 16
 BLOCK_BYTES = 2 << 20
 BUCKETS_A_TASK = 4
+#: Stretches under one hash beyond which its suffixes go by their own names, and the part of the blocks
+#: (one in so many) that is counted.
+HOT = 20_000
+COUNTED = 4
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -176,23 +184,27 @@ def _name_sender(buckets: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[
         for row in _rows(batches):
             block = Block(row)
             at = block.sampled()
-            names = np.unique(Hashes(block.data).of(at, at + SAMPLED))
-            bucket = (names >> np.uint64(32)) % np.uint64(buckets)
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
-            names = names[order]
-            out = [
-                {"bucket": b, "block": block.number, "names": names[s:e].tobytes()}
-                for b, (s, e) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))
-                if e > s
-            ]
-            yield pa.RecordBatch.from_pylist(
-                out, pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("names", pa.binary())])
-            )
+            yield _dealt_names(block, Hashes(block.data).of(at, at + SAMPLED), buckets)
 
     return send
 
 
+def _dealt_names(block: Block, names: np.ndarray, buckets: int) -> pa.RecordBatch:
+    names = np.unique(names)
+    bucket = (names >> np.uint64(32)) % np.uint64(buckets)
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
+    names = names[order]
+    out = [
+        {"bucket": b, "block": block.number, "names": names[s:e].tobytes()}
+        for b, (s, e) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))
+        if e > s
+    ]
+    return pa.RecordBatch.from_pylist(
+        out, pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("names", pa.binary())])
+    )
+
+
 def _by_bucket(batches: Iterable[pa.RecordBatch]) -> Iterator[list[dict]]:
     """Rows of one bucket after the other; the partition is sorted by bucket."""
     held: list[dict] = []
@@ -226,13 +238,16 @@ def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
 
 
+def _repeated(names: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """Names that are shared with other blocks or occur twice in their own."""
+    order = np.sort(names)
+    return _among(names, shared) | _among(names, np.unique(order[1:][order[1:] == order[:-1]]))
+
+
 def _live(block: Block, hashes: Hashes, shared: np.ndarray) -> np.ndarray:
     """Suffixes with a shared rank at one of their sampled positions."""
     at = block.sampled()
-    names = hashes.of(at, at + SAMPLED)
-    order = np.sort(names)
-    twice = np.unique(order[1:][order[1:] == order[:-1]])
-    at = at[_among(names, shared) | _among(names, twice)]
+    at = at[_repeated(hashes.of(at, at + SAMPLED), shared)]
     document = np.searchsorted(block.ends, at, side="right")
     begins = np.maximum(at - PERIOD + 1, block.begins[document])
     return _covered(len(block.data), begins, at + 1) & block.within(LENGTH)
@@ -242,32 +257,76 @@ _SEGMENT = np.dtype([("id", "<i8"), ("known", "<i8"), ("block", "<i8"), ("doc",
 _MARK = np.dtype([("begin", "<i8"), ("end", "<i8")])
 
 
-def _segment_sender(buckets: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _received(names: list[bytes] | None) -> np.ndarray:
+    return np.sort(np.concatenate([np.frombuffer(x, np.uint64) for x in names or []] or [np.empty(0, np.uint64)]))
+
+
+def _stretches(
+    block: Block, hashes: Hashes, live: np.ndarray, hot: np.ndarray, names: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begins, ends (of the starts) and bucket keys of runs of live suffixes with one key.  Of those
+    under a hot key, each that has a repeated name is a run with its name as the key."""
+    least = _least(hashes.windows(GRAM), LENGTH - GRAM + 1)
+    live = live[: len(least)]
+    at = np.flatnonzero(live & _among(least, hot))
+    own = hashes.of(at, at + LENGTH)
+    split = np.zeros(len(least), dtype=bool)
+    split[at] = True
+    live[at] = _repeated(own, names)
+    least[at] = own
+    document = np.repeat(np.arange(len(block.ends)), block.ends - block.begins)[: len(least)]
+    change = np.ones(len(least), dtype=bool)
+    change[1:] = (least[1:] != least[:-1]) | (document[1:] != document[:-1]) | (live[1:] != live[:-1])
+    change[1:] |= split[1:] | split[:-1]
+    begins = np.flatnonzero(change)
+    ends = np.concatenate((begins[1:], [len(least)]))
+    keep = live[begins]
+    return begins[keep], ends[keep], least[begins[keep]]
+
+
+def _count_keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Different stretches by key, of each block."""
+    none = np.empty(0, np.uint64)
+    for row in _rows(batches):
+        block = Block(row)
+        hashes = Hashes(block.data)
+        live = _live(block, hashes, _received(row["names"]))
+        if live.any():
+            begins, ends, key = _stretches(block, hashes, live, none, none)
+            _, first = np.unique(hashes.of(begins, ends + LENGTH - 1), return_index=True)
+            keys, n = np.unique(key[first], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
+
+
+def _hot_name_sender(buckets: int, hot: np.ndarray) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each block's names of the suffixes under hot keys, by bucket.  Needs no shared ranks, so
+        that texts are not shuffled for it: a repeated name is live."""
+        for row in _rows(batches):
+            block = Block(row)
+            hashes = Hashes(block.data)
+            least = _least(hashes.windows(GRAM), LENGTH - GRAM + 1)
+            at = np.flatnonzero(block.within(LENGTH)[: len(least)] & _among(least, hot))
+            yield _dealt_names(block, hashes.of(at, at + LENGTH), buckets)
+
+    return send
+
+
+def _segment_sender(
+    buckets: int, hot: np.ndarray
+) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Stretches of live suffixes by bucket.  Marks that a block can set itself go along in rows of
     bucket numbers from ``buckets`` on, which have no text to sort."""
 
-    def stretches(block: Block, hashes: Hashes, live: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Begins, ends (of the starts) and bucket keys of runs of live suffixes with one key."""
-        least = _least(hashes.windows(GRAM), LENGTH - GRAM + 1)
-        live = live[: len(least)]
-        document = np.repeat(np.arange(len(block.ends)), block.ends - block.begins)[: len(least)]
-        change = np.ones(len(least), dtype=bool)
-        change[1:] = (least[1:] != least[:-1]) | (document[1:] != document[:-1]) | (live[1:] != live[:-1])
-        begins = np.flatnonzero(change)
-        ends = np.concatenate((begins[1:], [len(least)]))
-        keep = live[begins]
-        return begins[keep], ends[keep], least[begins[keep]]
-
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=1)
         for row in _rows(batches):
             block = Block(row)
             hashes = Hashes(block.data)
-            shared = np.sort(np.concatenate([np.frombuffer(x, np.uint64) for x in row["names"] or []] or [np.empty(0, np.uint64)]))
-            live = _live(block, hashes, shared)
+            live = _live(block, hashes, _received(row["names"]))
             out: list[dict] = []
             if live.any():
-                begins, ends, key = stretches(block, hashes, live)
+                begins, ends, key = _stretches(block, hashes, live, hot, _received(row.get("hot_names")))
                 # Equal stretches go once: the first stands for all, and the others are marked.
                 whole = hashes.of(begins, ends + LENGTH - 1)
                 _, first, same = np.unique(whole, return_index=True, return_inverse=True)
@@ -415,7 +474,7 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """Texts without the bytes of strings of 100 bytes that also start earlier.
 
     ``docs`` needs ``doc_id`` and ``text``; other columns are not read.  Earlier is a smaller
@@ -423,7 +482,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     repeat an id one is taken as the earlier.  Strings are judged on the input, overlaps count, and
     none reaches over the end of a document.  Returns one row per input row: ``doc_id``,
     ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs), ``kept`` (bytes that are left)
-    and ``kept_sha256``.  A null text is empty; texts below 100 bytes stay as they are.
+    and ``kept_sha256``.  A null text is empty; texts below 100 bytes stay as they are.  ``hot``
+    bounds the stretches that go to a bucket by one hash; it does not change the result.
     """
     spark = docs.sparkSession
     n = tasks(spark)
@@ -435,8 +495,20 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     shared = _stored(names.mapInArrow(_shared_names, "block bigint, names binary"), "ranks")
 
     shared = shared.groupBy("block").agg(F.collect_list("names").alias("names"))
-    sent = packed.join(shared, "block", "left").mapInArrow(
-        _segment_sender(buckets), "bucket bigint, block bigint, marks binary, segments binary"
+    blocks = packed.join(shared, "block", "left")
+    counted = packed.where(F.pmod(F.xxhash64("block"), F.lit(COUNTED)) == 0).join(shared, "block", "left")
+    counted = counted.mapInArrow(_count_keys, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+    with short_shuffles(spark):
+        keys = [r["key"] for r in counted.where(F.col("n") * COUNTED > hot).select("key").collect()]
+    split = np.sort(np.array(keys, np.int64).view(np.uint64))
+    if keys:
+        names = packed.mapInArrow(_hot_name_sender(buckets, split), "bucket int, block bigint, names binary")
+        names = names.repartition(n, "bucket").sortWithinPartitions("bucket")
+        names = _stored(names.mapInArrow(_shared_names, "block bigint, names binary"), "hot_ranks")
+        names = names.groupBy("block").agg(F.collect_list("names").alias("hot_names"))
+        blocks = blocks.join(names, "block", "left")
+    sent = blocks.mapInArrow(
+        _segment_sender(buckets, split), "bucket bigint, block bigint, marks binary, segments binary"
     )
     sent = sent.repartition(n, "bucket").sortWithinPartitions("bucket")
     marks = _stored(sent.mapInArrow(_sort_buckets, "block bigint, marks binary"), "marks")

@@ -104,6 +104,43 @@ def test_repeats_over_many_blocks(spark, monkeypatch):
         assert (r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) == want
 
 
+def edges(n: int) -> list[tuple[int, str, str]]:
+    """Documents that share a passage, each with its own text beside it."""
+    rng = np.random.default_rng(6)
+    draw = lambda size: "".join(rng.choice(list("abcdefgh "), size))
+    passage = draw(600)
+    return [(i, draw(150) + passage + draw(150), "en") for i in range(n)]
+
+
+def test_edges_of_a_passage_do_not_meet_in_one_bucket():
+    rows = edges(400)
+    ends = np.cumsum([len(t) for _, t, _ in rows], dtype=np.int64)
+    data = "".join(t for _, t, _ in rows).encode()
+    row = {"block": 0, "ids": np.arange(400).tobytes(), "ends": ends.tobytes(), "data": data}
+    block = suffixes.Block(row)
+    hashes, none = suffixes.Hashes(block.data), np.empty(0, np.uint64)
+    live = suffixes._live(block, hashes, none)
+
+    def largest(hot):
+        begins, after, key = suffixes._stretches(block, hashes, live.copy(), hot, none)
+        _, first = np.unique(hashes.of(begins, after + suffixes.LENGTH - 1), return_index=True)
+        keys, n = np.unique(key[first], return_counts=True)
+        return n.max(), keys[n > 40]
+
+    n, hot = largest(none)
+    assert n > 300
+    assert largest(hot)[0] <= 40
+
+
+@pytest.mark.parametrize("hot", [0, 40])
+def test_repeats_with_split_keys(spark, hot):
+    rows = [*edges(120), (500, brute.PROSE * 9, "en"), (501, brute.PROSE * 9, "en"), (None, brute.PROSE * 5, "en")]
+    got = brute.by_id(suffixes.remove_repeats(brute.frame(spark, rows).repartition(16), hot=hot))
+    for i, want in brute.repeats(rows).items():
+        r = got[i]
+        assert (r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) == want
+
+
 def test_difference_cover_and_colliding_names(monkeypatch):
     met = {(a - b) % suffixes.PERIOD for a in suffixes.COVER for b in suffixes.COVER}
     assert met == set(range(suffixes.PERIOD))
