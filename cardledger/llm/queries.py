@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardledger.llm.common import table
+from cardledger.llm.conversations import repair_conversations
 from cardledger.llm.decontaminate import WINDOW, decontaminate
 from cardledger.llm.exact import exact_dedup
 from cardledger.llm.language import identify
@@ -18,6 +19,8 @@ from cardledger.llm.quality import quality
 from cardledger.llm.sharding import vector_shards
 from cardledger.llm.simhash import simhash_components
 from cardledger.llm.suffixes import remove_repeats
+from cardledger.llm.urls import url_verdicts
+from cardledger.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -175,3 +178,32 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_vector_sharding")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_shards(table(spark, sf_dir, "documents"))
+
+
+@_query("op11_url_filter")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_verdicts(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "words", "score")
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with planted faults; dropped rows stay as ``present`` false."""
+    space = F.lit(" ")
+    named = F.concat_ws(":", F.coalesce(F.col("conv_id").cast("string"), space), F.coalesce(F.col("turn").cast("string"), space))
+    code = F.crc32(named.cast("binary")) % 20
+    role, text = F.coalesce("role", space), F.coalesce("text", space)
+    rows = rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), code.alias("code"))
+    text = F.when(F.col("code") == 1, "").when(F.col("code") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("code") == 4, "user").otherwise(F.col("role"))
+    copies = F.explode(F.array_repeat(F.col("code") != 0, F.when(F.col("code") == 3, 2).otherwise(1)))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("present"))
+
+
+@_query("op12_conversation_repair")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = damaged(table(spark, sf_dir, "conversations"))
+    return repair_conversations(rows, F.col("present"))
+
+
+@_query("op13_embedding_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
