@@ -17,7 +17,7 @@ result, which Spark writes to the shared folder, and a second stream reads the b
 last to the first.  Both ways apply the same steps.
 
 Odd rows: null roles and texts count as one space (such a text is blank); null turns come first;
-rows of one turn are taken by role, then text; rows without an id are one conversation.  The edit text
+an empty role adds no initial, so its row may stay anywhere; rows of one turn are taken by role, then text; rows without an id are one conversation.  The edit text
 and the hash are values of one conversation and as long as it has rows (or one hash); a
 conversation is read by one task, since its hash is one chain.  ``gaps`` ends at the bigint range.  An
 empty table gives no rows.
@@ -44,6 +44,13 @@ _NOTHING, _SYSTEM, _USER, _ASSISTANT = range(4)
 #: State behind an inserted or reroled turn: the pattern says which of the two roles it takes.
 _NEXT = {_NOTHING: _USER, _SYSTEM: _USER, _USER: _ASSISTANT, _ASSISTANT: _USER}
 _KEEP = {("s", _NOTHING): _SYSTEM, ("u", _NOTHING): _USER, ("u", _SYSTEM): _USER, ("a", _USER): _ASSISTANT, ("u", _ASSISTANT): _USER}
+
+
+def _kept(initial: str, state: int) -> int | None:
+    """State behind a kept turn; an empty role adds no initial."""
+    return state if not initial else _KEEP.get((initial, state))
+
+
 _ROLE = {_USER: "user", _ASSISTANT: "assistant"}
 _TAIL = {_NOTHING: 0, _SYSTEM: 2, _USER: 1, _ASSISTANT: 0}
 _EDITS = "DKR"
@@ -94,11 +101,12 @@ class _Conversation:
             offer(state, cost + _DELETE, rank, "D", state)
             if must_go:
                 continue
-            # Two inserts before an edit lead to a state that allows no more than the one before them.
+            # Two inserts before an edit are never cheapest: neither is needed, or Delete of the system turn is cheaper.
             for inserts, at in ((0, state), (1, _NEXT[state])):
                 before, word = cost + extra + inserts * _INSERT, "I" * inserts
-                if (initial, at) in _KEEP:
-                    offer(_KEEP[initial, at], before, rank, word + "K", state)
+                kept = _kept(initial, at)
+                if kept is not None:
+                    offer(kept, before, rank, word + "K", state)
                 offer(_NEXT[at], before + _REROLE, rank, word + "R", state)
         byte = [0, 0, 0, 0]
         states = {}
@@ -289,7 +297,7 @@ def repaired_turns(rows: DataFrame, reports: DataFrame) -> DataFrame:
                     edit, at = audit[at], at + 1
                     if edit == "D":
                         continue
-                    state = _KEEP[role[:1], state] if edit == "K" else _NEXT[state]
+                    state = _kept(role[:1], state) if edit == "K" else _NEXT[state]
                     out.append((conv_id, place, role if edit == "K" else _ROLE[state], "" if edit == "I" else text))
                     place += 1
             if out:

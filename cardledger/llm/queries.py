@@ -115,6 +115,83 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+def _talk_sql() -> str:
+    """Damage and repair row by row; a state of a conversation is (cost, edits, repaired lines)."""
+    far = 1_000_000_000
+
+    def offer(state: int, cost: str, edit: str, lines: str) -> str:
+        own = f"s[{state}]"
+        return f"{{'c': {own}.c + {cost}, 'a': {own}.a || '{edit}', 't': {own}.t || {lines}}}"
+
+    def turns(states: list[int], before: str, initial: str, role: str) -> list[str]:
+        edit, more, put = ("I", 3, f"'{before}:' || chr(10) || ") if before else ("", 0, "")
+        keep = f"r.cut + {more} + CASE WHEN r.go OR r.initial <> '{initial}' THEN {far} ELSE 0 END"
+        change = f"r.cut + {more} + 3 + CASE WHEN r.go THEN {far} ELSE 0 END"
+        return [
+            x for state in states for x in (
+                offer(state, keep, edit + "K", f"{put}r.role || ':' || r.text || chr(10)"),
+                offer(state, change, edit + "R", f"{put}'{role}:' || r.text || chr(10)"),
+            )
+        ]
+
+    def roleless(states: list[int], insert: str = "") -> list[str]:
+        cost = f"r.cut + {3 if insert else 0} + CASE WHEN r.go OR r.initial <> '' THEN {far} ELSE 0 END"
+        put = f"'{insert}:' || chr(10) || " if insert else ""
+        return [offer(state, cost, "IK" if insert else "K", f"{put}':' || r.text || chr(10)") for state in states]
+
+    # Positions of the states: 1 nothing yet, 2 behind system, 3 behind user, 4 behind assistant.
+    # A row without a role adds no initial and may stay anywhere.
+    reached = [
+        roleless([1]),
+        [*roleless([2]), offer(1, f"r.cut + CASE WHEN r.go OR r.initial <> 's' THEN {far} ELSE 0 END", "K", "r.role || ':' || r.text || chr(10)")],
+        turns([1, 2, 4], "", "u", "user") + turns([3], "assistant", "u", "user") + roleless([3]) + roleless([1, 2, 4], "user"),
+        turns([3], "", "a", "assistant") + turns([1, 2, 4], "user", "a", "assistant") + roleless([4]) + roleless([3], "assistant"),
+    ]
+    step = ", ".join(f"list_sort([{', '.join([offer(i + 1, '4', 'D', chr(39) * 2), *own])}])[1]" for i, own in enumerate(reached))
+    last = ", ".join(
+        f"{{'c': s[{i}].c + {3 * len(tail)}, 'a': s[{i}].a || '{'I' * len(tail)}', 't': s[{i}].t || {chr(39) * 2}"
+        + "".join(f" || '{r}:' || chr(10)" for r in tail) + "}"
+        for i, tail in ((1, []), (2, ["user", "assistant"]), (3, ["assistant"]), (4, []))
+    )
+    start = f"[{{'c': 0, 'a': '', 't': ''}}, {', '.join([f'{{{chr(39)}c{chr(39)}: {far}, {chr(39)}a{chr(39)}: {chr(39) * 2}, {chr(39)}t{chr(39)}: {chr(39) * 2}}}'] * 3)}]"
+    turn_over = "CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END"
+    return f"""
+WITH k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+d AS (
+  SELECT *, xor(list_reduce(list_transform(string_split(key, ''), lambda x: CAST(ascii(x) AS BIGINT)),
+              lambda c, b: list_reduce([1, 2, 3, 4, 5, 6, 7, 8], lambda v, i: {turn_over}, xor(c, b)),
+              4294967295::BIGINT), 4294967295::BIGINT) % 20 AS code FROM k),
+e AS (
+  SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+         CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE code WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM d),
+f AS (
+  SELECT *, left(role, 1) AS initial, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+         NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\\z') AS cut FROM e),
+g AS (
+  SELECT *, blank OR again AS go, NOT (blank OR again) AND cut AS short,
+         lag(initial) OVER w AS before, row_number() OVER w AS place FROM f
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, again)),
+h AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate,
+         count(*) FILTER (short) AS truncated, count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal,
+         list({{'initial': initial, 'go': go, 'cut': CASE WHEN short THEN 3 ELSE 0 END, 'role': role, 'text': text}}
+              ORDER BY place) AS rows
+  FROM g GROUP BY conv_id),
+p AS (SELECT *, list_reduce(rows, lambda s, r: [{step}], {start}) AS s FROM h),
+q AS (SELECT *, list_sort([{last}])[1] AS best FROM p),
+c AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(best.c, 0) AS BIGINT) AS cost,
+       coalesce(best.a, '') AS audit, sha256(coalesce(left(best.t, length(best.t) - 1), '')) AS repaired_sha256
+FROM c LEFT JOIN q ON c.conv_id IS NOT DISTINCT FROM q.conv_id
+"""
+
+
 EXACT_SQL = r"""
 WITH n AS (
   SELECT doc_id, length(coalesce(text, '')) AS points,
@@ -198,7 +275,7 @@ def damaged(rows: DataFrame) -> DataFrame:
     return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("present"))
 
 
-@_query("op12_conversation_repair")
+@_query("op12_conversation_repair", _talk_sql())
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = damaged(table(spark, sf_dir, "conversations"))
     return repair_conversations(rows, F.col("present"))
