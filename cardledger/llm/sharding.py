@@ -4,7 +4,8 @@ Equal texts form a group and go to one shard.  A group is placed where the dot p
 vector with the shard's residual capacity is highest.  The few groups that matter for balance (their
 number is bounded by the number of shards) are packed first, largest first, in one task; all others
 are dealt to parts of equal expected size, and each part packs its own groups into its share of the
-capacity that is left.  Only a group larger than a shard's fair share is split, by rows.
+capacity that is left.  Only a group larger than a shard's fair share is split: its rows are numbered
+and dealt by their number, so repeated or null ids are dealt like any other.
 """
 
 from __future__ import annotations
@@ -52,14 +53,31 @@ def _largest_first(frame: pd.DataFrame, fair: list[float]) -> pd.DataFrame:
     return frame.assign(__k=-key).sort_values(["__k", "digest", "chunk"]).drop(columns="__k")
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Add ``number`` to the rows of split groups (those with ``chunks``): 0, 1, ... in each group.
+
+    A row's number is its place among its group's rows of the same stored part, plus the group's rows
+    in the parts before; a part is what one task wrote, so no window grows with a group.
+    """
+    split = rows.where(F.col("chunks").isNotNull()).withColumn("part", F.shiftright("pos", 33))
+    place = F.row_number().over(Window.partitionBy("digest", "part").orderBy("pos")) - 1
+    counts = split.groupBy("digest", "part").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("digest").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = counts.select("digest", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
+    numbered = split.withColumn("place", place).join(shift, ["digest", "part"])
+    numbered = numbered.withColumn("number", F.col("place") + F.col("shift")).drop("part", "place", "shift")
+    return rows.where(F.col("chunks").isNull()).withColumn("number", F.lit(0).cast("bigint")).unionByName(numbered)
+
+
 def vector_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """Shard and gapless slot of every document.
 
     ``docs`` needs ``doc_id`` and ``text``; other columns are not read.  Returns one row per input
     row: ``doc_id``, ``size`` (UTF-8 bytes + 8), ``text_crc32``, ``law`` ('bytes'), ``shard``,
     ``slot`` and ``grown_shard`` (null: the law does not place by key).  A null text is empty; empty
-    texts are one group like any other equal texts, and repeated rows keep a slot each.  An empty
-    table gives an empty result.
+    texts are one group like any other equal texts, and repeated rows keep a slot each.  Null and
+    repeated ids are no key to anything: a large group that shares one id is split by row numbers like any
+    other.  An empty table gives an empty result.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -70,6 +88,7 @@ def vector_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
             F.crc32(text.cast("binary")).alias("text_crc32"),
             F.regexp_count(text, F.lit(r"\S+")).cast("bigint").alias("tokens"),
             F.unhex(F.sha2(text, 256)).alias("digest"),
+            F.monotonically_increasing_id().alias("pos"),
         ),
         "sizes",
     )
@@ -81,8 +100,8 @@ def vector_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     # Groups above a fair share: fewer than shards x dimensions.
     split = rows.groupBy("digest").agg(*sums).where(share > 1)
     split = split.select("digest", F.ceil(2 * share).alias("chunks"))
-    chunk = F.coalesce(F.pmod(F.xxhash64("doc_id", "size"), F.col("chunks")), F.lit(0))
-    rows = rows.join(F.broadcast(split), "digest", "left").withColumn("chunk", chunk).drop("chunks")
+    rows = _numbered(rows.join(F.broadcast(split), "digest", "left"))
+    rows = rows.withColumn("chunk", F.coalesce(F.pmod("number", "chunks"), F.lit(0))).drop("chunks", "pos")
     units = store(rows.groupBy("digest", "chunk").agg(*sums), "units")
 
     n_units = units.count()
@@ -108,7 +127,7 @@ def vector_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
     # Slots: a shard's rows are numbered per piece, and the pieces one after the other.
     pieces = tasks(spark)
-    piece = F.pmod(F.xxhash64("doc_id"), F.lit(pieces)).cast("int")
+    piece = F.pmod(F.xxhash64("doc_id", "text_crc32", "number"), F.lit(pieces)).cast("int")
     dealt = rows.join(shard_of, ["digest", "chunk"]).withColumn("piece", piece)
     dealt = store(dealt.select("doc_id", "size", "text_crc32", "shard", "piece"), "dealt")
     counts = dealt.groupBy("shard", "piece").agg(F.count("*").alias("n"))

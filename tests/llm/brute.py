@@ -169,3 +169,35 @@ def chunks(text: str | None) -> list[str]:
 
 def held_out(doc_id) -> bool:
     return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % 5 == 0
+
+
+def packing_gap(rows, shards, shard_of):
+    """How far a packing (doc_id -> shard) is from the plain one, replayed: groups of equal texts, largest
+    first, each go to the shard whose residual capacity has the greatest weighted dot product with the
+    group; first the large ones, then the others into shares of what is left.  The greatest shortfall of
+    a chosen shard's product; 0 but for rounding if every choice is the plain one."""
+    groups: dict[str, list] = {}
+    for doc_id, text, _ in rows:
+        groups.setdefault(text or "", []).append(doc_id)
+    vectors = {t: (len(g) * (len(t.encode()) + 8), len(g) * len(t.split()), len(g)) for t, g in groups.items()}
+    fair = [max(1.0, sum(v[k] for v in vectors.values()) / shards) for k in range(3)]
+    units = {t: [x / f for x, f in zip(v, fair)] for t, v in vectors.items()}
+    assert max(max(u) for u in units.values()) <= 1  # no group is split
+    order = sorted(units, key=lambda t: (-max(units[t]), hashlib.sha256(t.encode()).digest()))
+    large = [t for t in order if max(units[t]) > 1 / 256]
+    small = [t for t in order if max(units[t]) <= 1 / 256]
+    room, gap = [[1.0] * 3 for _ in range(shards)], [0.0]
+
+    def place(names):
+        for t in names:
+            scores = [r[0] * units[t][0] * 16 + r[1] * units[t][1] + r[2] * units[t][2] for r in room]
+            (own,) = {shard_of[i] for i in groups[t]}
+            gap.append(max(scores) - scores[own])
+            room[own] = [a - b for a, b in zip(room[own], units[t])]
+
+    place(large)
+    left = [max(0.0, sum(max(r[k], 0.0) for r in room)) or 1e-12 for k in range(3)]
+    wanted = [sum(units[t][k] for t in small) for k in range(3)]
+    room[:] = [[max(r[k], 0.0) / left[k] * wanted[k] for k in range(3)] for r in room]
+    place(small)
+    return max(gap)

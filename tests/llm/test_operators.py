@@ -301,6 +301,23 @@ def test_shards_balance_and_hot_group(spark):
             assert together.setdefault(texts[r["doc_id"]], r["shard"]) == r["shard"]
 
 
+@pytest.mark.parametrize("shared", [None, 7])
+def test_shards_of_a_hot_group_with_one_id(spark, shared):
+    rows = [(i, f"{'w ' * (10 + i % 90)}{i}", "en") for i in range(1200)] + [(shared, "a text of a third of the rows " * 4, "en")] * 600
+    out, by = shard_rows(vector_shards(brute.frame(spark, rows).repartition(5)))
+    sizes = [sum(r["size"] for r in own) for own in by.values()]
+    assert len(out) == 1800 and len(by) == 24 and max(sizes) - min(sizes) < 0.03 * np.mean(sizes)
+    assert all(sorted(r["slot"] for r in own) == list(range(len(own))) for own in by.values())
+
+
+def test_shards_agree_with_plain_packing(spark):
+    rows = [(i, f"{'w ' * (i * 37 % 200)}{i}", "en") for i in range(900)] + [(5000 + i, "copy " * 40, "en") for i in range(30)]
+    out, _ = shard_rows(vector_shards(brute.frame(spark, rows)))
+    shard_of = {r["doc_id"]: r["shard"] for r in out}
+    assert brute.packing_gap(rows, 24, shard_of) < 1e-9
+    assert brute.packing_gap(rows, 24, shard_of | {3: (shard_of[3] + 1) % 24}) > 1e-6
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.lists(st.integers(1, 50), max_size=80), st.integers(0, 30))
 def test_pack_uses_up_residual(sizes, turn):

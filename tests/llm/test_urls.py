@@ -154,8 +154,8 @@ def test_company_of_seeds_is_learned(spark):
 
 def test_no_pages_and_no_words(spark):
     assert urls.url_verdicts(frame(spark, [])).collect() == []
-    bare = urls.url_verdicts(frame(spark, [(1, None, None), (2, "https://casino.example.org/", None)]))
-    assert {r["page_id"]: r["verdict"] for r in bare.collect()} == {1: "allow", 2: "block"}
-    assert bare.select("host").distinct().count() == 2
+    bare = urls.url_verdicts(frame(spark, [(1, None, None), (1, None, None), (2, "https://casino.example.org/", None), (3, "https://news.example.org/", None)]))
+    assert {r["page_id"]: r["verdict"] for r in bare.collect()} == {1: "allow", 2: "block", 3: "allow"}
+    assert bare.select("host").distinct().count() == 3
     names = [r[0] for r in bare.select(F.array_sort(F.split("words", " "))).collect()]
     assert ["casino", "example", "org"] in names
