@@ -138,6 +138,7 @@ class PieceTokenizer:
         back = [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
         self.core.decoder = decoders.Sequence(back + [decoders.Strip(" ", 1, 0)] * model.dummy_prefix)
         self.apart = model.words_apart()
+        self.spelled = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() for p, _, kind in model.pieces]
 
     def _normal(self, text: str) -> str:
         if self.normalizer is not None:
@@ -179,6 +180,11 @@ class PieceTokenizer:
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.core.decode_batch(ids, skip_special_tokens=False)
 
+    def spells(self, ids: list[int], text: str) -> bool:
+        """Whether the ids decode to the text: the same bytes, without making a text of them."""
+        made = b"".join(map(self.spelled.__getitem__, ids))
+        return made[1 if self.model.dummy_prefix and made.startswith(b" ") else 0 :] == text.encode()
+
 
 def _encoder(data: bytes, threads: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,16 +199,16 @@ def _encoder(data: bytes, threads: int) -> Callable[[Iterable[pa.RecordBatch]],
                 part = batch.slice(at, 500)
                 texts = [x or "" for x in part.column("text").to_pylist()]
                 ids = rebuilt.encode(texts)
-                flat = np.fromiter((i for x in ids for i in x), np.int32)
+                arrays = [np.array(x, np.int32) for x in ids]
+                flat = np.concatenate([np.zeros(0, np.int32), *arrays])
                 ends = np.cumsum([0, *map(len, ids)])
                 spelled = np.concatenate(([0], np.cumsum(fallback[flat])))
-                arrays = [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
                         pa.array(np.diff(ends), pa.int64()),
                         pa.array(np.diff(spelled[ends]), pa.int64()),
-                        pa.array([a == b for a, b in zip(rebuilt.decode(ids), texts, strict=True)]),
+                        pa.array([rebuilt.spells(a, b) for a, b in zip(ids, texts, strict=True)]),
                         pa.array([a == b for a, b in zip(peer.encode(texts, num_threads=1), ids, strict=True)]),
                         pa.array([hashlib.sha256(x.astype("<i4").tobytes()).hexdigest() for x in arrays], pa.string()),
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32())),
