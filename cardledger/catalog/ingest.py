@@ -328,12 +328,23 @@ stmt AS (
        LEFT JOIN {account} a ON a.acct_id = x.acct_id)
 """
 
+
+def printed(key: str, width: int) -> str:
+    """A key followed by as many blanks as its field has left; never cut."""
+    return f"({key} || repeat(' ', greatest({width} - length({key}), 0)))"
+
+
+def counted(key: str, width: int) -> str:
+    """A number behind as many zeros as its field has left; never cut."""
+    return f"(repeat('0', greatest({width} - length(CAST({key} AS VARCHAR)), 0)) || CAST({key} AS VARCHAR))"
+
+
 _LINES = [
     "repeat('*', 31) || 'START OF STATEMENT' || repeat('*', 31)",
     "rpad(name, 80, ' ')", "rpad(addr_line_1, 80, ' ')", "rpad(addr_line_2, 80, ' ')",
     "rpad(addr_line_3, 80, ' ')", "repeat('-', 80)",
     "repeat(' ', 33) || 'Basic Details ' || repeat(' ', 33)", "repeat('-', 80)",
-    "rpad('Account ID         :' || lpad(CAST(acct_id AS VARCHAR), 11, '0'), 80, ' ')",
+    printed(f"('Account ID         :' || {counted('acct_id', 11)})", 80),
     f"rpad('Current Balance    :' || {edited('coalesce(curr_bal, 0)', '9(9).99-')}, 80, ' ')",
     "rpad('FICO Score         :' || lpad(CAST(fico AS VARCHAR), 3, '0'), 80, ' ')",
     "repeat('-', 80)", "repeat(' ', 30) || 'TRANSACTION SUMMARY ' || repeat(' ', 30)",
@@ -362,7 +373,7 @@ def statement_rows(t: Tables):
     "statement_lines",
     STATEMENT_SQL + f"""SELECT * FROM ({_HEAD_SQL} UNION ALL
       SELECT d.card_num, 16 + row_number() OVER (PARTITION BY d.card_num ORDER BY d.tran_id),
-        rpad(d.tran_id, 16, ' ') || ' ' || rpad(d.descr, 49, ' ') || '$' || {edited('d.amt', 'Z(9).99-')}
+        {printed('d.tran_id', 16)} || ' ' || rpad(d.descr, 49, ' ') || '$' || {edited('d.amt', 'Z(9).99-')}
       FROM {{daily}} d WHERE d.card_num IN (SELECT card_num FROM xref)
       UNION ALL {_FOOT_SQL})""",
 )
@@ -439,11 +450,11 @@ _COLUMNS = (
     "Transaction ID".ljust(17) + "Account ID".ljust(12) + "Transaction Type".ljust(19)
     + "Tran Category".ljust(35) + "Tran Source".ljust(14) + " " + "        Amount"
 ).ljust(133)
-_DETAIL = (
-    "rpad(rpad(tran_id, 16, ' ') || ' ' || coalesce(lpad(CAST(acct_id AS VARCHAR), 11, '0'), repeat(' ', 11)) || ' ' || "
+_DETAIL = printed(
+    f"({printed('tran_id', 16)} || ' ' || coalesce({counted('acct_id', 11)}, repeat(' ', 11)) || ' ' || "
     "type_cd || '-' || rpad(type_desc, 15, ' ') || ' ' || lpad(CAST(cat_cd AS VARCHAR), 4, '0') || '-' || "
     "rpad(coalesce(cat_desc, ''), 29, ' ') || ' ' || rpad(source, 10, ' ') || '    ' || "
-    + edited("amt", "-ZZZ,ZZZ,ZZZ.ZZ") + ", 133, ' ')"
+    + edited("amt", "-ZZZ,ZZZ,ZZZ.ZZ") + ")", 133
 )
 
 

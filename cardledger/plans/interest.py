@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardledger.functions.money import trunc_cents
@@ -46,6 +46,33 @@ def monthly_interest(looked_up: DataFrame) -> DataFrame:
     return good.withColumn("interest", trunc_cents(F.col("balance"), F.col("rate")))
 
 
+#: Characters of a running number above its digits, in ASCII order.
+_PLACES = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+
+
+def running_number(number: Column) -> Column:
+    """A number from 0 as six characters that sort like the numbers.
+
+    Up to 999,999 these are digits.  Above, the first character is a letter and the other five count on
+    in digits, capitals and small letters, which is enough for 47 billion; more is an error.
+    """
+    base = len(_PLACES)
+    beyond = number - 1_000_000
+
+    def place(power: int) -> Column:
+        digit = F.call_function("div", beyond, F.lit(base**power)) % base
+        return F.substring(F.lit(_PLACES), (digit + 1).cast("int"), F.lit(1))
+
+    first = F.call_function("div", beyond, F.lit(base**5)) + 11
+    letters = F.concat(F.substring(F.lit(_PLACES), first.cast("int"), F.lit(1)), *[place(k) for k in range(4, -1, -1)])
+    most = 1_000_000 + (base - 10) * base**5
+    return (
+        F.when(number < 1_000_000, F.lpad(number.cast("string"), 6, "0"))
+        .when(number < most, letters)
+        .otherwise(F.raise_error(F.concat(F.lit("no running number of six characters for "), number)).cast("string"))
+    )
+
+
 def interest_calc(
     balances: DataFrame,
     accounts: DataFrame,
@@ -57,8 +84,8 @@ def interest_calc(
 ) -> Interest:
     """One interest transaction per category balance and the accounts after it.
 
-    A transaction id is the run date and a running number of at least six digits over
-    (account, type, category).  Every account that has a category balance starts a new cycle.
+    A transaction id is the run date and a running number over (account, type, category), six characters
+    wide at any count (``running_number``).  Every account that has a category balance starts a new cycle.
     Balances whose account, card or rate is missing are set aside in ``failed``, or raise when
     ``strict``.
     """
@@ -69,11 +96,9 @@ def interest_calc(
     interest = monthly_interest(looked_up)
     numbered = run_sequence(interest, ["acct_id", "type_cd", "cat_cd"], "_n")
     stamp = F.lit(run_ts).cast("timestamp")
-    number = F.col("_n").cast("string")
-    wide = F.when(F.length(number) < 6, F.lpad(number, 6, "0")).otherwise(number)
     # Type, category, source and text of an interest transaction.
     transactions = numbered.select(
-        F.concat(F.lit(run_date.isoformat()), wide).alias("tran_id"),
+        F.concat(F.lit(run_date.isoformat()), running_number(F.col("_n"))).alias("tran_id"),
         F.lit("01").alias("type_cd"), F.lit(5).alias("cat_cd"), F.lit("System").alias("source"),
         F.concat(F.lit("Int. for a/c "), pad_key(F.col("acct_id"), 11)).alias("descr"),
         F.col("interest").alias("amt"), F.lit(0).cast("bigint").alias("merchant_id"),

@@ -88,15 +88,21 @@ def _headings(start: dt.date, end: dt.date) -> list[str]:
 
 
 def _fit(col: Column, width: int) -> Column:
+    """A description in its field, cut there as the printed report does."""
     return F.rpad(F.coalesce(col, F.lit("")), width, " ")
 
 
+def _key(col: Column, width: int) -> Column:
+    """A key in its field; a longer one is printed whole and makes the line longer."""
+    return pad_right(F.coalesce(col, F.lit("")), width)
+
+
 def detail_line() -> Column:
     amount = F.col("amt")
     return pad_right(
         F.concat(
-            _fit(F.col("tran_id"), 16), F.lit(" "), _fit(pad_key(F.col("acct_id"), 11), 11), F.lit(" "),
-            _fit(F.col("type_cd"), 2), F.lit("-"), _fit(F.col("type_desc"), 15), F.lit(" "),
+            _key(F.col("tran_id"), 16), F.lit(" "), _key(pad_key(F.col("acct_id"), 11), 11), F.lit(" "),
+            _key(F.col("type_cd"), 2), F.lit("-"), _fit(F.col("type_desc"), 15), F.lit(" "),
             pad_key(F.col("cat_cd"), 4), F.lit("-"), _fit(F.col("cat_desc"), 29), F.lit(" "),
             _fit(F.col("source"), 10), F.lit("    "), edit_amount(amount, "-ZZZ,ZZZ,ZZZ.ZZ"),
         ),

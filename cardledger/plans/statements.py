@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardledger.functions.money import edit_amount
-from cardledger.functions.text import address_line, name_line, pad_key
+from cardledger.functions.text import address_line, name_line, pad_key, pad_right
 from cardledger.operators.aggregates import statement_totals
 from cardledger.operators.sequence import group_sequence
 
@@ -54,7 +54,7 @@ def _head_lines() -> list[Column]:
         line(F.col("name")), line(F.col("addr_line_1")), line(F.col("addr_line_2")),
         line(F.col("addr_line_3")), rule,
         F.lit(" " * 33 + "Basic Details".ljust(14) + " " * 33), rule,
-        line(F.concat(F.lit("Account ID         :"), pad_key(F.col("acct_id"), 11))),
+        pad_right(F.concat(F.lit("Account ID         :"), pad_key(F.col("acct_id"), 11)), 80),
         line(F.concat(F.lit("Current Balance    :"),
                       edit_amount(F.coalesce("curr_bal", F.lit(0)), "9(9).99-"))),
         line(F.concat(F.lit("FICO Score         :"), pad_key(F.coalesce("fico", F.lit(0)), 3))),
@@ -93,7 +93,7 @@ def statement_lines(statement: DataFrame, tx: DataFrame) -> DataFrame:
     body = _numbered(tx, statement).select(
         "card_num", (F.col("row_no") + HEAD_LINES).alias("line_no"),
         F.concat(
-            _fit(F.col("tran_id"), 16), F.lit(" "), _fit(F.col("descr"), 49), F.lit("$"),
+            pad_right(F.coalesce("tran_id", F.lit("")), 16), F.lit(" "), _fit(F.col("descr"), 49), F.lit("$"),
             edit_amount(F.col("amt"), "Z(9).99-"),
         ).alias("line"),
     )
