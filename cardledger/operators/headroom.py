@@ -15,20 +15,24 @@ Two exact ways are used:
 * Hot keys, above ``hot_rows``, may hold a large part of all rows, too many for one task.  Their
   rows are range-partitioned on (key, order) and cut into chunks of bounded size.
 
-For chunks the headroom is classed by powers of two.  While it stays inside one band
-``[2^b, 2^(b+1))`` a chunk acts on it in a way that needs four numbers per band: rows with a gate
-up to the band's lower end are accepted, rows above its upper end are refused, and the first
-accepted row between the two ends leaves the band when weights are not below gates in size.  So
-each chunk is summarised once for all bands, a window over the summaries finds, per key, the first
-chunk in which the band is left, only that chunk is folded row by row, and the search goes on
-behind it.  With weights that are never negative the headroom passes each band at most once,
-hence at most about 2 x 63 rounds whatever the data size.  At the end every chunk knows its
-opening headroom and all chunks are folded independently.
+What a chunk does to the headroom is a function that takes off one amount on each of a few
+stretches: which rows are accepted changes only where the headroom meets a gate exactly.  Every chunk is
+turned into its function, ``FAN`` neighbours at a time are merged into the function of them
+all, level by level, until a key has at most ``FAN`` left.  Going down again, each level learns its
+opening headrooms from the level above by looking values up, and at the bottom all chunks are
+decided independently.  Each level is one grouped step over all chunks, so the number of steps grows
+with the logarithm of the rows, and amounts of both signs are nothing special.
+
+A function is kept only for headrooms that can occur before its first row: not above the start and all
+credits before it, not below the least that any row before it can leave.  It has no more
+stretches than whole amounts in that range; with weights that are never negative the range, and
+so the size, does not grow with the rows.  With credits the range grows by their sum.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -42,10 +46,11 @@ from pyspark.sql import types as T
 from cardledger.session import materialize
 
 HOT_ROWS = 1_000_000
-CHUNK_ROWS = 65_536
-MAX_ROUNDS = 160
-_BITS = 62
-_BIG = np.iinfo(np.int64).max
+#: Rows of a hot key that one function covers, and functions that are merged into one.
+CHUNK_ROWS = 1_024
+FAN = 32
+#: Rows that a task of the range partitioning gets.
+ROWS_PER_TASK = 524_288
 
 
 def fold_in_order(
@@ -149,36 +154,47 @@ def walk_key(
 # --- hot keys -------------------------------------------------------------------------------
 
 
-def _band(room: Column) -> Column:
-    """Array position (from 1) of the band of a headroom: negatives, zero, positives."""
-    bits = F.length(F.bin(F.abs(room))).cast("int")
-    return (
-        F.when(room == 0, _BITS + 1).when(room > 0, _BITS + 1 + bits).otherwise(_BITS + 1 - bits)
-    ).cast("int")
-
-
-def _band_ends() -> list[tuple[int, int]]:
-    """Lower and upper end of each band, in array order."""
-    down = [(-(2 ** (b + 1) - 1), -(2**b)) for b in reversed(range(_BITS))]
-    up = [(2**b, 2 ** (b + 1) - 1) for b in range(_BITS)]
-    return [*down, (0, 0), *up]
+@dataclass
+class Step:
+    """What some rows do to a headroom: from ``at[i]`` up to the next ``at`` they take ``drop[i]`` off.
 
+    ``at`` rises and begins with the least headroom the function is asked for.
+    """
 
-def _summarise(pdf: pd.DataFrame) -> pd.DataFrame:
-    """What a chunk does to a headroom that stays inside each band."""
-    pdf = pdf.sort_values("pos")
-    pdf = pdf[pdf["eligible"]]
-    gate, weight = pdf["gate"].to_numpy(np.int64), pdf["weight"].to_numpy(np.int64)
-    drop, high, low, need = [], [], [], []
-    for lo, hi in _band_ends():
-        taken = np.where(gate <= lo, weight, 0).cumsum()
-        before = np.concatenate(([0], taken[:-1])) if len(taken) else taken
-        middle = (gate > lo) & (gate <= hi)
-        drop.append(int(taken[-1]) if len(taken) else 0)
-        high.append(max(0, int(taken.max())) if len(taken) else 0)
-        low.append(min(0, int(taken.min())) if len(taken) else 0)
-        need.append(int((gate + before)[middle].min()) if middle.any() else _BIG)
-    return pd.DataFrame({"dropped": [drop], "high": [high], "low": [low], "need": [need]})
+    at: np.ndarray
+    drop: np.ndarray
+
+    def __call__(self, room: int) -> int:
+        return int(room - self.drop[max(0, np.searchsorted(self.at, room, "right") - 1)])
+
+    def then(self, other: Step, top: int) -> Step:
+        """This function and then the other one, for headrooms up to ``top``."""
+        low = self.at - self.drop
+        ends = np.append(self.at[1:], top + 1) - 1 - self.drop
+        first = np.maximum(np.searchsorted(other.at, low, "right") - 1, 0)
+        last = np.maximum(np.searchsorted(other.at, ends, "right") - 1, 0)
+        counts = last - first + 1
+        own = np.repeat(np.arange(len(counts)), counts)
+        theirs = np.arange(len(own)) - np.repeat(counts.cumsum() - counts, counts) + first[own]
+        at = np.maximum(self.at[own], other.at[theirs] + self.drop[own])
+        return Step(at, self.drop[own] + other.drop[theirs])._merged()
+
+    def _merged(self) -> Step:
+        keep = np.concatenate(([True], self.drop[1:] != self.drop[:-1]))
+        return Step(self.at[keep], self.drop[keep])
+
+    @staticmethod
+    def of_rows(gate: np.ndarray, weight: np.ndarray, low: int, top: int) -> Step:
+        """The function of eligible rows in order, for headrooms from ``low`` to ``top``."""
+        at = room = np.array([low], dtype=np.int64)
+        for g, w in zip(gate.tolist(), weight.tolist()):
+            # A stretch that holds the gate inside is cut there.
+            cut = np.flatnonzero((room < g) & (room + np.diff(at, append=top + 1) > g))
+            if len(cut):
+                at = np.insert(at, cut + 1, at[cut] + (g - room[cut]))
+                room = np.insert(room, cut + 1, g)
+            room = room - w * (room >= g)
+        return Step(at, at - room)._merged()
 
 
 def _walk(gate: list, weight: list, eligible: list, room: int) -> tuple[list[bool], int]:
@@ -191,112 +207,79 @@ def _walk(gate: list, weight: list, eligible: list, room: int) -> tuple[list[boo
     return flags, room
 
 
-def _walk_frame(pdf: pd.DataFrame, room: int) -> tuple[list[bool], int]:
-    return _walk(pdf["gate"].tolist(), pdf["weight"].tolist(), pdf["eligible"].tolist(), room)
-
-
 def _fold_chunks(
     df: DataFrame, key: str, order: list[str], total: int, chunk_rows: int
 ) -> DataFrame:
     """Decisions (key, order, accepted) of hot keys."""
     spark = df.sparkSession
-    partitions = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (8 * chunk_rows))
-    )
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // ROWS_PER_TASK))
     narrow = df.select(key, *order, "gate", "weight", "start", "eligible")
     placed = narrow.repartitionByRange(partitions, key, *order).sortWithinPartitions(key, *order)
     # The position follows the sort just made and is stored before anything else uses it.
     placed = placed.withColumn("pos", F.monotonically_increasing_id())
-    rows = materialize(placed.withColumn("chunk", F.floor(F.col("pos") / chunk_rows)))
-
-    key_type = df.schema[key].dataType
-    group_schema = T.StructType([T.StructField(key, key_type), T.StructField("chunk", T.LongType())])
-
-    def summarise(group: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        out = _summarise(pdf)
-        out.insert(0, key, [group[0]])
-        out.insert(1, "chunk", [int(group[1])])
-        return out
-
-    longs = T.ArrayType(T.LongType())
-    chunks = materialize(
-        rows.groupBy(key, "chunk").applyInPandas(
-            summarise,
-            T.StructType(
-                [*group_schema, *[T.StructField(n, longs) for n in ("dropped", "high", "low", "need")]]
-            ),
-        )
-    )
-
-    state = materialize(
-        rows.groupBy(key).agg(F.min("chunk").alias("from_chunk"), F.first("start").alias("room"))
-    )
-    ends = _band_ends()
-    lower = F.array(*[F.lit(lo).cast("bigint") for lo, _ in ends])
-    upper = F.array(*[F.lit(hi).cast("bigint") for _, hi in ends])
-
-    def fold_one(group: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos")
-        _, room = _walk_frame(pdf, int(pdf["opening"].iloc[0]))
-        return pd.DataFrame({key: [group[0]], "from_chunk": [int(group[1]) + 1], "room": [room]})
-
-    openings: list[DataFrame] = []
-    state_schema = T.StructType(
-        [
-            T.StructField(key, key_type),
-            T.StructField("from_chunk", T.LongType()),
-            T.StructField("room", T.LongType()),
-        ]
-    )
-    for _ in range(MAX_ROUNDS):
-        ahead = chunks.join(state, key).where(F.col("chunk") >= F.col("from_chunk"))
-        band = _band(F.col("room"))
-        here = ahead.select(
-            key, "chunk", "room",
-            F.element_at(lower, band).alias("lo"), F.element_at(upper, band).alias("hi"),
-            *[F.element_at(n, band).alias(n) for n in ("dropped", "high", "low", "need")],
-        )
-        earlier = Window.partitionBy(key).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-        here = here.withColumn(
-            "opening", F.col("room") - F.coalesce(F.sum("dropped").over(earlier), F.lit(0))
-        )
-        leaves = (
-            (F.col("opening") - F.col("high") < F.col("lo"))
-            | (F.col("opening") - F.col("low") > F.col("hi"))
-            | (F.col("need") <= F.col("opening"))
-        )
-        first = Window.partitionBy(key).orderBy("chunk").rowsBetween(Window.unboundedPreceding, 0)
-        here = here.withColumn("stop", F.min(F.when(leaves, F.col("chunk"))).over(first))
-        known = materialize(
-            here.where(F.col("stop").isNull() | (F.col("chunk") == F.col("stop"))).select(
-                key, "chunk", F.col("opening").cast("bigint").alias("opening"),
-                F.col("stop").isNotNull().alias("leaving"),
-            )
-        )
-        openings.append(known)
-        leaving = known.where("leaving").select(key, "chunk", "opening")
-        state = materialize(
-            rows.join(leaving, [key, "chunk"]).groupBy(key, "chunk").applyInPandas(fold_one, state_schema)
-        )
-        if state.isEmpty():
-            break
-
-    out_schema = T.StructType(
-        [*[narrow.schema[c] for c in [key, *order]], T.StructField("accepted", T.BooleanType())]
-    )
+    rows = materialize(placed.withColumn("chunk", F.floor(F.col("pos") / chunk_rows)), "hot-rows")
+
+    # Chunks of a key get dense numbers and the range of headrooms that can meet them.
+    weighs = F.col("eligible") & (F.col("weight") != 0)
+    credit = F.coalesce(F.sum(F.when(weighs & (F.col("weight") < 0), -F.col("weight"))), F.lit(0))
+    floor = F.min(F.when(weighs & (F.col("weight") > 0), F.col("gate") - F.col("weight")))
+    sizes = rows.groupBy(key, "chunk").agg(credit.alias("credit"), floor.alias("floor"), F.first("start").alias("start"))
+    along = Window.partitionBy(key).orderBy("chunk")
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    top = F.col("start") + F.coalesce(F.sum("credit").over(before), F.lit(0))
+    low = F.least("start", F.coalesce(F.min("floor").over(before), F.col("start")))
+    ranges = materialize(
+        sizes.select(key, "chunk", "start", (F.row_number().over(along) - 1).cast("bigint").alias("no"),
+                     low.alias("low"), top.alias("top")),
+        "chunk-ranges",
+    )
+
+    key_field = T.StructField(key, df.schema[key].dataType)
+    longs, whole = T.ArrayType(T.LongType()), T.LongType()
+
+    def schema(**fields: T.DataType) -> T.StructType:
+        return T.StructType([key_field, *[T.StructField(n, t) for n, t in fields.items()]])
+
+    def function(group: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        head = pdf.iloc[0]
+        own = pdf[pdf["eligible"] & (pdf["weight"] != 0)].sort_values("pos")
+        step = Step.of_rows(own["gate"].to_numpy(), own["weight"].to_numpy(), int(head["low"]), int(head["top"]))
+        return pd.DataFrame({key: [group[0]], "no": [head["no"]], "top": [head["top"]], "at": [step.at], "drop": [step.drop]})
+
+    def merge(group: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("no")
+        top = int(pdf["top"].iloc[0])
+        step = reduce(lambda a, b: a.then(b, top), [Step(a, d) for a, d in zip(pdf["at"], pdf["drop"])])
+        return pd.DataFrame({key: [group[0]], "no": [group[1]], "top": [top], "at": [step.at], "drop": [step.drop]})
+
+    def openings(group: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("no")
+        rooms, room = [], int(pdf["opening"].iloc[0])
+        for at, drop in zip(pdf["at"], pdf["drop"]):
+            rooms.append(room)
+            room = Step(at, drop)(room)
+        return pd.DataFrame({key: group[0], "no": pdf["no"], "opening": rooms})
+
+    kept = schema(no=whole, top=whole, at=longs, drop=longs)
+    joined = rows.join(ranges.drop("start"), [key, "chunk"])
+    levels = [materialize(joined.groupBy(key, "chunk").applyInPandas(function, kept), "functions")]
+    groups = ranges.groupBy(key).agg(F.max("no")).agg(F.max("max(no)")).first()[0] + 1
+    while groups > FAN:
+        parent = F.floor(F.col("no") / FAN).alias("parent")
+        levels.append(materialize(levels[-1].groupBy(key, parent).applyInPandas(merge, kept), "functions"))
+        groups = -(-groups // FAN)
+
+    known = ranges.where("no = 0").select(key, F.lit(0).cast("bigint").alias("parent"), F.col("start").alias("opening"))
+    for place, level in reversed(list(enumerate(levels))):
+        children = level.withColumn("parent", F.lit(0).cast("bigint") if level is levels[-1] else F.floor(F.col("no") / FAN))
+        found = children.join(known, [key, "parent"]).groupBy(key, "parent").applyInPandas(openings, schema(no=whole, opening=whole))
+        known = materialize(found.withColumnRenamed("no", "parent") if place else found, "openings")
 
     def decide(group: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("pos")
-        flags, _ = _walk_frame(pdf, int(pdf["opening"].iloc[0]))
+        flags, _ = _walk(pdf["gate"].tolist(), pdf["weight"].tolist(), pdf["eligible"].tolist(), int(pdf["opening"].iloc[0]))
         return pdf[[key, *order]].assign(accepted=flags)
 
-    opened = reduce(DataFrame.unionByName, openings).select(key, "chunk", "opening")
-    decided = rows.join(opened, [key, "chunk"]).groupBy(key, "chunk").applyInPandas(decide, out_schema)
-    if state.isEmpty():
-        return decided
-
-    # Weights of both signs can cross bands without end.  What is left of such a key is read in
-    # order by one task that keeps a single number, never the rows.
-    rest = rows.drop("start").join(state.withColumnRenamed("room", "start"), key)
-    rest = _fold_sorted(rest.where(F.col("chunk") >= F.col("from_chunk")), key, order)
-    return decided.unionByName(rest.select(key, *order, "accepted"))
+    out_schema = T.StructType([*[narrow.schema[c] for c in [key, *order]], T.StructField("accepted", T.BooleanType())])
+    opened = ranges.select(key, "chunk", "no").join(known, [key, "no"]).drop("no")
+    return rows.join(opened, [key, "chunk"]).groupBy(key, "chunk").applyInPandas(decide, out_schema)

@@ -2,7 +2,10 @@
 
 import random
 
+import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from cardledger.operators import headroom
 
@@ -61,8 +64,9 @@ def test_hot_keys_in_chunks(spark):
     assert run(spark, rows, hot_rows=500, chunk_rows=128) == brute(rows)
 
 
-def test_hot_keys_of_both_signs_end_in_the_streamed_rest(spark, monkeypatch):
-    monkeypatch.setattr(headroom, "MAX_ROUNDS", 2)
+@pytest.mark.parametrize("fan", [2, 32])
+def test_hot_keys_of_both_signs(spark, monkeypatch, fan):
+    monkeypatch.setattr(headroom, "FAN", fan)
     rows = make(2000, 4, signed=True)
     assert run(spark, rows, hot_rows=500, chunk_rows=64) == brute(rows)
 
@@ -72,9 +76,46 @@ def test_skew_one_key_owns_a_third(spark):
     assert run(spark, rows, hot_rows=1000, chunk_rows=256) == brute(rows)
 
 
-@pytest.mark.parametrize("room", [-(2**40), -9, -1, 0, 1, 2, 3, 2**40])
-def test_bands_cover_all_headrooms(spark, room):
-    ends = headroom._band_ends()
-    row = spark.createDataFrame([(room,)], "r bigint").select(headroom._band(headroom.F.col("r"))).first()
-    low, high = ends[row[0] - 1]
-    assert low <= room <= high
+def test_credits_and_limits_met_exactly(spark):
+    """A third of the rows in one account that stays at its limit: every headroom from 0 to a few cents."""
+    rnd = random.Random(8)
+    rows = []
+    for i in range(3000):
+        amount = rnd.choice([1, 2, 3, 5, 7, 11, 200, -1, -4, 0])
+        rows.append((1 if i % 3 == 0 else i, i, amount + (i % 50 == 0), amount, 37, i % 11 > 0, f"n{i}"))
+    assert run(spark, rows, hot_rows=200, chunk_rows=16) == brute(rows)
+
+
+def plain_step(rows, room):
+    for gate, weight in rows:
+        room -= weight if gate <= room else 0
+    return room
+
+
+@settings(max_examples=200, deadline=None)
+@given(
+    st.lists(st.tuples(st.integers(-6, 30), st.integers(-9, 12)), max_size=12),
+    st.lists(st.tuples(st.integers(-6, 30), st.integers(-9, 12)), max_size=12),
+)
+def test_functions_of_rows(one, two):
+    low, top = -40, 60
+    as_arrays = lambda rows: [np.array([r[i] for r in rows], dtype=np.int64) for i in (0, 1)]
+    first, second = headroom.Step.of_rows(*as_arrays(one), low, top), headroom.Step.of_rows(*as_arrays(two), low - 200, top + 200)
+    both = first.then(second, top)
+    for room in range(low, top + 1):
+        assert first(room) == plain_step(one, room)
+        assert both(room) == plain_step(one + two, room)
+    assert (np.diff(both.at) > 0).all() and (np.diff(both.drop) != 0).all()
+
+
+def test_size_of_a_function_does_not_grow_with_the_rows():
+    """With weights that are never negative the headroom only falls, whatever the number of rows."""
+    rng = np.random.default_rng(2)
+    amounts = rng.integers(100, 20_000, 20_000)
+    start = 1_000_000
+    step, sizes = None, []
+    for at in range(0, len(amounts), 500):
+        own = headroom.Step.of_rows(amounts[at : at + 500], amounts[at : at + 500], 0, start)
+        step = own if step is None else step.then(own, start)
+        sizes.append(len(step.at))
+    assert sizes[-1] <= 2 * max(sizes[:10]) and step(start) == plain_step(zip(amounts, amounts), start)
