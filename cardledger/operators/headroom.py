@@ -23,10 +23,10 @@ opening headrooms from the level above by looking values up, and at the bottom a
 decided independently.  Each level is one grouped step over all chunks, so the number of steps grows
 with the logarithm of the rows, and amounts of both signs are nothing special.
 
-A function is kept only for headrooms that can occur before its first row: not above the start and all
-credits before it, not below the least that any row before it can leave.  It has no more
-stretches than whole amounts in that range; with weights that are never negative the range, and
-so the size, does not grow with the rows.  With credits the range grows by their sum.
+A function is kept only for headrooms that can occur before its first row.  The bounds are running sums
+and maxima over the chunks: an account below its limit has one possible headroom, one that
+meets its limit has those below about its largest gates, however many rows it has.  A function has no more
+stretches than whole amounts in that range.
 """
 
 from __future__ import annotations
@@ -186,14 +186,26 @@ class Step:
     @staticmethod
     def of_rows(gate: np.ndarray, weight: np.ndarray, low: int, top: int) -> Step:
         """The function of eligible rows in order, for headrooms from ``low`` to ``top``."""
-        at = room = np.array([low], dtype=np.int64)
+        # Stretches are kept in the order they arise; what each begins with, what is left of that,
+        # and how far it reaches.
+        kept = np.array([[low], [low], [top + 1 - low]], dtype=np.int64)
+        n = 1
         for g, w in zip(gate.tolist(), weight.tolist()):
+            at, room, size = kept[:, :n]
             # A stretch that holds the gate inside is cut there.
-            cut = np.flatnonzero((room < g) & (room + np.diff(at, append=top + 1) > g))
+            cut = np.flatnonzero((room < g) & (room + size > g))
             if len(cut):
-                at = np.insert(at, cut + 1, at[cut] + (g - room[cut]))
-                room = np.insert(room, cut + 1, g)
-            room = room - w * (room >= g)
+                more = n + len(cut)
+                if more > kept.shape[1]:
+                    kept = np.concatenate([kept, np.zeros((3, 2 * more), dtype=np.int64)], axis=1)
+                    at, room, size = kept[:, :n]
+                lower = g - room[cut]
+                kept[:, n:more] = at[cut] + lower, np.full(len(cut), g), size[cut] - lower
+                size[cut] = lower
+                n, room = more, kept[1, :more]
+            np.subtract(room, w, out=room, where=room >= g)
+        order = kept[0, :n].argsort()
+        at, room = kept[0, :n][order], kept[1, :n][order]
         return Step(at, at - room)._merged()
 
 
@@ -219,15 +231,26 @@ def _fold_chunks(
     placed = placed.withColumn("pos", F.monotonically_increasing_id())
     rows = materialize(placed.withColumn("chunk", F.floor(F.col("pos") / chunk_rows)), "hot-rows")
 
-    # Chunks of a key get dense numbers and the range of headrooms that can meet them.
-    weighs = F.col("eligible") & (F.col("weight") != 0)
-    credit = F.coalesce(F.sum(F.when(weighs & (F.col("weight") < 0), -F.col("weight"))), F.lit(0))
-    floor = F.min(F.when(weighs & (F.col("weight") > 0), F.col("gate") - F.col("weight")))
-    sizes = rows.groupBy(key, "chunk").agg(credit.alias("credit"), floor.alias("floor"), F.first("start").alias("start"))
+    # Chunks of a key get dense numbers and the range of headrooms that can meet them.  If a row is
+    # refused, what is left at the end is below the last refused gate less all weights behind it, else
+    # it is what was there less all weights.  At least it is what an accepted row left, or what was
+    # there if that is less, and never less than with all debits taken off.
+    own = rows.where(F.col("eligible") & (F.col("weight") != 0))
+    taken = F.sum("weight").over(Window.partitionBy(key, "chunk").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
+    weight = F.col("weight")
+    sizes = own.withColumn("refused", F.col("gate") - 1 + taken).groupBy(key, "chunk").agg(
+        F.sum("weight").alias("net"), F.sum(F.when(weight > 0, weight).otherwise(0)).alias("debit"),
+        F.min(F.when(weight > 0, F.col("gate") - weight)).alias("floor"), F.max("refused").alias("refused"),
+    )
+    sizes = rows.groupBy(key, "chunk").agg(F.first("start").alias("start")).join(sizes, [key, "chunk"], "left")
     along = Window.partitionBy(key).orderBy("chunk")
     before = along.rowsBetween(Window.unboundedPreceding, -1)
-    top = F.col("start") + F.coalesce(F.sum("credit").over(before), F.lit(0))
-    low = F.least("start", F.coalesce(F.min("floor").over(before), F.col("start")))
+    so_far = {c: F.coalesce(F.sum(c).over(before), F.lit(0)) for c in ("net", "debit")}
+    sizes = sizes.withColumns({"net_before": so_far["net"], "debit_before": so_far["debit"]})
+    highest = F.coalesce(F.max(F.col("refused") + F.col("net_before")).over(before), F.col("start"))
+    top = F.greatest("start", highest) - F.col("net_before")
+    least = F.least("start", F.coalesce(F.min("floor").over(before), F.col("start")))
+    low = F.greatest(least, F.col("start") - F.col("debit_before"))
     ranges = materialize(
         sizes.select(key, "chunk", "start", (F.row_number().over(along) - 1).cast("bigint").alias("no"),
                      low.alias("low"), top.alias("top")),
