@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Event levels and subsystems.
@@ -39,5 +39,14 @@ def error_log(
     )
 
 
-def append_errors(events: DataFrame, path: str) -> None:
-    events.write.mode("append").parquet(path)
+def append_errors(events: DataFrame, path: str, run_id: str) -> None:
+    """Append the events of a run to the log at ``path``.
+
+    A run has a folder of its own, which a repeated run replaces: its events are in the log once.
+    """
+    events.write.mode("overwrite").parquet(f"{path}/run={run_id}")
+
+
+def read_errors(spark: SparkSession, path: str) -> DataFrame:
+    """All events of the log, with the run they come from."""
+    return spark.read.parquet(path).withColumn("run", F.col("run").cast("string"))

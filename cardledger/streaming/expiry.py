@@ -1,103 +1,111 @@
-"""Expiry of stored authorizations, driven by the event time seen so far.
+"""Expiry of stored authorizations by event-time timers.
 
-New details go into folders by micro-batch and day.  The clock is the highest event date of all
-batches.  A detail expires in the first batch whose clock is ``days`` past its day; that is a
-condition on the folder names alone, so only expiring folders are read, a repeated batch gives the
-same result, and a row that arrives when its day has already expired is purged and reported in
-that same batch instead of being dropped as late.
+An account's pending authorizations are summed per day in keyed state.  The first of a day sets a
+timer for the day's purge date; when the event time seen so far (the watermark) reaches it, the day's
+sums leave as one row and the state of the day is cleared.  An authorization that arrives when its day has
+already expired is not dropped as late: it leaves at once, as a row of its own sums, and is
+reported in the error log.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-
-from cardledger.operators.aggregates import money_sum
-from cardledger.sources.error_log import error_log
-from cardledger.streaming.run import run_batches
-
-_CLOCK = "batch bigint, clock date"
-
-
-def _expire(batch: DataFrame, batch_id: int, store: str, days: int) -> None:
-    spark = batch.sparkSession
-    dated = batch.withColumn("auth_date", F.to_date("auth_ts"))
-    dated.write.mode("overwrite").partitionBy("auth_date").parquet(f"{store}/live/batch={batch_id}")
-    earlier = None
-    if batch_id > 0:
-        row = spark.read.schema(_CLOCK).parquet(f"{store}/clock/{batch_id - 1}").first()
-        earlier = row["clock"] if row else None
-    own = spark.read.parquet(f"{store}/live/batch={batch_id}")
-    newest = own.agg(F.max("auth_date")).first()[0]
-    clock = max([d for d in (earlier, newest) if d is not None], default=None)
-    spark.createDataFrame([(batch_id, clock)], _CLOCK).coalesce(1).write.mode("overwrite").parquet(
-        f"{store}/clock/{batch_id}"
-    )
-    if clock is None:
-        return
-    settled = F.lit(False) if earlier is None else F.col("auth_date") <= F.date_sub(F.lit(earlier), days)
-    expiring = own.where(F.col("auth_date") <= F.date_sub(F.lit(clock), days))
-    due = _due_folders(spark, store, batch_id, earlier, clock, days)
-    if due:
-        older = spark.read.option("basePath", f"{store}/live").parquet(*due).drop("batch")
-        expiring = expiring.unionByName(older.select(expiring.columns))
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+
+from cardledger.functions.money import cents, from_cents
+from cardledger.sources.error_log import append_errors, error_log
+from cardledger.streaming.run import configure_state, run_batches
+
+_DAY = T.StructType([T.StructField("day", T.DateType())])
+_SUMS = ("approved_cnt", "declined_cnt", "approved_c", "declined_c")
+_STATE = T.StructType([T.StructField(n, T.LongType()) for n in _SUMS])
+_OUT = T.StructType(
+    [
+        T.StructField("acct_id", T.LongType()), T.StructField("auth_date", T.DateType()),
+        *[T.StructField(n, T.LongType()) for n in _SUMS],
+        T.StructField("late_req_id", T.LongType()), T.StructField("late_ts", T.TimestampType()),
+    ]
+)
+_EPOCH = dt.date(1970, 1, 1)
+
+
+class ExpireDays(StatefulProcessor):
+    """Sums of each day of an account until the day's timer."""
+
+    def __init__(self, days: int) -> None:
+        self._days = days
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._sums = handle.getMapState("days", _DAY, _STATE)
+
+    def _due(self, day: dt.date) -> int:
+        """Milliseconds of the start of the purge date, UTC."""
+        return ((day - _EPOCH).days + self._days) * 86_400_000
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentWatermarkInMs()
+        for pdf in rows:
+            expired = pdf["auth_date"].map(self._due) <= now
+            if expired.any():
+                late = pdf[expired]
+                yield late.assign(acct_id=key[0], late_req_id=late["req_id"], late_ts=late["late_ts"])[[f.name for f in _OUT]]
+            for day, own in pdf[~expired].groupby("auth_date")[list(_SUMS)].sum().iterrows():
+                known = self._sums.containsKey((day,))
+                before = self._sums.getValue((day,)) if known else (0,) * len(_SUMS)
+                self._sums.updateValue((day,), tuple(int(a + b) for a, b in zip(before, own)))
+                if not known:
+                    self._handle.registerTimer(self._due(day))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        day = _EPOCH + dt.timedelta(days=expiredTimerInfo.getExpiryTimeInMs() // 86_400_000 - self._days)
+        if self._sums.containsKey((day,)):
+            sums = self._sums.getValue((day,))
+            self._sums.removeKey((day,))
+            out = {"acct_id": [key[0]], "auth_date": [day], **{n: [v] for n, v in zip(_SUMS, sums)}}
+            yield pd.DataFrame(out | {"late_req_id": pd.array([None], "Int64"), "late_ts": pd.array([None], "datetime64[us]")})
+
+    def close(self) -> None:
+        pass
+
+
+def expired_days(details: DataFrame, days: int = 5) -> DataFrame:
+    """Stream of expired sums per account and day from a stream of details; rows of late details carry
+    their request."""
+    configure_state(details.sparkSession)
     ok = F.col("resp_code") == "00"
-    expiring.groupBy("acct_id", "auth_date").agg(
-        F.count_if(ok).alias("approved_cnt"), F.count_if(~ok).alias("declined_cnt"),
-        money_sum("approved_amt").alias("approved_amt"),
-        money_sum(F.when(~ok, F.col("tran_amt"))).alias("declined_amt"),
-    ).write.mode("overwrite").parquet(f"{store}/expired/batch={batch_id}")
-    late = own.where(settled)
-    error_log(
-        late, "EXP1", "W", "authorization older than the purge date", "req_id", F.col("auth_ts")
-    ).write.mode("overwrite").parquet(f"{store}/late/batch={batch_id}")
-
-
-def _due_folders(
-    spark: SparkSession, store: str, batch_id: int, earlier: dt.date | None, clock: dt.date, days: int
-) -> list[str]:
-    """Day folders of earlier batches that expire between the two clocks, by their paths."""
-    first = clock if earlier is None else earlier
-    wanted = [clock - dt.timedelta(days=days + n) for n in range((clock - first).days)]
-    if not wanted or batch_id == 0:
-        return []
-    names = ",".join(day.isoformat() for day in wanted)
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{store}/live/batch=*/auth_date={{{names}}}")
-    fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = [status.getPath() for status in fs.globStatus(pattern)]
-    return [p.toString() for p in found if int(p.getParent().getName().split("=", 1)[1]) < batch_id]
-
-
-def drop_expired_folders(spark: SparkSession, store: str, days: int = 5) -> int:
-    """Remove the day folders that an earlier batch has expired; run it between stream runs.
-
-    Only what the last but one clock had already expired is removed, since the last batch may
-    still be repeated.  Returns the number of folders removed.
-    """
-    clocks = spark.read.schema(_CLOCK).parquet(f"{store}/clock/*")
-    # One row per micro-batch.
-    last = [r["clock"] for r in clocks.orderBy(F.desc("batch")).limit(2).collect()]
-    if len(last) < 2 or last[1] is None:
-        return 0
-    limit = last[1] - dt.timedelta(days=days)
-    jvm = spark.sparkContext._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{store}/live/batch=*/auth_date=*")
-    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    gone = 0
-    newest = clocks.agg(F.max("batch")).first()[0]
-    for status in fs.globStatus(pattern):
-        path = status.getPath()
-        day = dt.date.fromisoformat(path.getName().split("=", 1)[1])
-        batch = int(path.getParent().getName().split("=", 1)[1])
-        if day <= limit and batch < newest:
-            fs.delete(path, True)
-            gone += 1
-    return gone
+    none = F.lit(0).cast("bigint")
+    # The operator gets the time as a plain number and date: late rows must reach it, not be filtered.
+    rows = details.withWatermark("auth_ts", "0 seconds").select(
+        "acct_id", "req_id", F.to_date("auth_ts").alias("auth_date"),
+        F.timestamp_micros(F.unix_micros("auth_ts")).alias("late_ts"),
+        ok.cast("bigint").alias("approved_cnt"), (~ok).cast("bigint").alias("declined_cnt"),
+        F.coalesce(cents(F.col("approved_amt")), none).alias("approved_c"),
+        F.when(ok, none).otherwise(F.coalesce(cents(F.col("tran_amt")), none)).alias("declined_c"),
+    )
+    return rows.groupBy("acct_id").transformWithStateInPandas(
+        statefulProcessor=ExpireDays(days), outputStructType=_OUT, outputMode="Update", timeMode="EventTime"
+    )
 
 
 def auth_expiry_stream(details: DataFrame, store: str, checkpoint: str, days: int = 5) -> StreamingQuery:
-    """Run over what is there; results are below ``store``: ``expired`` and ``late``."""
-    return run_batches(details, lambda df, n: _expire(df, n, store, days), checkpoint)
+    """Run over what is there; results are below ``store``: ``expired`` and the error log ``late``."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        batch.select(
+            "acct_id", "auth_date", "approved_cnt", "declined_cnt",
+            from_cents(F.col("approved_c"), 18).alias("approved_amt"), from_cents(F.col("declined_c"), 18).alias("declined_amt"),
+        ).write.mode("overwrite").parquet(f"{store}/expired/batch={batch_id}")
+        late = batch.where(F.col("late_req_id").isNotNull())
+        events = error_log(late, "EXP1", "W", "authorization older than the purge date", "late_req_id", F.col("late_ts"))
+        append_errors(events, f"{store}/late", f"batch-{batch_id}")
+        batch.unpersist()
+
+    return run_batches(expired_days(details, days), write, checkpoint, "update")

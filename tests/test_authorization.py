@@ -10,6 +10,7 @@ from cardledger import fixtures
 from cardledger.plans import authorization as AU
 from cardledger.plans import purge
 from cardledger.streaming import authorization as SA
+from cardledger.sources import error_log
 from cardledger.streaming import expiry, run
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -143,16 +144,30 @@ def test_expiry_stream_reports_late_rows(spark, tmp_path):
 
     schema = "acct_id bigint, auth_ts timestamp, req_id bigint, resp_code string, tran_amt decimal(12,2), approved_amt decimal(12,2)"
     src, store, ckpt = (str(tmp_path / n) for n in ("src", "store", "ckpt"))
-    batches = [[(1, 1), (2, 4)], [(3, 6), (4, 7)], [(5, 2), (6, 12)]]
-    for rows in batches:
+    runs = [[(1, 1), (2, 4)], [(3, 6), (4, 7)], [(5, 2), (6, 12)], [(7, 12)]]
+    # what a run expires: the 1st when the 6th is seen, all up to the 7th with the 12th, the late 2nd at once
+    expected = [set(), {1}, {1, 2, 4, 6, 7}, {1, 2, 4, 6, 7}]
+    for rows, days in zip(runs, expected):
         df = spark.createDataFrame([detail(*r) for r in rows], schema)
         df.coalesce(1).write.mode("append").parquet(src)
         stream = run.read_files(spark, src, df.schema, 1)
         expiry.auth_expiry_stream(stream, store, ckpt, days=5)
-    gone = spark.read.parquet(f"{store}/expired")
-    assert {(r.auth_date.day, r.batch, r.approved_cnt) for r in gone.collect()} == {
-        (1, 1, 1), (4, 2, 1), (6, 2, 1), (7, 2, 1), (2, 2, 1)
-    }
-    assert [r.event_key for r in spark.read.parquet(f"{store}/late").collect()] == ["5"]
-    # the clock before the last stood at the 7th: days up to the 2nd may go, but not of the last batch
-    assert expiry.drop_expired_folders(spark, store, days=5) == 1
+        gone = spark.read.schema("acct_id bigint, auth_date date, approved_cnt bigint, approved_amt decimal(18,2)").parquet(f"{store}/expired")
+        got = [(r.auth_date.day, r.approved_cnt, r.approved_amt) for r in gone.collect()]
+        assert sorted(got) == sorted((d, 1, D("1.00")) for d in days)
+    late = error_log.read_errors(spark, f"{store}/late").collect()
+    assert [(r.event_key, r.level, r.err_date) for r in late] == [("5", "W", "240102")]
+
+
+def test_expiry_sums_a_day_over_batches(spark, tmp_path):
+    rows = [(1, dt.datetime(2024, 1, 1, i), i, "00" if i % 2 else "05", D("2.00"), D("2.00") if i % 2 else D("0")) for i in range(4)]
+    rows += [(2, dt.datetime(2024, 1, 1, 5), 10, "00", D("7.00"), D("7.00")), (1, dt.datetime(2024, 2, 1), 11, "00", D("1"), D("1"))]
+    schema = "acct_id bigint, auth_ts timestamp, req_id bigint, resp_code string, tran_amt decimal(12,2), approved_amt decimal(12,2)"
+    src, store, ckpt = (str(tmp_path / n) for n in ("src", "store", "ckpt"))
+    for row in rows:
+        spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(src)
+    expiry.auth_expiry_stream(run.read_files(spark, src, spark.createDataFrame([], schema).schema, 1), store, ckpt, days=5)
+    gone = spark.read.parquet(f"{store}/expired").collect()
+    assert sorted((r.acct_id, r.approved_cnt, r.declined_cnt, r.approved_amt, r.declined_amt) for r in gone) == [
+        (1, 2, 2, D("4.00"), D("4.00")), (2, 1, 0, D("7.00"), D("0.00"))
+    ]
