@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from cardledger import schemas as S
 from cardledger.catalog.registry import AUTH_SQL, DECIDED_SQL, RUN_TS, Registry, Tables, edited
+from cardledger.functions import decode
 from cardledger.plans import authorization as AU
 from cardledger.plans import posting, reports, statements
 from cardledger.session import scratch_path
 from cardledger.sources import (
-    error_log as EL, exchange, extracts, fixed_width, hierarchy, load, messages, records, seeds, snapshots,
+    binary, error_log as EL, exchange, extracts, fixed_width, hierarchy, load, messages, records, seeds, snapshots,
 )
 from cardledger.catalog.rows import REPORT_END, REPORT_SQL, REPORT_START, report_detail, report_rows
 
@@ -113,6 +114,18 @@ def _(t: Tables):
     return exchange.import_split(t.spark.read.parquet(path))["transaction"]
 
 
+def _register_split(name: str, table: str) -> None:
+    @add(f"import_split_{name}", f"SELECT * FROM {{{table}}}")
+    def _(t: Tables):
+        path = scratch_path(t.spark, "exchange")
+        exchange.write_export(exchange.export_union(exchange_tables(t), RUN_TS), path)
+        return exchange.import_split(t.spark.read.parquet(path))[name]
+
+
+for _name, _table in {"customer": "customer_master", "account": "account", "xref": "xref", "card": "card"}.items():
+    _register_split(_name, _table)
+
+
 @add(
     "import_split_errors",
     EXPORT_SQL + """SELECT rec_type, seq_num, 'Unknown record type encountered' AS message,
@@ -163,6 +176,32 @@ def _(t: Tables):
     )
 
 
+@add(
+    "auth_detail_file",
+    """SELECT acct_id, strftime(auth_ts, '%y%m%d') AS orig_date, strftime(auth_ts, '%H%M%S') AS orig_time, card_num,
+       left(auth_type, 4) AS auth_type, resp_code, resp_reason, tran_amt, approved_amt, match_status, fraud_flag
+       FROM {auth_detail}""",
+)
+def _(t: Tables):
+    """Authorization details unloaded with their account in front, and read from the files."""
+    layout = records.AUTH_DETAIL_SEGMENT
+    have = t.auth_detail.select(
+        "acct_id", F.date_format("auth_ts", "yyMMdd").alias("orig_date"), F.date_format("auth_ts", "HHmmss").alias("orig_time"),
+        "card_num", F.substring("auth_type", 1, 4).alias("auth_type"), "resp_code", "resp_reason", "tran_amt", "approved_amt",
+        "match_status", "fraud_flag",
+    )
+    full = have.select("*", *[F.lit(None).alias(f.name) for f in layout.fields if f.name not in have.columns])
+    key = decode.encode_packed(F.col("acct_id"), 11, 0)
+    path = scratch_path(t.spark, "auth-details")
+    length = 6 + layout.length
+    binary.write_binary(full.select(F.concat(key, records.render_records(full, layout)).alias("record")), path, length)
+    read = binary.scan_binary(t.spark, path, length)
+    account = decode.decode_packed(F.substring("record", 1, 6), 0).cast("bigint").alias("acct_id")
+    parsed = records.parse_records(read.select(account, "record"), layout, base=6, keep=["acct_id"])
+    money = {c: F.col(c).cast("decimal(12,2)") for c in ("tran_amt", "approved_amt")}
+    return parsed.withColumns(money).select(have.columns)
+
+
 @add(
     "reject_sink",
     DECIDED_SQL + """SELECT *, CASE reason WHEN 100 THEN 'INVALID CARD NUMBER FOUND'
@@ -509,3 +548,21 @@ def _(t: Tables):
         unknown, "A001", "W", "card not in cross reference", "card_num", F.col("ts"),
         program="decide", code_1=F.col("auth_type"),
     )
+
+
+@add(
+    "error_log_append",
+    """SELECT 'first' AS run, strftime(ts, '%y%m%d') AS err_date, card_num AS event_key FROM {auth_request} q
+       WHERE card_num NOT IN (SELECT card_num FROM {xref}) AND req_id % 2 = 0
+       UNION ALL SELECT 'second', strftime(ts, '%y%m%d'), card_num FROM {auth_request}
+       WHERE card_num NOT IN (SELECT card_num FROM {xref}) AND req_id % 2 = 1""",
+)
+def _(t: Tables):
+    path = scratch_path(t.spark, "error-log")
+    unknown = t.auth_request.join(t.xref.select("card_num"), "card_num", "left_anti")
+    # The first run is repeated and is in the log once all the same.
+    for run_id, rest in (("first", 0), ("first", 0), ("second", 1)):
+        own = unknown.where(F.col("req_id") % 2 == rest)
+        events = EL.error_log(own, "A001", "W", "card not in cross reference", "card_num", F.col("ts"))
+        EL.append_errors(events, path, run_id)
+    return EL.read_errors(t.spark, path).select("run", "err_date", "event_key")

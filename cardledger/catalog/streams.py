@@ -9,29 +9,28 @@ from cardledger.catalog.registry import AUTH_SQL, Registry, Tables
 from cardledger.fixtures import VIEWS
 from cardledger.functions.money import edit_amount
 from cardledger.plans import authorization as AU
-from cardledger.session import scratch_path
+from cardledger.operators.sequence import run_sequence
+from cardledger.session import materialize, scratch_path
 from cardledger.sources import messages
 from cardledger.streaming import authorization as SA
-from cardledger.streaming import expiry, inquiry, run
+from cardledger.streaming import expiry, inquiry, queue, run
 
 REGISTRY = Registry()
 add = REGISTRY.add
 
 
-#: Periods that the events arrive in, a micro-batch each.
-ARRIVALS = 4
+#: Events of a file, and so of a micro-batch: files are taken one at a time.
+EVENTS_PER_FILE = 25_000
 
 
 def event_stream(t: Tables):
-    """The events as files that came one after the other, each the events of one period."""
+    """The events as files of bounded size that came one after the other in the order of their time."""
     inbox = scratch_path(t.spark, "events")
-    second = F.col("ts").cast("timestamp").cast("double")
-    first, last = t.events.agg(F.min(second), F.max(second)).first()
-    first, last = first or 0.0, last or 0.0  # no events, no time
-    at = (second - F.lit(first)) / F.lit(max(last - first, 1e-6))
-    period = F.least(F.floor(at * ARRIVALS), F.lit(ARRIVALS - 1))
-    for n in range(ARRIVALS):
-        t.events.where(period == n).coalesce(1).write.mode("append").parquet(inbox)
+    numbered = materialize(run_sequence(t.events, ["ts", "event_id"], "no", start=0), "numbered")
+    for begin in range(0, max(1, numbered.count()), EVENTS_PER_FILE):
+        # A bounded range of the numbers, found by the files' statistics.
+        own = numbered.where(F.col("no").between(begin, begin + EVENTS_PER_FILE - 1)).drop("no")
+        own.coalesce(1).write.mode("append").parquet(inbox)
     return run.read_files(t.spark, inbox, t.events.schema, files_per_batch=1)
 
 
@@ -154,6 +153,51 @@ def _(t: Tables):
     return finish(t, request_stream(t), "bounded")
 
 
+#: Messages that one run takes at most.
+MESSAGES_PER_RUN = 500
+
+
+@add(
+    "bounded_run_messages",
+    f"""SELECT CAST(least((row_number() OVER (ORDER BY ts, req_id) - 1) // {MESSAGES_PER_RUN}, 1) AS INT) AS run_no,
+       req_id, ts, card_num, auth_type, amt FROM {{auth_request}}""",
+)
+def _(t: Tables):
+    """The first run ends after its number of messages, the second goes on and ends as nothing waits."""
+    box, out, checkpoint = (scratch_path(t.spark, n) for n in ("queue", "taken", "queue-checkpoint"))
+    queue.append_messages(t.auth_request, box, ["ts", "req_id"])
+    for run_no, most in enumerate((MESSAGES_PER_RUN, 2**62)):
+
+        def each(batch, batch_id: int, run_no: int = run_no) -> None:
+            batch.withColumn("run_no", F.lit(run_no)).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+        queue.run_messages(t.spark, box, lambda asked: asked.drop(queue.OFFSET), each, checkpoint, most)
+    stored = t.spark.read.parquet(out)
+    return stored.select("run_no", "req_id", "ts", "card_num", "auth_type", "amt")
+
+
+@add(
+    "auth_second_run",
+    AUTH_SQL + """SELECT acct_id, max(credit_limit) AS credit_limit,
+       CAST(sum(approved_amt) AS DECIMAL(12,2)) AS credit_balance,
+       count(*) FILTER (resp_code = '00') AS approved_cnt, count(*) FILTER (resp_code <> '00') AS declined_cnt,
+       CAST(coalesce(sum(amt) FILTER (resp_code <> '00'), 0) AS DECIMAL(12,2)) AS declined_amt
+       FROM decided WHERE acct_id IS NOT NULL GROUP BY 1""",
+    recursive=True,
+)
+def _(t: Tables):
+    """Requests in two runs by time; the second is held against the summaries that the first stored."""
+    middle = t.auth_request.agg(F.expr("percentile_approx(unix_micros(CAST(ts AS TIMESTAMP)), 0.5)")).first()[0]
+    early = F.unix_micros(F.col("ts").cast("timestamp")) <= F.lit(middle)
+    stored = None
+    for own in (t.auth_request.where(early), t.auth_request.where(~early)):
+        decided = AU.decide(own, t.xref, t.auth_account, t.customer_master, stored)
+        new = materialize(AU.details(decided), "details")
+        before, stored = stored, AU.summaries(new, t.auth_account)
+        stored = materialize(stored if before is None else AU.update_summaries(before, new, t.auth_account), "summaries")
+    return stored.select("acct_id", "credit_limit", "credit_balance", "approved_cnt", "declined_cnt", "declined_amt")
+
+
 @add(
     "account_inquiry_stream",
     """SELECT e.event_id AS req_id, a.acct_id, a.active_status, a.curr_bal,

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cardledger.functions import decode
 from cardledger.functions.dates import parse_ts26, real_date, ts26
@@ -55,12 +54,6 @@ def split_quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, df.where(F.size("bad_fields") > 0)
 
 
-def scan_binary(spark: SparkSession, path: str, record_length: int) -> DataFrame:
-    """Binary records of fixed length, one ``record`` (bytes) per row; files are split by record."""
-    rdd = spark.sparkContext.binaryRecords(path, record_length).map(lambda b: (bytearray(b),))
-    return spark.createDataFrame(rdd, T.StructType([T.StructField("record", T.BinaryType())]))
-
-
 def _printed(field: Field) -> Column:
     col = F.col(f"`{field.name}`")
     if field.kind == "zoned":

@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Equal rows that are written out together.
+COPIES = 65_536
+
+
 def load_replace(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """One row per key, and the refused rows: all others of the keys that occur more than once.
 
@@ -20,7 +24,13 @@ def load_replace(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     both = counted.alias("r").join(kept.alias("k"), _same_keys(keys))
     stays = row_of("r", rest).eqNullSafe(F.col("k._kept")) if rest else F.lit(True)
     times = F.col("_n") - stays.cast("int")
-    refused = both.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), times.cast("int"))))
+    # Copies are numbered by blocks, which are dealt out before they become rows: any number of equal
+    # rows is spread over the tasks, and no array is longer than a block.
+    blocks = both.withColumn("_times", times).where("_times > 0")
+    begin = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_times") - 1, F.lit(COPIES).cast("bigint")))
+    blocks = blocks.withColumn("_begin", begin).repartition("_begin", *[F.col(f"r.`{k}`") for k in keys])
+    size = F.least(F.col("_times") - F.col("_begin"), F.lit(COPIES)).cast("int")
+    refused = blocks.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), size)))
     return good, refused.select(*[F.col(f"r.`{c}`").alias(c) for c in df.columns])
 
 

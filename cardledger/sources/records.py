@@ -129,8 +129,10 @@ def parse_records(
     base: int = 0,
     charset: str = "US-ASCII",
     schema: T.StructType | None = None,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """Binary records to typed columns; ``base`` bytes in front of the layout are skipped.
+    """Binary records to typed columns; ``base`` bytes in front of the layout are skipped, and the
+    columns named in ``keep`` stay.
 
     Numbers get the types of ``schema`` where it names them.
     """
@@ -140,7 +142,7 @@ def parse_records(
             value = value.cast(schema[field.name].dataType)
         return value.alias(field.name)
 
-    return records.select(*[typed(f) for f in layout.fields])
+    return records.select(*(keep or []), *[typed(f) for f in layout.fields])
 
 
 def import_records(records: DataFrame, column: str = "record", charset: str = "US-ASCII") -> dict[str, DataFrame]:

@@ -82,7 +82,8 @@ def expired_days(details: DataFrame, days: int = 5) -> DataFrame:
     ok = F.col("resp_code") == "00"
     none = F.lit(0).cast("bigint")
     # The operator gets the time as a plain number and date: late rows must reach it, not be filtered.
-    rows = details.withWatermark("auth_ts", "0 seconds").select(
+    timed = details.withColumn("auth_ts", F.col("auth_ts").cast("timestamp")).withWatermark("auth_ts", "0 seconds")
+    rows = timed.select(
         "acct_id", "req_id", F.to_date("auth_ts").alias("auth_date"),
         F.timestamp_micros(F.unix_micros("auth_ts")).alias("late_ts"),
         ok.cast("bigint").alias("approved_cnt"), (~ok).cast("bigint").alias("declined_cnt"),

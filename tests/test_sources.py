@@ -10,7 +10,7 @@ from cardledger import codes, schemas as S
 from cardledger.functions import dates, decode, money, text
 from cardledger.operators import changes, filters, joins, paging, validate
 from cardledger.plans import statements
-from cardledger.sources import exchange, fixed_width, hierarchy, load, messages, records, snapshots
+from cardledger.sources import binary, exchange, fixed_width, hierarchy, load, messages, records, snapshots
 
 
 def values(spark, items, fn, kind="string"):
@@ -100,7 +100,7 @@ def test_fixed_width_quarantine(spark, tmp_path):
 def test_binary_records(spark, tmp_path):
     path = tmp_path / "records.bin"
     path.write_bytes(b"".join(i.to_bytes(4, "big", signed=True) + b"ab" for i in (-1, 5)))
-    got = fixed_width.scan_binary(spark, str(path), 6).select(decode.decode_binary(F.substring("record", 1, 4), 4))
+    got = binary.scan_binary(spark, str(path), 6).select(decode.decode_binary(F.substring("record", 1, 4), 4))
     assert sorted(r[0] for r in got.collect()) == [-1, 5]
 
 
@@ -263,3 +263,29 @@ def test_statements_have_no_limit(spark):
 def test_validation_of_blank_rows(spark):
     row = spark.createDataFrame([(None, None, None, None)], "user_id string, first_name string, last_name string, user_type string")
     assert validate.validate_user_batch(row).first().errors == ["first_name", "last_name", "user_id", "user_type"]
+
+
+def test_binary_files_are_split_on_records(spark, tmp_path):
+    records = [bytes([i % 256, i // 256]) * 5 for i in range(700)]
+    df = spark.createDataFrame([(r,) for r in records], "record binary").repartition(3)
+    path = str(tmp_path / "records")
+    binary.write_binary(df, path, 10)
+    got = binary.scan_binary(spark, path, 10, split_bytes=64)
+    assert got.rdd.getNumPartitions() > 100 and sorted(bytes(r.record) for r in got.collect()) == sorted(records)
+    binary.write_binary(df.limit(5), path, 10)
+    assert binary.scan_binary(spark, f"file://{path}", 10).count() == 705
+    with pytest.raises(Exception, match="behind the last record"):
+        binary.scan_binary(spark, path, 11).count()
+    for bad in (b"short", None):
+        with pytest.raises(Exception):
+            binary.write_binary(spark.createDataFrame([(bad,)], "record binary"), path, 10)
+    assert binary.scan_binary(spark, path, 10).count() == 705  # what failed is not there
+
+
+def test_refused_copies_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(load, "COPIES", 16)
+    rows = [(1, "a")] * 1000 + [(1, "b")] * 3 + [(2, "c"), (None, None), (None, None)]
+    kept, refused = load.load_replace(spark.createDataFrame(rows, "k int, v string"), ["k"])
+    assert sorted(map(str, kept.collect())) == sorted(map(str, spark.createDataFrame([(1, "a"), (2, "c"), (None, None)], kept.schema).collect()))
+    left = {(r.k, r.v): r["count"] for r in refused.groupBy("k", "v").count().collect()}
+    assert left == {(1, "a"): 999, (1, "b"): 3, (None, None): 1}
