@@ -1,6 +1,7 @@
 """Time the headline queries; prints one JSON line.
 
-Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
+Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_SHARED_DIR (folder
+for stored steps, spark.checkpoint.dir; a temporary one by default).
 Every query is run once to warm up and then timed; the result is consumed by the noop sink.
 """
 
@@ -10,6 +11,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -31,6 +33,7 @@ def main() -> None:
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_SHARED_DIR") or tempfile.mkdtemp(prefix="cardledger-bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -13,23 +13,19 @@ from cardledger.operators.aggregates import WIDE, money_sum
 from cardledger.operators.filters import filter_date_range
 from cardledger.operators.joins import require_lookups, with_report_dimensions
 from cardledger.operators.sequence import page_number, run_sequence
-from cardledger.session import materialize
 
 PAGE_SIZE = 20
 
 
-def report_rows(
-    tx: DataFrame, start: dt.date, end: dt.date, page_size: int = PAGE_SIZE, store: bool = True
-) -> DataFrame:
+def report_rows(tx: DataFrame, start: dt.date, end: dt.date, page_size: int = PAGE_SIZE) -> DataFrame:
     """Transactions of the period in (card, transaction) order with ``seq_no`` and ``page``.
 
-    Numbered straight from the scan, since the lookups that follow neither drop nor add rows.
-    With ``store`` the order is worked out once; the detail lines and each kind of total then
-    read back only their columns.
+    Numbered straight from the scan, since the lookups that follow neither drop nor add rows.  The
+    numbering stores the ordered rows once; the detail lines and each kind of total read back only
+    their columns.
     """
     numbered = run_sequence(filter_date_range(tx, start, end), ["card_num", "tran_id"])
-    paged = numbered.withColumn("page", page_number(F.col("seq_no"), page_size))
-    return materialize(paged, "report") if store else paged
+    return numbered.withColumn("page", page_number(F.col("seq_no"), page_size))
 
 
 def report_detail(
