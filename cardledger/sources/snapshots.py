@@ -11,14 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm
 
 
 def snapshot_versions(spark: SparkSession, root: str) -> list[int]:
-    fs, jvm = _fs(spark, root)
+    fs, jvm = file_system(spark, root)
     path = jvm.org.apache.hadoop.fs.Path(root)
     if not fs.exists(path):
         return []
@@ -28,7 +28,7 @@ def snapshot_versions(spark: SparkSession, root: str) -> list[int]:
 
 def current_version(spark: SparkSession, root: str) -> int | None:
     """The latest published version."""
-    fs, jvm = _fs(spark, root)
+    fs, jvm = file_system(spark, root)
     path = jvm.org.apache.hadoop.fs.Path(root)
     if not fs.exists(path):
         return None
@@ -39,7 +39,7 @@ def current_version(spark: SparkSession, root: str) -> int | None:
 
 def publish(spark: SparkSession, root: str, version: int, keep: int = 5) -> None:
     """Make a written version current and drop versions beyond the last ``keep``."""
-    fs, jvm = _fs(spark, root)
+    fs, jvm = file_system(spark, root)
     fs.create(jvm.org.apache.hadoop.fs.Path(f"{root}/_current.{version}"), True).close()
     for old in [v for v in snapshot_versions(spark, root) if v <= version - keep]:
         fs.delete(jvm.org.apache.hadoop.fs.Path(f"{root}/_current.{old}"), False)

@@ -12,8 +12,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from cardledger.functions.money import cents, from_cents
+from cardledger.operators.changes import update_or_insert
 from cardledger.operators.headroom import walk_key
 from cardledger.plans.authorization import auth_reason, enrich
+from cardledger.sources.buckets import BucketTable
+from cardledger.streaming.frames import PIECE, PIECE_KEY, SortedFrames
 from cardledger.streaming.run import configure_state, run_batches
 
 _STATE = T.StructType(
@@ -39,24 +42,34 @@ _OUT = T.StructType(
 class DecideRequests(StatefulProcessor):
     """Keeps an account's summary; the rows of one micro-batch are taken in (ts, req_id) order.
 
-    Across micro-batches arrival order counts, as for a queue.  How many rows a key can bring in
-    one batch is bounded by the source's rate limit.
+    Across micro-batches arrival order counts, as for a queue.  A key's rows come as frames of an
+    Arrow batch's size and are decided frame by frame; those of a key with many frames are sorted by
+    way of the state, so what a key holds in memory is bounded however many rows it brings.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._summary = handle.getValueState("summary", _STATE)
+        self._pieces = handle.getMapState("pieces", PIECE_KEY, PIECE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(rows, ignore_index=True).sort_values(["ts", "req_id"], ignore_index=True)
         acct = int(key[0])
         stored = self._summary.get() if acct >= 0 and self._summary.exists() else None
+        for pdf in SortedFrames(self._pieces, ["ts", "req_id"]).take(rows):
+            out, stored = self._decide(pdf, stored)
+            yield out
+        if acct >= 0:
+            self._summary.update(stored)
+
+    @staticmethod
+    def _decide(pdf: pd.DataFrame, stored: tuple | None) -> tuple[pd.DataFrame, tuple]:
+        """Decisions of the next rows of an account, and its summary behind them."""
         seen = stored is not None
         balance, approved_cnt, declined_cnt, approved_amt, declined_amt = stored if seen else (0,) * 5
         amt, limit = pdf["amt_c"].to_numpy(), pdf["limit_c"].to_numpy()
         # The headroom is what the limit leaves of the balance; limits are put on the amounts' side.
         gate, found = amt - limit, pdf["account_found"].to_numpy(dtype=bool)
         flags = np.zeros(len(pdf), dtype=bool)
-        begin = 0
+        opening, begin = balance, 0
         if not seen:  # the first request is held against the account's own balance
             flags[0] = found[0] and gate[0] <= -pdf["balance_c"].iloc[0]
             balance, begin = int(flags[0] * amt[0]), 1
@@ -64,19 +77,16 @@ class DecideRequests(StatefulProcessor):
             rest = slice(begin, None)
             flags[rest], _ = walk_key(-balance, gate[rest], amt[rest], found[rest])
         taken, left = np.where(flags, amt, 0).cumsum(), np.where(flags, 0, amt).cumsum()
-        opening = stored[0] if seen else 0
         after = {
             "credit_balance": opening + taken, "approved_cnt": approved_cnt + flags.cumsum(),
             "declined_cnt": declined_cnt + (~flags).cumsum(), "approved_amt": approved_amt + taken,
             "declined_amt": declined_amt + left,
         }
-        if acct >= 0:
-            self._summary.update(tuple(int(after[f.name][-1]) for f in _STATE))
         out = pdf[[f.name for f in _OUT.fields if f.name in pdf.columns]].copy()
         out["approved"] = flags
         for f in _STATE:
             out[f"s_{f.name}"] = after[f.name]
-        yield out
+        return out, tuple(int(after[f.name][-1]) for f in _STATE)
 
     def close(self) -> None:
         pass
@@ -149,12 +159,22 @@ def auth_detail_stream(decisions: DataFrame) -> DataFrame:
     )
 
 
-def auth_store_stream(decided: DataFrame, store: str, checkpoint: str) -> StreamingQuery:
+#: Buckets of the stored summaries: one for about every million accounts.
+SUMMARY_BUCKETS = 32
+
+
+def _summary_table(store: str, buckets: int) -> BucketTable:
+    return BucketTable(f"{store}/summaries", ("acct_id",), buckets)
+
+
+def auth_store_stream(
+    decided: DataFrame, store: str, checkpoint: str, buckets: int = SUMMARY_BUCKETS
+) -> StreamingQuery:
     """Run the decisions into a store, batch by batch: ``decisions``, ``details`` and ``summaries``.
 
-    A batch writes its decisions and details into folders of its own and the summaries of all
-    accounts, the changed ones replaced, into the next version; so its cost follows the batch and
-    the number of accounts, not the history, and a repeated batch writes the same again.
+    A batch writes its decisions and details into folders of its own and rewrites the hash buckets of
+    the summaries that its accounts fall into; so its cost follows the batch, not the history or the
+    number of accounts, and a repeated batch writes the same again.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -163,18 +183,13 @@ def auth_store_stream(decided: DataFrame, store: str, checkpoint: str) -> Stream
         batch.write.mode("overwrite").parquet(path)
         written = spark.read.schema(batch.schema).parquet(path)
         auth_detail_stream(written).write.mode("overwrite").parquet(f"{store}/details/batch={batch_id}")
-        changed = latest_summaries(written)
-        if batch_id > 0:
-            before = spark.read.schema(changed.schema).parquet(f"{store}/summaries/{batch_id - 1}")
-            changed = before.join(changed.select("acct_id"), "acct_id", "left_anti").unionByName(changed)
-        changed.write.mode("overwrite").parquet(f"{store}/summaries/{batch_id}")
+        _summary_table(store, buckets).change(
+            latest_summaries(written), lambda old, new: update_or_insert(old, new, ["acct_id"]), batch_id
+        )
 
     return run_batches(decided, write, checkpoint, "update")
 
 
-def stored_summaries(spark: SparkSession, store: str) -> DataFrame:
-    """The summaries of the last batch."""
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{store}/summaries/*")
-    fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
-    last = max(int(status.getPath().getName()) for status in fs.globStatus(pattern))
-    return spark.read.parquet(f"{store}/summaries/{last}")
+def stored_summaries(spark: SparkSession, store: str, buckets: int = SUMMARY_BUCKETS) -> DataFrame:
+    """The summaries after the last batch."""
+    return _summary_table(store, buckets).read(spark)
