@@ -14,47 +14,84 @@ from cardledger.catalog.totals import posted
 from cardledger.operators import aggregates as A
 from cardledger.operators import changes, validate
 from cardledger.plans import interest, purge
+from cardledger.session import scratch_path
+from cardledger.sources.buckets import BucketTable
 
 REGISTRY = Registry()
 add = REGISTRY.add
 
+#: Rows of a bucket of a stored master.
+BUCKET_ROWS = 2_000_000
 
-@add(
-    "upsert_category_balance",
-    DECIDED_SQL + """, delta AS (
+
+def stored(t: Tables, table, keys: list[str], delta, merge):
+    """The change made in a bucketed table: only the buckets of the delta's keys are rewritten."""
+    kept = BucketTable(scratch_path(t.spark, "master"), tuple(keys), max(8, -(-table.count() // BUCKET_ROWS)))
+    kept.write(table, 0)
+    kept.change(delta, merge, 1, table.schema)
+    return kept.read(t.spark)
+
+
+UPSERT_SQL = DECIDED_SQL + """, delta AS (
       SELECT acct_id, type_cd, cat_cd + 1 AS cat_cd, sum(amt) AS d FROM decided WHERE reason = 0 GROUP BY 1, 2, 3),
     old AS (SELECT * FROM {category_balance})
     SELECT coalesce(o.acct_id, n.acct_id) AS acct_id, coalesce(o.type_cd, n.type_cd) AS type_cd,
       coalesce(o.cat_cd, n.cat_cd) AS cat_cd, CAST(coalesce(o.balance, 0) + coalesce(n.d, 0) AS DECIMAL(12,2)) AS balance
-    FROM old o FULL JOIN delta n ON o.acct_id = n.acct_id AND o.type_cd = n.type_cd AND o.cat_cd = n.cat_cd""",
-    recursive=True,
-)
-def _(t: Tables):
+    FROM old o FULL JOIN delta n ON o.acct_id = n.acct_id AND o.type_cd = n.type_cd AND o.cat_cd = n.cat_cd"""
+
+
+def further_balances(t: Tables):
     # Posted one category further on, so that some keys are stored and some are new.
-    delta = A.category_balance(posted(t)).withColumn("cat_cd", F.col("cat_cd") + 1)
-    return changes.upsert_category_balance(t.category_balance, delta)
+    return A.category_balance(posted(t)).withColumn("cat_cd", F.col("cat_cd") + 1)
 
 
-@add(
-    "apply_posting",
-    DECIDED_SQL + """, d AS (SELECT acct_id, sum(amt) AS s FROM decided WHERE reason = 0 GROUP BY 1)
+@add("upsert_category_balance", UPSERT_SQL, recursive=True)
+def _(t: Tables):
+    return changes.upsert_category_balance(t.category_balance, further_balances(t))
+
+
+@add("upsert_category_balance_stored", UPSERT_SQL, recursive=True)
+def _(t: Tables):
+    keys = ["acct_id", "type_cd", "cat_cd"]
+    table = t.category_balance.select(*keys, "balance")
+    return stored(t, table, keys, further_balances(t), changes.upsert_category_balance)
+
+
+POSTED_SQL = DECIDED_SQL + """, d AS (SELECT acct_id, sum(amt) AS s FROM decided WHERE reason = 0 GROUP BY 1)
     SELECT a.acct_id, CAST(a.curr_bal + coalesce(d.s, 0) AS DECIMAL(12,2)) AS curr_bal
-    FROM account a LEFT JOIN d ON d.acct_id = a.acct_id""",
-    recursive=True,
-)
+    FROM account a LEFT JOIN d ON d.acct_id = a.acct_id"""
+
+
+@add("apply_posting", POSTED_SQL, recursive=True)
 def _(t: Tables):
     return changes.apply_posting(t.account, A.cycle_amounts(posted(t))).select("acct_id", "curr_bal")
 
 
-@add(
-    "apply_interest",
-    INTEREST_SQL + """, t AS (SELECT acct_id, sum(int_cents) AS c FROM interest GROUP BY 1)
-    SELECT a.acct_id, CAST(a.curr_bal + CAST(coalesce(t.c, 0) AS DECIMAL(18,0)) / 100 AS DECIMAL(12,2)) AS curr_bal
-    FROM {account} a LEFT JOIN t ON t.acct_id = a.acct_id""",
-)
+@add("apply_posting_stored", POSTED_SQL, recursive=True)
 def _(t: Tables):
+    table = stored(t, t.account, ["acct_id"], A.cycle_amounts(posted(t)), changes.apply_posting)
+    return table.select("acct_id", "curr_bal")
+
+
+CREDITED_SQL = INTEREST_SQL + """, t AS (SELECT acct_id, sum(int_cents) AS c FROM interest GROUP BY 1)
+    SELECT a.acct_id, CAST(a.curr_bal + CAST(coalesce(t.c, 0) AS DECIMAL(18,0)) / 100 AS DECIMAL(12,2)) AS curr_bal
+    FROM {account} a LEFT JOIN t ON t.acct_id = a.acct_id"""
+
+
+def account_interest(t: Tables):
     looked = interest.balances_with_lookups(t.category_balance, t.account, t.xref, t.rate)
-    return changes.apply_interest(t.account, interest.interest_totals(looked)).select("acct_id", "curr_bal")
+    return interest.interest_totals(looked)
+
+
+@add("apply_interest", CREDITED_SQL)
+def _(t: Tables):
+    return changes.apply_interest(t.account, account_interest(t)).select("acct_id", "curr_bal")
+
+
+@add("apply_interest_stored", CREDITED_SQL)
+def _(t: Tables):
+    table = stored(t, t.account, ["acct_id"], account_interest(t), changes.apply_interest)
+    return table.select("acct_id", "curr_bal")
 
 
 @add(
@@ -181,21 +218,31 @@ def _(t: Tables):
     )
 
 
-@add(
-    "update_or_insert",
-    """SELECT coalesce(n.k, o.k) AS acct_id, CASE WHEN n.k IS NOT NULL THEN n.bal ELSE o.bal END AS bal
+REPLACED_SQL = """SELECT coalesce(n.k, o.k) AS acct_id, CASE WHEN n.k IS NOT NULL THEN n.bal ELSE o.bal END AS bal
        FROM (SELECT 2 * c_custkey AS k, CAST(c_acctbal AS DECIMAL(12,2)) AS bal FROM {customer}) o
        FULL JOIN (SELECT o_custkey AS k, CAST(max(o_totalprice) AS DECIMAL(12,2)) AS bal FROM {orders} GROUP BY 1) n
-       ON n.k = o.k""",
-)
-def _(t: Tables):
+       ON n.k = o.k"""
+
+
+def old_and_new(t: Tables):
     old = t.customer.select(
         (2 * F.col("c_custkey")).alias("acct_id"), F.col("c_acctbal").cast("decimal(12,2)").alias("bal")
     )
     new = t.orders.groupBy(F.col("o_custkey").alias("acct_id")).agg(
         F.max("o_totalprice").cast("decimal(12,2)").alias("bal")
     )
-    return changes.update_or_insert(old, new, ["acct_id"])
+    return old, new
+
+
+@add("update_or_insert", REPLACED_SQL)
+def _(t: Tables):
+    return changes.update_or_insert(*old_and_new(t), ["acct_id"])
+
+
+@add("update_or_insert_stored", REPLACED_SQL)
+def _(t: Tables):
+    table, rows = old_and_new(t)
+    return stored(t, table, ["acct_id"], rows, lambda old, new: changes.update_or_insert(old, new, ["acct_id"]))
 
 
 @add(

@@ -1,6 +1,8 @@
 """Table changes.  Each returns the new state of the table; snapshots persist it.
 
-Plain files have no MERGE, so a change is a full outer join on the key written as a new snapshot.
+Plain files have no MERGE, so a change is a full outer join on the key written as a new snapshot.  A large
+master is kept as ``sources.buckets.BucketTable``: its ``change`` takes these functions and rewrites the
+touched buckets only.
 """
 
 from __future__ import annotations
