@@ -1,19 +1,20 @@
 """Exact duplicates through a cuckoo-filter index over content digests.
 
 Every task first folds equal contents of an Arrow batch into one row, so a text that a third of all
-rows share reaches its index bucket once per batch.  The rows are dealt by digest.  A bucket holds a
-cuckoo filter over its live digests and the contents behind them: a miss in the filter proves a new
-text, a hit is settled by comparing the bytes with the stored contents.  A filter that overflows is
-built anew, twice as large, from the stored keys.  Withdrawn rows take their digest out again once
-no live row is left.
+rows share reaches its index bucket once per batch.  The rows are dealt by digest and sorted by it
+(Spark spills that sort).  A bucket holds a cuckoo filter over its live digests and their keys: a miss
+in the filter proves a new text, a hit is settled by comparing the bytes with the contents of the
+digest that is being read.  A filter that overflows is built anew, twice as large, from the stored
+keys.  Withdrawn rows take their digest out again if no live row is left.
 
-Memory of a bucket is the distinct contents dealt to it; ``spark.sql.shuffle.partitions`` sets it.
+A task keeps the contents of one digest and an Arrow batch, besides 10 to 20 bytes for a digest.
 """
 
 from __future__ import annotations
 
 import hashlib
 from array import array
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -76,20 +77,34 @@ class CuckooFilter:
 
 
 class DigestIndex:
-    """Live digests of one bucket: the filter answers first, the contents decide."""
+    """Live digests of one bucket: the filter answers first, the contents decide.
+
+    Contents can be released when no more rows of their digest come; the keys stay, 8 bytes each,
+    for a filter that must grow.
+    """
 
     def __init__(self, buckets: int = 1024) -> None:
         self.filter = CuckooFilter(buckets)
+        self.keys, self.withdrawn = array("Q"), array("Q")
         self.contents: dict[int, list[list]] = {}
 
     def _insert(self, key: int) -> None:
+        self.keys.append(key)
         if self.filter.insert(key):
             return
+        out = Counter(self.withdrawn)
+        live = array("Q")
+        for k in self.keys:
+            if out[k] > 0:
+                out[k] -= 1
+            else:
+                live.append(k)
+        self.keys, self.withdrawn = live, array("Q")
         buckets, whole = self.filter.mask + 1, False
         while not whole:
             buckets *= 2
             self.filter = CuckooFilter(buckets)
-            whole = all(self.filter.insert(k) for k, kept in self.contents.items() for _ in kept)
+            whole = all(map(self.filter.insert, self.keys))
 
     def entry(self, key: int, content: bytes) -> list:
         """The entry of this content, made if it is new: [content, rows, best row]."""
@@ -102,6 +117,10 @@ class DigestIndex:
         self._insert(key)
         return new
 
+    def _take_out(self, key: int) -> None:
+        self.filter.delete(key)
+        self.withdrawn.append(key)
+
     def delete(self, key: int, content: bytes) -> None:
         kept = self.contents.get(key, [])
         for place, one in enumerate(kept):
@@ -109,9 +128,16 @@ class DigestIndex:
                 del kept[place]
                 if not kept:
                     del self.contents[key]
-                self.filter.delete(key)
+                self._take_out(key)
                 return
 
+    def release(self, key: int) -> list[list]:
+        """The live entries of a digest whose rows have all come; without live rows it is deleted."""
+        entries = self.contents.pop(key, [])
+        for _ in [one for one in entries if not one[1]]:
+            self._take_out(key)
+        return [one for one in entries if one[1]]
+
 
 def _norm(batch: pa.RecordBatch) -> Iterator[bytes]:
     for text in batch.column("text").cast(pa.binary()).to_pylist():
@@ -167,26 +193,43 @@ def _fold(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _index(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    index = DigestIndex()
-    for batch in batches:
-        for digest, content, n, points, best in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            one = index.entry(int.from_bytes(digest[:8], "little"), content)
-            one[1] += n
-            one[2] = _better(one[2], None if points is None else (points, best))
-    for key, content in [(k, e[0]) for k, es in index.contents.items() for e in es if not e[1]]:
-        index.delete(key, content)
-    out = [e for es in index.contents.values() for e in es]
-    for at in range(0, len(out), 10_000):
-        part = out[at : at + 10_000]
-        yield pa.RecordBatch.from_arrays(
+    """Classes of rows sorted by digest."""
+    index, out = DigestIndex(), []
+
+    def part() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
             [
-                pa.array([hashlib.sha256(c).hexdigest() for c, _, _ in part], pa.string()),
-                pa.array([b[1] for _, _, b in part], pa.int64()),
-                pa.array([n for _, n, _ in part], pa.int64()),
+                pa.array([d for d, _, _ in out], pa.string()),
+                pa.array([best[1] for _, _, best in out], pa.int64()),
+                pa.array([n for _, n, _ in out], pa.int64()),
             ],
             ["text_sha256", "keep_id", "group_size"],
         )
 
+    def close(digest: bytes) -> None:
+        out.extend((digest.hex(), n, best) for _, n, best in index.release(_key(digest)))
+
+    current = None
+    for batch in batches:
+        for digest, content, n, points, best in zip(*batch.columns, strict=True):
+            digest, points = digest.as_py(), points.as_py()
+            if current is not None and digest != current:
+                close(current)
+            current = digest
+            one = index.entry(_key(digest), content.as_py())
+            one[1] += n.as_py()
+            one[2] = _better(one[2], None if points is None else (points, best.as_py()))
+        if len(out) >= 10_000:
+            yield part()
+            out.clear()
+    if current is not None:
+        close(current)
+    yield part()
+
+
+def _key(digest: bytes) -> int:
+    return int.from_bytes(digest[:8], "little")
+
 
 def exact_dedup(docs: DataFrame, gone: str | None = None) -> DataFrame:
     """Class of every document among texts that are equal but for blanks.
@@ -203,7 +246,8 @@ def exact_dedup(docs: DataFrame, gone: str | None = None) -> DataFrame:
     folded = rows.mapInArrow(
         _fold, "digest binary, content binary, n bigint, points bigint, best bigint"
     )
-    classes = folded.repartition(tasks(docs.sparkSession), "digest").mapInArrow(
+    dealt = folded.repartition(tasks(docs.sparkSession), "digest").sortWithinPartitions("digest")
+    classes = dealt.mapInArrow(
         _index, "text_sha256 string, keep_id bigint, group_size bigint"
     )
     each = rows.where(~F.col("gone")).select("doc_id", "text")

@@ -247,6 +247,27 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+@_query(
+    "withdrawn_exact_dedup",
+    r"""
+WITH n AS (
+  SELECT d.doc_id, length(coalesce(text, '')) AS points, coalesce(l.toxic, false) AS gone,
+         sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+  FROM documents d LEFT JOIN (SELECT doc_id, bool_or(toxic = 1) AS toxic FROM labels GROUP BY 1) l ON l.doc_id = d.doc_id),
+c AS (
+  SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size, text_sha256
+  FROM n WHERE NOT gone WINDOW w AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id))
+SELECT doc_id, keep_id, group_size, keep_id = doc_id AS kept, text_sha256 FROM c
+UNION ALL SELECT doc_id, NULL, NULL, false, text_sha256 FROM n WHERE gone
+""",
+)
+def withdrawn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxic documents are withdrawn from the index, so a copy that is not marked may stay in their place."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    toxic = labels.where("toxic = 1").select("doc_id").distinct().withColumn("gone", F.lit(True))
+    return exact_dedup(docs.select("doc_id", "text").join(toxic, "doc_id", "left"), "gone")
+
+
 @_query("op9_simhash_near_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))

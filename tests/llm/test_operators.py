@@ -74,6 +74,35 @@ def test_cuckoo_filter_has_no_false_negatives_and_deletes():
     assert [small.insert(k) for k in keys[:5]] == [True] * 4 + [False]
 
 
+def test_released_digests_stay_known_through_growth():
+    index = DigestIndex(buckets=4)
+    keys = [int(x) for x in np.random.default_rng(4).integers(1, 2**64, 2000, dtype=np.uint64)]
+    for place, k in enumerate(keys):
+        content = k.to_bytes(8, "big")
+        index.entry(k, content)[1] += place % 4 != 0
+        index.entry(k, b"withdrawn")  # of the same digest, without a live row
+        assert [one[0] for one in index.release(k)] == ([content] if place % 4 else [])
+        assert not index.contents
+    live = [k for place, k in enumerate(keys) if place % 4]
+    assert all(k in index.filter for k in live)
+    assert sum(k in index.filter for k in keys[::4]) < 60
+    assert index.release(keys[1]) == []
+
+
+def test_exact_in_many_small_buckets(spark):
+    """Withdrawn rows, and two contents of one bucket, in the order of their digests."""
+    rows = [(i, f"text {i % 37}" + " " * (i % 3), "en") for i in range(400)] + [(1000, None, "en"), (1001, " \n", "en")]
+    df = brute.frame(spark, rows).withColumn("gone", (F.col("doc_id") % 37 < 5) | (F.col("doc_id") % 7 == 0))
+    got = brute.by_id(exact_dedup(df.repartition(16), "gone"))
+    stay = [r for r in rows if not (r[0] % 37 < 5 or r[0] % 7 == 0)]
+    want = brute.exact(stay)
+    assert len(got) == len(rows)
+    for i, text, _ in rows:
+        r = got[i]
+        assert (r["keep_id"], r["group_size"]) == (want[i][:2] if i in want else (None, None))
+        assert r["kept"] == (i in want and want[i][0] == i)
+
+
 def test_repeats(spark):
     out = suffixes.remove_repeats(brute.frame(spark)).collect()
     want = brute.repeats(brute.DOCS)
