@@ -6,6 +6,11 @@ language.  Transitions between neighbouring words are learned from lines into wh
 other languages were spliced, and forward-backward gives each word's probabilities.  A document's
 language is the one with the greatest mean over its words.
 
+These probabilities compare the learned languages with each other, so they are high for text in none
+of them too.  ``known`` tells that: the share of a document's features that were met in learning,
+allowing for as many new ones as text of the learned languages brings (by Good and Turing's
+estimate, the share of the sample's features that were met once).
+
 The model is fitted on the driver from a bounded sample (``SAMPLE`` documents a language).  Each task
 labels the lines of a batch together, one step for the t-th word of all lines.
 """
@@ -30,6 +35,8 @@ SAMPLE_CHARS = 20_000
 LEXICON = 300
 TABLE = 1 << 16
 UNKNOWN = "und"
+#: Features taken as met beside a document's own in ``known``, so that one odd word is no verdict.
+_GIVEN = 50
 #: Words labelled together, and words whose scores a task remembers.
 _CHUNK, _CACHE = 100_000, 200_000
 _TOKENS = re.compile(r"[^\W\d_]+|\n")
@@ -70,15 +77,29 @@ class Field:
     lexicon_weights: np.ndarray
     transitions: np.ndarray
     start: np.ndarray
+    met: np.ndarray
+    new_share: float
 
     def emissions(self, words: list[str]) -> np.ndarray:
+        return self.read(words)[0]
+
+    def read(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of the words by language, and the numbers of their features and of those not met."""
         out = np.zeros((len(words), len(self.languages)), dtype=np.float32)
+        features = np.zeros((len(words), 2), dtype=np.float32)
         if words:
             owner, feature = feature_ids(words)
             first = np.flatnonzero(np.diff(owner, prepend=-1))
             out[owner[first]] = np.add.reduceat(self.weights[feature], first, axis=0)
             out += self.members(words) @ self.lexicon_weights
-        return out
+            features[:, 0] = np.bincount(owner, minlength=len(words))
+            features[:, 1] = np.bincount(owner, ~self.met[feature], len(words))
+        return out, features
+
+    def known(self, features: np.ndarray, new: np.ndarray) -> np.ndarray:
+        """Share of met features, one for each document."""
+        beyond = np.maximum(0, new - self.new_share * features)
+        return np.where(features > 0, 1 - beyond / (features + _GIVEN), 0.0)
 
     def members(self, words: list[str]) -> np.ndarray:
         found = [[w in lexicon for lexicon in self.lexicons] for w in words]
@@ -154,6 +175,14 @@ def _spliced(rows: list[tuple[str, str]], seed: int) -> list[list[tuple[str, str
     return out
 
 
+def _met(rows: list[tuple[str, str]]) -> tuple[np.ndarray, float]:
+    """Which features the texts have, and the share of all that occur once."""
+    found = Counter(w for _, text in rows for w in _TOKENS.findall(text.lower()) if w != "\n")
+    owner, feature = feature_ids(list(found))
+    times = np.bincount(feature, np.array(list(found.values()))[owner], TABLE)
+    return times > 0, float((times == 1).sum() / times.sum())
+
+
 def fit(rows: list[tuple[str, str]], epochs: int = 4, lines_a_step: int = 200) -> Field | None:
     """Fit the field to (language, text) rows by Adam on the log-likelihood; None without words."""
     languages = sorted({lang for lang, _ in rows})
@@ -168,7 +197,7 @@ def fit(rows: list[tuple[str, str]], epochs: int = 4, lines_a_step: int = 200) -
             counts[place[lang]][w] += 1
     lexicons = [frozenset(w for w, k in c.most_common(LEXICON) if k > 1) for c in counts]
     params = [np.zeros((TABLE, n), np.float32), np.zeros((n, n), np.float32), np.zeros((n, n), np.float32), np.zeros(n, np.float32)]
-    field = Field(languages, params[0], lexicons, params[1], params[2], params[3])
+    field = Field(languages, params[0], lexicons, params[1], params[2], params[3], *_met(rows))
     mean, power = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     steps = 0
     for _ in range(epochs):
@@ -208,18 +237,20 @@ def _labeller(field: Field) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.
     def label(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = len(field.languages)
         known: dict[str, int] = {"\n": 0}
-        scores = np.zeros((1, n), np.float32)
+        scores, features = np.zeros((1, n), np.float32), np.zeros((1, 2), np.float32)
 
-        def posteriors(tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            """Whether each token is a word, and the words' probabilities."""
-            nonlocal scores
+        def posteriors(tokens: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """Whether each token is a word, the words' probabilities and their feature counts."""
+            nonlocal scores, features
             if len(known) > _CACHE:
                 known.clear()
                 known["\n"] = 0
-                scores = scores[:1]
+                scores, features = scores[:1], features[:1]
             new = list({w for w in tokens if w not in known})
             known.update((w, len(known)) for w in new)
-            scores = np.concatenate((scores, field.emissions(new)))
+            new_scores, new_features = field.read(new)
+            scores = np.concatenate((scores, new_scores))
+            features = np.concatenate((features, new_features))
             ids = np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
             is_word = ids > 0
             cuts = np.flatnonzero(~is_word)
@@ -230,22 +261,23 @@ def _labeller(field: Field) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.
                 layout = Lines.of(lengths)
                 laid = scores[ids[is_word][layout.order]]
                 out[layout.order], _ = forward_backward(laid, layout.active, field.transitions, field.start)
-            return is_word, out
+            return is_word, out, features[ids[is_word]]
 
-        def finish(tokens: list[str], sizes: list[int]) -> Iterator[tuple[str, float]]:
-            is_word, post = posteriors(tokens)
+        def finish(tokens: list[str], sizes: list[int]) -> Iterator[tuple[str, float, float]]:
+            is_word, post, counts = posteriors(tokens)
             owner = np.repeat(np.arange(len(sizes)), sizes)[is_word]
             total = np.bincount(owner, minlength=len(sizes))
             sums = np.stack([np.bincount(owner, post[:, k], len(sizes)) for k in range(n)], axis=1)
             best = sums.argmax(axis=1)
+            share = field.known(*(np.bincount(owner, counts[:, k], len(sizes)) for k in (0, 1))).tolist()
             for k, words in enumerate(total.tolist()):
                 if words:
-                    yield field.languages[best[k]], float(min(1.0, sums[k, best[k]] / words))
+                    yield field.languages[best[k]], float(min(1.0, sums[k, best[k]] / words)), share[k]
                 else:
-                    yield UNKNOWN, 0.0
+                    yield UNKNOWN, 0.0, 0.0
 
         for batch in batches:
-            found: list[tuple[str, float]] = []
+            found: list[tuple[str, float, float]] = []
             tokens: list[str] = []
             sizes: list[int] = []
             for text in batch.column("text").to_pylist():
@@ -262,17 +294,18 @@ def _labeller(field: Field) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
-                    pa.array([x for x, _ in found], pa.string()),
-                    pa.array([x for _, x in found], pa.float64()),
+                    pa.array([x for x, _, _ in found], pa.string()),
+                    pa.array([x for _, x, _ in found], pa.float64()),
+                    pa.array([x for _, _, x in found], pa.float64()),
                 ],
-                ["doc_id", "lang_pred", "score"],
+                ["doc_id", "lang_pred", "score", "known"],
             )
 
     return label
 
 
 def _unknown(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    return docs.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0.0).alias("known"))
 
 
 def identify(docs: DataFrame, learn: DataFrame | None = None, sample: int = SAMPLE) -> DataFrame:
@@ -281,8 +314,9 @@ def identify(docs: DataFrame, learn: DataFrame | None = None, sample: int = SAMP
     ``docs`` needs ``doc_id`` and ``text``; ``learn`` (default: ``docs``) needs ``doc_id``, ``text``
     and ``lang``, and only its rows that are not held out and have both are learned from.  Other
     columns are not read.  Returns one row per input row: ``doc_id``, ``held_out``, ``lang_pred``,
-    ``score`` (mean probability over the words).  A null text, or one without a letter, is ``und``
-    with score 0, and so is every text if nothing could be learned.  Ties go to the first language
+    ``score`` (mean probability over the words), ``known`` (0 to 1, low for text in none of the learned
+    languages).  A null text, or one without a letter, is ``und`` with score and ``known`` 0, and so
+    is every text if nothing could be learned; an empty table gives an empty result.  Ties go to the first language
     by name; repeated rows get equal results.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
@@ -293,5 +327,5 @@ def identify(docs: DataFrame, learn: DataFrame | None = None, sample: int = SAMP
     if field is None:
         found = _unknown(rows)
     else:
-        found = rows.mapInArrow(_labeller(field), "doc_id bigint, lang_pred string, score double")
-    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+        found = rows.mapInArrow(_labeller(field), "doc_id bigint, lang_pred string, score double, known double")
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "known")
