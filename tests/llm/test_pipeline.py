@@ -1,8 +1,12 @@
+from collections import Counter
+
+import numpy as np
 import sentencepiece
 
 import corpus_pipeline as P
 from cardledger.llm import pieces
 from cardledger.llm.common import table
+from cardledger.llm.language import identify
 from tests.llm import brute
 
 SF = "/root/testdata/sf0.001"
@@ -51,6 +55,39 @@ def test_clean_documents_pass_the_language_stage(spark):
     assert len(kept) >= 0.99 * len(letters)
 
 
+#: A text in none of the learned languages, and one without sense.
+FOREIGN = "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan, heille on annettu järki"
+NONSENSE = "xqzj vkwq zzxv jqkx wvzq qxjz kvwx zjqv xwkz vqzx jkwv qzvx"
+
+
+def test_a_document_in_no_learned_language_goes(spark):
+    docs = table(spark, SF, "documents").select("doc_id", "text", "lang")
+    odd = spark.createDataFrame([(-1, FOREIGN, None), (-2, NONSENSE, None), (-3, FOREIGN, None)], docs.schema)
+    kept = set(ids(STAGES["language_id"](spark, docs.unionByName(odd), SF)))
+    assert not kept & {-1, -2, -3}
+    assert kept == set(ids(STAGES["language_id"](spark, docs, SF)))
+
+
+def test_a_language_left_out_of_learning_goes(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    found = identify(docs, docs.where("lang <> 'fr'")).join(docs.select("doc_id", "lang"), "doc_id")
+    rows = found.where("held_out AND lang_pred <> 'und'").collect()
+    assert np.mean([r["known"] < P.MIN_KNOWN for r in rows if r["lang"] == "fr"]) > 0.9
+    assert all(r["known"] >= P.MIN_KNOWN for r in rows if r["lang"] != "fr")
+
+
+def test_stages_on_repeated_rows(spark, tmp_path):
+    """Rows that share an id stay or go together."""
+    sf = bench(spark, tmp_path)
+    docs = brute.frame(spark, repeat=True)
+    times = Counter(r["doc_id"] for r in docs.collect())
+    assert max(times.values()) == 2
+    for _, stage in P.STAGES[:-1]:
+        kept = Counter(ids(stage(spark, docs, sf)))
+        assert kept and all(n == times[i] for i, n in kept.items())
+    assert Counter(ids(STAGES["sentencepiece"](spark, docs, sf))) == times
+
+
 def test_run_against_plain_stages(spark):
     docs = table(spark, SF, "documents")
     rows = [(r["doc_id"], r["text"], r["lang"]) for r in STAGES["language_id"](spark, docs, SF).collect()]
