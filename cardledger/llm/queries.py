@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardledger.llm.common import table
+from cardledger.llm.common import store, table
 from cardledger.llm.conversations import repair_conversations
 from cardledger.llm.decontaminate import WINDOW, decontaminate
 from cardledger.llm.exact import exact_dedup
@@ -264,7 +264,8 @@ UNION ALL SELECT doc_id, NULL, NULL, false, text_sha256 FROM n WHERE gone
 def withdrawn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxic documents are withdrawn from the index, so a copy that is not marked may stay in their place."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    toxic = labels.where("toxic = 1").select("doc_id").distinct().withColumn("gone", F.lit(True))
+    # Ids are stored first, so that Spark knows their size when it chooses how to join them to whole texts.
+    toxic = store(labels.where("toxic = 1").select("doc_id").distinct(), "withdrawn").withColumn("gone", F.lit(True))
     return exact_dedup(docs.select("doc_id", "text").join(toxic, "doc_id", "left"), "gone")
 
 
