@@ -19,19 +19,24 @@ REGISTRY = Registry()
 add = REGISTRY.add
 
 
-#: Events of a file, and so of a micro-batch: files are taken one at a time.
-EVENTS_PER_FILE = 25_000
+#: Events of a micro-batch, and the files that they come in.
+EVENTS_PER_BATCH = 1_000_000
+FILES_PER_BATCH = 8
 
 
 def event_stream(t: Tables):
-    """The events as files of bounded size that came one after the other in the order of their time."""
+    """The events as files that came one after the other in the order of their time.
+
+    A micro-batch is bounded, but large: each costs some seconds whatever it holds, and reads the
+    masters that it is joined with.
+    """
     inbox = scratch_path(t.spark, "events")
     numbered = materialize(run_sequence(t.events, ["ts", "event_id"], "no", start=0), "numbered")
-    for begin in range(0, max(1, numbered.count()), EVENTS_PER_FILE):
-        # A bounded range of the numbers, found by the files' statistics.
-        own = numbered.where(F.col("no").between(begin, begin + EVENTS_PER_FILE - 1)).drop("no")
-        own.coalesce(1).write.mode("append").parquet(inbox)
-    return run.read_files(t.spark, inbox, t.events.schema, files_per_batch=1)
+    for begin in range(0, max(1, numbered.count()), EVENTS_PER_BATCH):
+        # A bounded range of the numbers, found by the files' statistics.  All but the last fill their files.
+        own = numbered.where(F.col("no").between(begin, begin + EVENTS_PER_BATCH - 1)).drop("no")
+        own.repartition(FILES_PER_BATCH).write.mode("append").parquet(inbox)
+    return run.read_files(t.spark, inbox, t.events.schema, files_per_batch=FILES_PER_BATCH)
 
 
 def request_stream(t: Tables):

@@ -143,12 +143,11 @@ def _walk_batch(
     return flags, room
 
 
-def walk_key(
-    room: int, gate: np.ndarray, weight: np.ndarray, eligible: np.ndarray
-) -> tuple[np.ndarray, int]:
-    """Decisions of one key's rows in order, and the headroom behind them."""
-    start = np.full(len(gate), room, dtype=np.int64)
-    return _walk_batch(pa.array(np.zeros(len(gate), np.int8)), None, 0, gate, weight, start, eligible)
+def walk_keys(
+    keys: np.ndarray, start: np.ndarray, gate: np.ndarray, weight: np.ndarray, eligible: np.ndarray
+) -> np.ndarray:
+    """Decisions of rows sorted by (key, order); ``start`` is the headroom before a key's first row."""
+    return _walk_batch(pa.array(keys), None, 0, gate, weight, start, eligible)[0]
 
 
 # --- hot keys -------------------------------------------------------------------------------

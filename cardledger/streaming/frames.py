@@ -21,9 +21,10 @@ def _tail(frame: pd.DataFrame, by: list[str]) -> tuple:
 class SortedFrames:
     """Sorts frames of one key by way of map state, which is empty again afterwards.
 
-    Every frame becomes a sorted run, kept in pieces of ``rows`` rows; as soon as there are ``fan`` runs
-    of a level they are merged to one of the next.  So ``fan`` pieces and one frame are in memory at a
-    time.  The columns of ``by`` are not null.  A single frame, the common case, is sorted as it is.
+    Frames are gathered up to ``fan`` * ``rows`` rows, and each gathered frame becomes a sorted run, kept in
+    pieces of ``rows`` rows; as soon as there are ``fan`` runs of a level they are merged to one of the
+    next.  So ``fan`` pieces and one gathered frame are in memory at a time.  The columns of ``by`` are not
+    null.  A single gathered frame, the common case, is sorted as it is.
     """
 
     def __init__(self, state, by: list[str], rows: int = 2_000, fan: int = 16) -> None:
@@ -33,6 +34,7 @@ class SortedFrames:
 
     def take(self, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """The rows of ``frames`` as frames that follow each other in order."""
+        frames = self._gathered(frames)
         first = next(frames, None)
         second = next(frames, None)
         if second is None:
@@ -49,6 +51,16 @@ class SortedFrames:
             left = left[self.fan :] + [self._store(self._merge(left[: self.fan]))]
         yield from self._merge(left)
 
+    def _gathered(self, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for frame in frames:
+            if held and sum(map(len, held)) + len(frame) > self.fan * self.rows:
+                yield pd.concat(held, ignore_index=True)
+                held = []
+            held.append(frame)
+        if held:
+            yield pd.concat(held, ignore_index=True) if len(held) > 1 else held[0]
+
     def _sorted(self, frame: pd.DataFrame) -> pd.DataFrame:
         return frame.sort_values(self.by, ignore_index=True)
 
