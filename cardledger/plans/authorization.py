@@ -9,6 +9,7 @@ from cardledger.functions.money import cents
 from cardledger.operators import aggregates as A
 from cardledger.operators.headroom import fold_in_order
 from cardledger.operators.joins import account_view, card_facts
+from cardledger.session import materialize
 
 MONEY = "decimal(12,2)"
 
@@ -16,12 +17,17 @@ MONEY = "decimal(12,2)"
 def enrich(requests: DataFrame, xref: DataFrame, accounts: DataFrame, customers: DataFrame) -> DataFrame:
     """Left-join card, account and customer; batch or stream on the left.
 
-    ``fold_key`` is the account or, for an unknown card, a negative number of the request's own.
+    ``fold_key`` is the account or, for an unknown card, a negative number of the request's own.  For a
+    stream the masters are joined with each other once, not again for every micro-batch, and
+    are merged: a broadcast would pass the driver with each of them.
     """
     people = customers.select("cust_id", F.lit(True).alias("customer_found"))
     cards = xref.select("card_num", "acct_id", "cust_id").join(people, "cust_id", "left")
     limits = accounts.select("acct_id", "credit_limit", "cash_credit_limit", "curr_bal")
-    out = requests.join(card_facts(cards, limits), "card_num", "left")
+    facts = card_facts(cards, limits)
+    if requests.isStreaming:
+        facts = materialize(facts, "card-facts").hint("merge")
+    out = requests.join(facts, "card_num", "left")
     return out.withColumns(
         {
             "fold_key": F.coalesce("acct_id", -1 - F.col("req_id")),
