@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardledger.session import materialize
+
 # The function code and the reply to a request that cannot be served.
 INQUIRY = "INQA"
 INVALID = "INVALID REQUEST PARAMETERS "
@@ -14,9 +16,10 @@ def account_inquiry_stream(requests: DataFrame, accounts: DataFrame) -> DataFram
     """Requests (``req_id``, ``func``, ``acct_key``) to account fields or an invalid-request text."""
     asked = (F.col("func") == INQUIRY) & (F.col("acct_key") > 0)
     key = F.when(asked, F.col("acct_key")).otherwise(-1 - F.col("req_id"))
-    out = requests.withColumn("_k", key).join(
-        accounts.withColumn("_k", F.col("acct_id")), "_k", "left"
-    ).drop("_k")
+    facts = accounts.withColumn("_k", F.col("acct_id"))
+    if requests.isStreaming:  # read once, and merged: a broadcast would pass the driver with each micro-batch
+        facts = materialize(facts, "account-facts").hint("merge")
+    out = requests.withColumn("_k", key).join(facts, "_k", "left").drop("_k")
     number = F.lpad(F.col("acct_key").cast("string"), 11, "0")
     text = F.when(
         F.col("acct_id").isNull(),
