@@ -1,8 +1,9 @@
 """A message queue as a table of numbered rows, and runs that are bounded by messages or idleness.
 
 Messages are appended as Parquet files with a dense ``offset``.  The source plans a micro-batch as ranges
-of offsets, and a task reads its range through Arrow with the range as a filter, so neither the
-number of files nor their size decides what a run takes.  Files are opened by pyarrow: the queue can be
+of offsets, and a task reads its range through Arrow with the range as a filter.  Files consist of small row
+groups, of which a task holds one at a time, so neither the number of files nor their size decides
+what a run takes.  Files are opened by pyarrow: the queue can be
 in any store it knows by URI.
 """
 
@@ -27,11 +28,15 @@ from cardledger.session import configure
 OFFSET = "offset"
 #: Messages that one task of a micro-batch reads.
 MESSAGES_PER_TASK = 50_000
+#: Bytes of a row group of the queue's files, and messages that are decoded at a time.
+GROUP_BYTES = 2 << 20
+MESSAGES_PER_BATCH = 10_000
 
 
 def append_messages(df: DataFrame, queue: str, order: list[str], at: int = 0) -> None:
     """Append rows behind offset ``at`` (the number of messages there), numbered along ``order``."""
-    run_sequence(df, order, OFFSET, start=at).write.mode("append").parquet(queue)
+    numbered = run_sequence(df, order, OFFSET, start=at)
+    numbered.write.mode("append").option("parquet.block.size", GROUP_BYTES).parquet(queue)
 
 
 def waiting(spark: SparkSession, queue: str) -> int:
@@ -66,7 +71,13 @@ class _Reader(DataSourceStreamReader):
     def read(self, part: _Range) -> Iterator[pa.RecordBatch]:
         found = pads.dataset(self._path.removeprefix("file:"), format="parquet")
         own = (pc.field(OFFSET) >= part.begin) & (pc.field(OFFSET) < part.end)
-        for batch in found.to_batches(filter=own, columns=self._schema.names):
+        # Nothing is read ahead: a task holds one row group.
+        options = pads.ParquetFragmentScanOptions(use_buffered_stream=True, pre_buffer=False)
+        batches = found.to_batches(
+            filter=own, columns=self._schema.names, batch_size=MESSAGES_PER_BATCH, batch_readahead=0,
+            fragment_readahead=0, fragment_scan_options=options, use_threads=False,
+        )
+        for batch in batches:
             if batch.num_rows:
                 yield from pa.Table.from_batches([batch]).cast(self._schema, safe=False).to_batches()
 

@@ -3,6 +3,7 @@
 import datetime as dt
 from decimal import Decimal as D
 
+import pyarrow.dataset as pads
 from pyspark.sql import functions as F
 
 from cardledger.streaming import queue as Q
@@ -62,3 +63,17 @@ def test_a_run_that_broke_off_is_repeated(spark, tmp_path):
         pass
     found = spark.read.parquet(out)
     assert found.count() == 30 and found.agg(F.countDistinct("id")).first()[0] == 30
+
+
+def test_a_task_reads_small_row_groups(spark, tmp_path, monkeypatch):
+    """The files' row groups and the decoded batches are small, however many messages a file holds."""
+    monkeypatch.setattr(Q, "GROUP_BYTES", 50_000)
+    monkeypatch.setattr(Q, "MESSAGES_PER_BATCH", 300)
+    box = str(tmp_path / "box")
+    Q.append_messages(messages(spark, range(20_000)), box, ["id"])
+    groups = [g.num_rows for f in pads.dataset(box, format="parquet").get_fragments() for g in f.row_groups]
+    assert sum(groups) == 20_000 and max(groups) < 5_000
+    reader = Q._Reader(spark.read.parquet(box).schema, {"path": box, "until": "20000", "per_task": "7000"})
+    batches = [b for part in reader.partitions({"next": 500}, {"next": 17_000}) for b in reader.read(part)]
+    assert max(b.num_rows for b in batches) <= 300
+    assert sorted(i for b in batches for i in b.column("id").to_pylist()) == list(range(500, 17_000))
