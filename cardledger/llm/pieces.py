@@ -20,12 +20,14 @@ from pyspark.sql import DataFrame
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 THREADS = 2
+#: Texts whose ids are held as Python numbers at a time.
+ROWS = 100
 MARK = "▁"
 # Fixed values of the model format: kinds of piece and of model.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Characters encoded at a time; a longer text is cut between words where the pieces allow it.
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -195,8 +197,8 @@ def _encoder(data: bytes, threads: int) -> Callable[[Iterable[pa.RecordBatch]],
         peer = sentencepiece.SentencePieceProcessor(model_proto=data)
         fallback = np.array([kind == BYTE for _, _, kind in rebuilt.model.pieces])
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
                 texts = [x or "" for x in part.column("text").to_pylist()]
                 ids = rebuilt.encode(texts)
                 arrays = [np.array(x, np.int32) for x in ids]
