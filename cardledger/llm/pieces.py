@@ -2,7 +2,8 @@
 
 The model's protobuf is read here; the normaliser, the metaspace marker, the pieces with their
 scores (unigram) or the merges that their scores imply (BPE) and the byte fallback are built anew as
-a ``Tokenizer``, which encodes batches on several threads.  Every text is also encoded by the
+a ``Tokenizer``, which encodes batches on several threads.  Where no piece goes on into a next word,
+the ids of short words are remembered.  Every text is also encoded whole by the
 sentencepiece library and decoded again, and both outcomes are columns of the result.
 """
 
@@ -13,9 +14,13 @@ import os
 import struct
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -28,6 +33,8 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Characters encoded at a time; a longer text is cut between words where the pieces allow it.
 _CHUNK = 1 << 18
+#: Words whose ids are remembered, bytes of the longest of them, and words encoded as one text.
+_WORDS, _WORD, _STRETCH = 1 << 18, 15, 256
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -111,6 +118,35 @@ class PieceModel:
         return self.escape_spaces and not any(MARK in p.lstrip(MARK) for p, _, _ in self.pieces)
 
 
+class KnownWords:
+    """Ids of short words.  A word has one place, by its bytes and length; a later word takes it over."""
+
+    def __init__(self) -> None:
+        # A key is a word's bytes and its length; no word has the length of the free places.  A word of n
+        # bytes and its mark have at most n + 1 pieces.
+        self.keys = np.full((_WORDS, 2), -1, np.int64)
+        self.ids = np.zeros((_WORDS, _WORD + 1), np.int32)
+        self.sizes = np.zeros(_WORDS, np.int64)
+        self.owner = np.zeros(_WORDS, np.int64)
+        self.shown = np.array([[255] * n + [0] * (_WORD + 1 - n) for n in range(_WORD + 1)], np.uint8)
+
+    def find(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys and places of words, and which are short.  ``data`` goes on for 17 bytes after the last."""
+        short = sizes <= _WORD
+        counted = np.where(short, sizes, 0)
+        keys = sliding_window_view(data, _WORD + 1)[starts] & self.shown[counted]
+        keys[:, _WORD] = counted
+        keys = keys.view(np.int64)
+        mixed = keys.view(np.uint64) * np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
+        mixed = mixed[:, 0] ^ (mixed[:, 1] >> np.uint64(7))
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+        return keys, (mixed >> np.uint64(40)).astype(np.int64) % len(self.keys), short
+
+    def holds(self, keys: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Whether the places are those words'."""
+        return (self.keys[places] == keys).all(axis=1)
+
+
 class PieceTokenizer:
     """Encoder and decoder of a model, rebuilt."""
 
@@ -140,7 +176,14 @@ class PieceTokenizer:
         back = [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
         self.core.decoder = decoders.Sequence(back + [decoders.Strip(" ", 1, 0)] * model.dummy_prefix)
         self.apart = model.words_apart()
-        self.spelled = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() for p, _, kind in model.pieces]
+        # A unigram's scores are sums over the whole text, so ties could come out otherwise by words.
+        marked = (MARK, NORMAL) in ((p, kind) for p, _, kind in model.pieces)
+        marked = marked and not model.pieces[model.unk_id][0].startswith(MARK)
+        self.known = KnownWords() if plain and model.dummy_prefix and self.apart and model.kind == BPE and marked else None
+        self.opens = np.array([p.startswith(MARK) for p, _, _ in model.pieces])
+        self.marks = np.array([p != "" and not p.strip(MARK) for p, _, _ in model.pieces])
+        spelled = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() for p, _, kind in model.pieces]
+        self.spelled = pa.array(spelled, pa.large_binary())
 
     def _normal(self, text: str) -> str:
         if self.normalizer is not None:
@@ -158,61 +201,156 @@ class PieceTokenizer:
             begin = at
         return [*out, text[begin:]]
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Piece ids of each text; none for an empty one."""
-        parts, owners = [], []
-        for i, text in enumerate(texts):
-            if text:
-                cut = self._cut(self._normal(text))
-                parts += cut
-                owners += [i] * len(cut)
-        out: list[list[int]] = [[] for _ in texts]
+    def _run(self, parts: list[str]) -> Iterator[list[int]]:
+        """Piece ids of normalised texts."""
         begin = 0
         while begin < len(parts):
             end, size = begin, 0
             while end < len(parts) and (end == begin or size + len(parts[end]) <= _CHUNK):
                 size += len(parts[end])
                 end += 1
-            encoded = self.core.encode_batch_fast(parts[begin:end], add_special_tokens=False)
-            for owner, one in zip(owners[begin:end], encoded, strict=True):
-                out[owner] = out[owner] + one.ids if out[owner] else one.ids
+            for one in self.core.encode_batch_fast(parts[begin:end], add_special_tokens=False):
+                yield one.ids
             begin = end
+
+    def _encode_whole(self, texts: list[str]) -> list[list[int]]:
+        """Piece ids of each normalised text."""
+        parts, owners = [], []
+        for i, text in enumerate(texts):
+            cut = self._cut(text)
+            parts += cut
+            owners += [i] * len(cut)
+        out: list[list[int]] = [[] for _ in texts]
+        for owner, ids in zip(owners, self._run(parts), strict=True):
+            out[owner] = out[owner] + ids if out[owner] else ids
+        return out
+
+    def _encode_words(self, texts: list[str]) -> list[list[int]]:
+        """Piece ids of each text by its words, where texts end within a word and hold no mark.
+
+        A word goes from a space that follows another character (or the start of a text, where a space
+        is put) to the next.  Words not known are encoded many as one text: there, a word begins with a
+        piece that opens with a mark and follows a piece of more than marks."""
+        known = self.known
+        coded = [b" " + text.encode() for text in texts]
+        data = np.frombuffer(b"".join(coded) + bytes(_WORD + 2), np.uint8)
+        blank = data == 32
+        blank[1:] &= ~blank[:-1].copy()
+        bounds = np.append(np.flatnonzero(blank), len(data) - _WORD - 2)
+        starts, sizes = bounds[:-1], np.diff(bounds)
+        keys, places, short = known.find(data, starts + 1, sizes - 1)
+        found = short & known.holds(keys, places)
+        missed = np.flatnonzero(~found)
+        # Of equal short words, the last in its place is encoded.
+        owner = known.owner
+        owner[places[missed]] = missed
+        heir = owner[places[missed]]
+        same = short[missed] & (heir != missed) & (keys[heir] == keys[missed]).all(axis=1)
+        coding = missed[~same]
+        chosen = np.zeros(len(starts), bool)
+        chosen[coding] = True
+        rest = data[: bounds[-1]][np.repeat(chosen, sizes)].tobytes()
+        cuts = np.concatenate(([0], np.cumsum(sizes[coding])))
+        cuts = [*cuts[:-1:_STRETCH].tolist(), int(cuts[-1])]
+        parts = [rest[a:b].decode().replace(" ", MARK) for a, b in pairwise(cuts)]
+        made = np.concatenate([np.zeros(0, np.int32), *(np.array(x, np.int32) for x in self._run(parts))])
+        begins = self.opens[made]
+        begins[1:] &= ~self.marks[made[:-1]]
+        edges = np.append(np.flatnonzero(begins), len(made))
+        lengths = np.diff(edges)
+        # What was known is read before its place may be taken over.
+        counts = np.zeros(len(starts), np.int64)
+        counts[coding] = lengths
+        rows = np.zeros((len(starts), _WORD + 1), np.int32)
+        rows[found] = known.ids[places[found]]
+        counts[found] = known.sizes[places[found]]
+        fits = short[coding]
+        column = np.arange(_WORD + 1)
+        filled = column < lengths[fits][:, None]
+        fresh = np.zeros(filled.shape, np.int32)
+        fresh[filled] = made[np.repeat(fits, lengths)]
+        rows[coding[fits]] = fresh
+        rows[missed[same]] = rows[heir[same]]
+        counts[missed[same]] = counts[heir[same]]
+        kept = coding[fits]
+        kept = kept[owner[places[kept]] == kept]
+        known.keys[places[kept]], known.ids[places[kept]], known.sizes[places[kept]] = keys[kept], rows[kept], counts[kept]
+        # Long words stand in ``made`` alone.
+        flat = np.empty(counts.sum(), np.int32)
+        brief = np.repeat(short, counts)
+        flat[brief] = rows[column < np.where(short, counts, 0)[:, None]]
+        flat[~brief] = made[np.repeat(~fits, lengths)]
+        upto = np.concatenate(([0], np.cumsum(counts)))
+        ends = np.searchsorted(starts, np.cumsum([0, *map(len, coded)]))
+        return [flat[a:b].tolist() for a, b in pairwise(upto[ends].tolist())]
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """Piece ids of each text; none for an empty one."""
+        out: list[list[int]] = [[] for _ in texts]
+        whole, groups, size = [], [], _CHUNK
+        for i, text in enumerate(texts):
+            if not text:
+                continue
+            if self.known is None or len(text) > _CHUNK or text.endswith(" ") or MARK in text:
+                whole.append(i)
+                continue
+            if size + len(text) > _CHUNK:
+                groups.append([])
+                size = 0
+            groups[-1].append(i)
+            size += len(text)
+        for owners, ids in zip(groups, (self._encode_words([texts[i] for i in x]) for x in groups), strict=True):
+            for i, one in zip(owners, ids, strict=True):
+                out[i] = one
+        for i, one in zip(whole, self._encode_whole([self._normal(texts[i]) for i in whole]), strict=True):
+            out[i] = one
         return out
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.core.decode_batch(ids, skip_special_tokens=False)
 
-    def spells(self, ids: list[int], text: str) -> bool:
-        """Whether the ids decode to the text: the same bytes, without making a text of them."""
-        made = b"".join(map(self.spelled.__getitem__, ids))
-        return made[1 if self.model.dummy_prefix and made.startswith(b" ") else 0 :] == text.encode()
+    def spells(self, flat: np.ndarray, ends: np.ndarray, texts: list[str]) -> list[bool]:
+        """Whether the ids of each text, one after another in ``flat``, decode to it: the same bytes,
+        without making texts of them."""
+        made = self.spelled.take(pa.array(flat))
+        cuts = np.concatenate(([0], np.cumsum(pc.binary_length(made).to_numpy())))[ends].tolist()
+        data = made.buffers()[2].to_pybytes() if cuts[-1] else b""
+        out = []
+        for (a, b), text in zip(pairwise(cuts), texts, strict=True):
+            skip = self.model.dummy_prefix and data[a : min(a + 1, b)] == b" "
+            out.append(data[a + skip : b] == text.encode())
+        return out
+
+
+@lru_cache(maxsize=1)
+def _tokenizers(data: bytes, threads: int) -> tuple:
+    """The rebuilt tokenizer and the library's, made once in a worker."""
+    os.environ |= {"TOKENIZERS_PARALLELISM": "true", "RAYON_NUM_THREADS": str(threads)}
+    import sentencepiece
+
+    return PieceTokenizer(data), sentencepiece.SentencePieceProcessor(model_proto=data)
 
 
 def _encoder(data: bytes, threads: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ |= {"TOKENIZERS_PARALLELISM": "true", "RAYON_NUM_THREADS": str(threads)}
-        import sentencepiece
-
-        rebuilt = PieceTokenizer(data)
-        peer = sentencepiece.SentencePieceProcessor(model_proto=data)
+        rebuilt, peer = _tokenizers(data, threads)
         fallback = np.array([kind == BYTE for _, _, kind in rebuilt.model.pieces])
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
                 texts = [x or "" for x in part.column("text").to_pylist()]
                 ids = rebuilt.encode(texts)
-                arrays = [np.array(x, np.int32) for x in ids]
-                flat = np.concatenate([np.zeros(0, np.int32), *arrays])
                 ends = np.cumsum([0, *map(len, ids)])
+                flat = np.fromiter(chain.from_iterable(ids), "<i4", ends[-1])
                 spelled = np.concatenate(([0], np.cumsum(fallback[flat])))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
                         pa.array(np.diff(ends), pa.int64()),
                         pa.array(np.diff(spelled[ends]), pa.int64()),
-                        pa.array([rebuilt.spells(a, b) for a, b in zip(ids, texts, strict=True)]),
+                        pa.array(rebuilt.spells(flat, ends, texts)),
                         pa.array([a == b for a, b in zip(peer.encode(texts, num_threads=1), ids, strict=True)]),
-                        pa.array([hashlib.sha256(x.astype("<i4").tobytes()).hexdigest() for x in arrays], pa.string()),
+                        pa.array([hashlib.sha256(flat[a:b]).hexdigest() for a, b in pairwise(ends)], pa.string()),
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32())),
                     ],
                     ["doc_id", "n_tokens", "n_byte_tokens", "round_trip", "parity", "ids_sha256", "token_ids"],
