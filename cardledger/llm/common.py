@@ -14,6 +14,12 @@ from cardledger.session import configure, materialize
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Bytes of a batch that goes to Python, and rows of a batch that a scan decodes.  By Spark's own limits (10,000
+#: and 4,096 rows) both hold tens of MB of texts, several times over, in the executor and in its workers.
+SMALL_BATCHES = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+    "spark.sql.parquet.columnarReaderBatchSize": "512",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session reads and hands over few texts at a time.  Rows and results stay the same; it is not
+    undone, since a frame is planned with the settings of the time it runs."""
+    for key, value in SMALL_BATCHES.items():
+        spark.conf.set(key, value)
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, all else as it is.  Texts of ASCII only take the fast way."""
     plain = F.octet_length(text) == F.char_length(text)

@@ -5,14 +5,20 @@ text operators on all that its predecessor kept, and all but the last return the
 ``docs``.  Between stages the documents are written as Parquet and read again.  Stages decide on
 ids: rows that share an id stay or go together (a null id is an id like any other).  In the copy and
 language stages an id goes if all of its rows would, in the benchmark stage if any of them does.
+
+All stages run in the same executors, whose memory keeps what the largest took, so each of them asks for small
+batches of texts first.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardledger.llm.common import store, table
+from cardledger.llm.common import small_batches, store, table
 from cardledger.llm.decontaminate import decontaminate
 from cardledger.llm.exact import exact_dedup
 from cardledger.llm.language import UNKNOWN, identify
@@ -24,6 +30,19 @@ from cardledger.llm.simhash import simhash_components
 #: a hundred of its documents go; of English, the largest, only 7, since the other three share its letters.
 MIN_KNOWN = 0.9
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _stage(work: Stage) -> Stage:
+    """A stage that has few texts in memory at a time."""
+
+    @wraps(work)
+    def begin(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return work(spark, docs, sf_dir)
+
+    return begin
+
 
 def _without(docs: DataFrame, decided: DataFrame, reject: Column, every: bool = True) -> DataFrame:
     """Documents but for the rejected ids.  These are stored first, so that Spark knows their size
@@ -33,29 +52,34 @@ def _without(docs: DataFrame, decided: DataFrame, reject: Column, every: bool =
     return docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
 
 
+@_stage
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter, and those that fit no learned language."""
     found = identify(docs)
     return _without(docs, found, (F.col("lang_pred") == UNKNOWN) | (F.col("known") < MIN_KNOWN))
 
 
+@_stage
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of equal texts."""
     return _without(docs, exact_dedup(docs), ~F.col("kept"))
 
 
+@_stage
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the first document of each group of near copies."""
     found = simhash_components(docs)
     return _without(docs, found, ~F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+@_stage
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents with a window of a benchmark item."""
     found = decontaminate(docs, table(spark, sf_dir, "benchmark"))
     return _without(docs, found, F.col("contaminated"), every=False)
 
 
+@_stage
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of what is left."""
     return piece_tokens(docs)
